@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # The dot of a rule also matches a line break.
 DOT_ALL = "(?s)"
 
+# An opening any-text part, bare or as a group of its own that no quantifier follows.
+OPEN_START = re.compile(r"\.[+*]\??(?![+*?{])|\((?:\?:)?\.[+*]\??\)(?![+*?{])")
+
 _HEAD = "tbhead"
 _TAIL = "tbtail"
 
@@ -35,16 +38,47 @@ def _replacement(extract: str, by: int) -> str:
     return re.sub(r"\\([0-9])|\\(.)|(.)", piece, extract, flags=re.DOTALL)
 
 
+def _has_alternatives(pattern: str) -> bool:
+    """Whether a bar stands outside all groups and character classes."""
+    depth, in_class, i = 0, False, 0
+    while i < len(pattern):
+        char = pattern[i]
+        if char == "\\":
+            i += 1
+        elif in_class:
+            in_class = char != "]"
+        elif char == "[":
+            in_class = True
+        elif char in "()":
+            depth += 1 if char == "(" else -1
+        elif char == "|" and depth == 0:
+            return True
+        i += 1
+    return False
+
+
+def starts_at_start(pattern: str) -> bool:
+    """Whether a match, if there is any, begins where the text begins.
+
+    True when the pattern opens with an any-text part: the dot matches all characters,
+    so that part can always reach back. Searching at later places would only repeat the
+    failure, in time quadratic in the text.
+    """
+    return bool(OPEN_START.match(pattern)) and not _has_alternatives(pattern)
+
+
 def replace_first(text: Column, pattern: str, extract: str) -> Column:
     """``text`` with its first match of ``pattern`` replaced; the rest stays.
 
     The built-in replacement takes every match, so the expression matches the whole text
     around one: what lies before (as little as possible), the match, what lies after.
     """
-    whole = f"{DOT_ALL}\\A(?<{_HEAD}>.*?)({_shifted(pattern, 2)})(?<{_TAIL}>.*)\\z"
+    before = "" if starts_at_start(pattern) else ".*?"
+    whole = f"{DOT_ALL}\\A(?<{_HEAD}>{before})({_shifted(pattern, 2)})(?<{_TAIL}>.*)\\z"
     return F.regexp_replace(text, whole, f"${{{_HEAD}}}{_replacement(extract, 2)}${{{_TAIL}}}")
 
 
 def contains(text: Column, pattern: str) -> Column:
     """Whether ``pattern`` occurs in ``text``."""
-    return text.rlike(DOT_ALL + pattern)
+    start = "\\A" if starts_at_start(pattern) else ""
+    return text.rlike(DOT_ALL + start + pattern)
