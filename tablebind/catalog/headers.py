@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 
 import tablebind as tb
 from tablebind.catalog.rows import VALUE_IS_NUMERIC
-from tablebind.catalog.tables import table
+from tablebind.catalog.tables import texts
 
 
 def document_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as sheets: a line is a row, a word is a cell."""
-    lines = table(spark, sf_dir, "documents").select(
+    lines = texts(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         F.col("source").alias("FILE"),
         F.col("doc_id").cast("string").alias("SHEET"),
         F.posexplode(F.split("text", "\n")).alias("at", "line"),

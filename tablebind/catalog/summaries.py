@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tablebind as tb
-from tablebind.catalog.tables import table
+from tablebind.catalog.tables import texts
 from tablebind.operators.summaries import shorten_clause, split_clauses
 
 # Documents stand in for summaries: a capital letter begins a clause.
@@ -16,7 +16,7 @@ def simplify_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clause steps alone, one row per clause."""
     clauses = split_clauses(F.col("text"), BEGINNER)
     short = F.transform(clauses, lambda c: shorten_clause(c, ".,", SPECIAL))
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", F.posexplode(short).alias("at", "clause")
     )
 
@@ -61,7 +61,7 @@ FRAMED = r"""
 
 
 def _prepared(spark: SparkSession, sf_dir: str, text: Column) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", text.alias("text"))
 
 
 def simplify_ciming(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def simplify_ciming(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simplify_ciming_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    talk = table(spark, sf_dir, "conversations")
+    talk = texts(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     short = tb.simplify_summary(
         talk, "D", "Ciming", beginner=BEGINNER, ender=".,", special=SPECIAL
     )
@@ -90,7 +90,7 @@ def simplify_meinian(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simplify_by_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text in the manner of a provider of its own; some providers are unknown."""
     text, kind = F.col("text"), F.col("doc_id") % 4
-    df = table(spark, sf_dir, "documents").select(
+    df = texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id",
         F.when(kind == 0, "Ciming").when(kind == 1, "Ikang").when(kind == 2, "Meinian")
         .otherwise("other").alias("provider"),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import tablebind as tb
 from tablebind.plans.checkpoints import new_folder
+from tablebind.plans.spread import spread
 
 SOURCE_TABLES = ["customer", "supplier", "nation", "orders"]
 
@@ -13,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The wanted columns of a table of long texts, ready for work on each text."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def read_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = [f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]
     return tb.union_tables(tb.read_tables(spark, paths, "parquet"))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tablebind as tb
-from tablebind.catalog.tables import table
+from tablebind.catalog.tables import texts
 
 RULE_SCHEMA = "Pattern string, Extract string, Fld string"
 
@@ -31,7 +31,7 @@ def split_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.replace(F.col("text"), F.lit(". "), F.lit(".\n\n"))
     text = F.replace(text, F.lit(", "), F.lit(",\f\f"))
     text = F.concat(F.lit("\n  "), text, F.lit("\r\n\r\n"))
-    return table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", text.alias("text"))
 
 
 SPLIT_TEXT = r"""
@@ -65,7 +65,7 @@ def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extract_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(PAGE_RULES, RULE_SCHEMA)
-    return tb.extract_fields(table(spark, sf_dir, "pages"), rules, "html", ["page_id"])
+    return tb.extract_fields(texts(spark, sf_dir, "pages", "page_id", "html"), rules, "html", ["page_id"])
 
 
 def _field_sql(text: str, pattern: str, extract: str, name: str) -> str:
@@ -90,7 +90,7 @@ def line_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unmatched_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(LINE_RULES, RULE_SCHEMA)
-    return tb.documents_to_table(table(spark, sf_dir, "documents"), rules).unmatched
+    return tb.documents_to_table(texts(spark, sf_dir, "documents", "doc_id", "text"), rules).unmatched
 
 
 QUERIES = {

@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType
 
 from tablebind.functions.missing import is_missing, is_numeric
 from tablebind.functions.names import as_names, col
-from tablebind.plans.ordered import GROUP_ROWS, PART, by_group_size, number_by_runs
+from tablebind.plans.ordered import GROUP_ROWS, PART, POSITION, by_group_size, place_by_runs
 
 # Marks of a qualitative finding, names that always concatenate, names that
 # never do, the share of text that makes a column concatenate, the separator.
@@ -24,6 +24,9 @@ SINGLE_NAMES = (
 TEXT_SHARE = 0.5
 SEPARATOR = ";"
 
+# Where a qualitative mark can be at all: a range is tested faster than single ideographs.
+MAY_BE_QUALITATIVE = "[<>+一-鿿-]"
+
 
 def _mode(df: DataFrame, name: str) -> Column:
     """Whether the column concatenates, as an aggregate over the table."""
@@ -39,7 +42,8 @@ def _mode(df: DataFrame, name: str) -> Column:
     if not isinstance(dtype, StringType):
         # Numbers, dates and logical values are never text.
         return F.lit(False)
-    text = F.count_if(has_value & ~value.rlike(QUALITATIVE) & ~is_numeric(value))
+    is_qualitative = value.rlike(MAY_BE_QUALITATIVE) & value.rlike(QUALITATIVE)
+    text = F.count_if(has_value & ~is_numeric(value) & ~is_qualitative)
     return F.coalesce(F.try_divide(text, values) >= TEXT_SHARE, F.lit(False))
 
 
@@ -129,9 +133,9 @@ def bind_rows(
         grouped = collected(rows, ids, F.lit(0).cast("long").alias(PART), *firsts)
         return texts_of(grouped, F.size("_tb_rows") == 1).select(*output)
 
-    def oversized(rows: DataFrame) -> DataFrame:
-        placed = number_by_runs(rows, ids, order_by, "_tb_position", "_tb_size")
-        part = F.floor(F.col("_tb_position") / part_rows).cast("long")
+    def oversized(rows: DataFrame, count: int) -> DataFrame:
+        placed = place_by_runs(rows, ids, order_by, {}, count)
+        part = F.floor(F.col(POSITION) / part_rows).cast("long")
         cut = texts_of(collected(placed.withColumn(PART, part), [*ids, PART]), F.lit(False))
         # The single values combine before their shuffle, and join on (ids, PART), where
         # no key is frequent.

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tablebind.functions.names import as_names, col
 from tablebind.plans.checkpoints import checkpointed
-from tablebind.plans.joins import BROADCAST_ROWS, lookup
-from tablebind.plans.ordered import GROUP_ROWS, PART, add_previous, number_rows
+from tablebind.plans.joins import lookup
+from tablebind.plans.ordered import GROUP_ROWS, PART, POSITION, SIZE, place_rows
 
 # The marks of a heading, the alignments, the shown text of a missing cell.
 LEFT_MARK = "="
@@ -33,16 +33,19 @@ def blank_repeats(
     across sorted partitions rather than in one task.
     """
     columns, keys = as_names(columns), as_names(partition_by)
-    previous = {c: f"_tb_previous{i}" for i, c in enumerate(columns)}
-    paired = add_previous(df, keys, as_names(order_by), previous, group_rows)
+    previous = _previous_names(columns)
+    placed = place_rows(df, keys, as_names(order_by), previous, group_rows)
+    return placed.select(
+        *[_blanked(c, previous[c]).alias(c) if c in previous else col(c) for c in df.columns]
+    )
+
+
+def _previous_names(columns: Sequence[str]) -> dict[str, str]:
+    return {c: f"_tb_previous{i}" for i, c in enumerate(columns)}
 
-    def shown(name: str) -> Column:
-        if name not in previous:
-            return col(name)
-        value = col(name).cast("string")
-        return F.when(col(name) == col(previous[name]), "").otherwise(value).alias(name)
 
-    return paired.select(*[shown(c) for c in df.columns])
+def _blanked(name: str, previous: str) -> Column:
+    return F.when(col(name) == F.col(previous), "").otherwise(col(name).cast("string"))
 
 
 @dataclass(frozen=True)
@@ -82,8 +85,7 @@ def split_footer(
         .groupBy(*keys)
         .agg(F.min(place).alias("_tb_start"))
     )
-    groups = starts.limit(BROADCAST_ROWS + 1).count()
-    marked = lookup(df, starts, keys, "inner", groups)
+    marked = lookup(df, starts, keys, "inner")
     is_foot = place >= F.col("_tb_start")
     return BodyAndFoot(
         marked.where(~is_foot).drop("_tb_start"), marked.where(is_foot).drop("_tb_start")
@@ -181,12 +183,12 @@ def escaped(value: Column) -> Column:
     return value
 
 
-def _row_html(columns: Sequence[str], align: Sequence[str]) -> Column:
-    cells = []
-    for name, side in zip(columns, align):
-        text = F.coalesce(col(name).cast("string"), F.lit(MISSING_CELL))
-        cells += [F.lit(f'   <td style="text-align:{side};"> '), escaped(text), F.lit(" </td>\n")]
-    return F.concat(F.lit("  <tr>\n"), *cells, F.lit("  </tr>\n"))
+def _row_html(cells: Sequence[Column], align: Sequence[str]) -> Column:
+    pieces = []
+    for cell, side in zip(cells, align):
+        text = escaped(F.coalesce(cell, F.lit(MISSING_CELL)))
+        pieces += [F.lit(f'   <td style="text-align:{side};"> '), text, F.lit(" </td>\n")]
+    return F.concat(F.lit("  <tr>\n"), *pieces, F.lit("  </tr>\n"))
 
 
 def html_tables(
@@ -222,35 +224,26 @@ def html_tables(
     if foot_rows:
         check_footer(df, foot_rows, keys)
 
-    shown = df.select(*dict.fromkeys([*keys, *order_by, *columns]))
-    if blank:
-        # Blanked texts replace the columns only in the rendered row, not in the order.
-        copies = {c: f"_tb_shown{i}" for i, c in enumerate(as_names(blank))}
-        shown = blank_repeats(
-            shown.withColumns({new: col(c) for c, new in copies.items()}),
-            list(copies.values()),
-            order_by,
-            keys,
-            part_rows,
-        )
-    else:
-        copies = {}
-    html = _row_html([copies.get(c, c) for c in columns], align)
-    lines = shown.select(*dict.fromkeys([*keys, *order_by]), html.alias("_tb_html"))
-    placed = number_rows(lines, keys, order_by, "_tb_position", "_tb_size", part_rows)
-    at, size = F.col("_tb_position"), F.col("_tb_size")
+    previous = _previous_names(as_names(blank))
+    shown = df.select(*[col(c) for c in dict.fromkeys([*keys, *order_by, *columns])])
+    placed = place_rows(shown, keys, order_by, previous, part_rows)
+    cells = [
+        _blanked(c, previous[c]) if c in previous else col(c).cast("string") for c in columns
+    ]
+    at, size = F.col(POSITION), F.col(SIZE)
     piece = F.concat(
         F.when(at == 0, opening).otherwise(""),
         F.when(at == size - foot_rows, to_foot).otherwise(""),
-        F.col("_tb_html"),
+        _row_html(cells, align),
         F.when(at == size - 1, closing).otherwise(""),
     )
+    names = [col(k) for k in keys]
     pieces = placed.select(
-        *keys, F.floor(at / part_rows).cast("long").alias(PART), at, piece.alias("_tb_html")
+        *names, F.floor(at / part_rows).cast("long").alias(PART), at, piece.alias("_tb_html")
     )
-    ordered = F.sort_array(F.collect_list(F.struct("_tb_position", "_tb_html")))
+    ordered = F.sort_array(F.collect_list(F.struct(POSITION, "_tb_html")))
     return (
-        pieces.groupBy(*keys, PART)
+        pieces.groupBy(*names, PART)
         .agg(ordered.alias("_tb_rows"))
-        .select(*keys, PART, F.array_join(F.col("_tb_rows._tb_html"), "").alias("html"))
+        .select(*names, PART, F.array_join(F.col("_tb_rows._tb_html"), "").alias("html"))
     )

@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 from tablebind.functions.regex import contains, replace_first
 from tablebind.sources.dictionaries import Rule, load_rules
 
-# Breaks that collapse into one, the blanks a heading ends at, a line with
-# its heading, what precedes the text part of a rule, and the openings that stand for the
-# start of a line.
-BREAKS = r"\n{2,}|\f+"
+# The blanks a heading ends at, a line with its heading, what precedes the
+# text part of a rule, and the openings that stand for the start of a line.
 BLANK = r"[\t\n\f\r\p{Z}]"
 HEADED_LINE = r"^([^\t\n\f\r\p{Z}]+?)[\t\n\f\r\p{Z}].+$"
 RULE_PREFIX = r"^[^医]*医生(.+)$"
@@ -23,9 +21,9 @@ RULE_OPENING = r"^\.\+\?*(?:\\n)*"
 
 def normalized(text: Column, left_trim: bool = False) -> Column:
     """The text without blank lines; form feeds are line breaks."""
-    lines = F.regexp_replace(text, r"\r\n?", "\n")
+    lines = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     lines = F.trim(F.regexp_replace(lines, r"\n{2,}", "\n"), F.lit("\n"))
-    lines = F.regexp_replace(lines, BREAKS, "\n")
+    lines = F.regexp_replace(lines, r"\f+", "\n")
     return F.regexp_replace(lines, f"^{BLANK}+", "") if left_trim else lines
 
 

@@ -11,19 +11,30 @@ partition.
 """
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablebind.functions.names import col
 from tablebind.plans.checkpoints import checkpointed
-from tablebind.plans.joins import BROADCAST_ROWS, lookup
+from tablebind.plans.joins import lookup
 
 # Rows of one group that a single task may hold.
 GROUP_ROWS = 100_000
 
+# Rows a sorted partition should hold, and the most partitions a range sort may have: its
+# boundaries are sampled on the driver.
+RUN_ROWS = 1_000_000
+MAX_RUNS = 20_000
+
 # Numbers the pieces of a result too large for one row, from 0.
 PART = "PART"
 
+# Columns that place_rows adds: position in the group from 0, rows of the group.
+POSITION = "_tb_position"
+SIZE = "_tb_size"
+
 # monotonically_increasing_id() keeps the partition number above the lower 33 bits.
 ROW_BITS = 33
 
@@ -31,24 +42,33 @@ AT = "_tb_at"
 RUN = "_tb_run"
 
 
-def split_by_size(
-    df: DataFrame, keys: Sequence[str], limit: int
-) -> tuple[DataFrame | None, DataFrame | None]:
+@dataclass(frozen=True)
+class BySize:
+    """A table in two parts; either is None when it is known to be empty."""
+
+    usual: DataFrame | None
+    oversized: DataFrame | None
+    oversized_rows: int = 0
+
+
+def split_by_size(df: DataFrame, keys: Sequence[str], limit: int) -> BySize:
     """Part ``df`` into the groups of at most ``limit`` rows and the larger ones.
 
-    Either part is None when it is known to be empty. Runs one counting job that reads
-    only the key columns; without ``keys`` the whole table is one group.
+    Runs one counting job that reads only the key columns; without ``keys`` the whole
+    table is one group.
     """
     if not keys:
-        return (df, None) if df.count() <= limit else (None, df)
-    large = df.groupBy(*keys).count().where(F.col("count") > limit).select(*keys)
+        rows = df.count()
+        return BySize(df, None) if rows <= limit else BySize(None, df, rows)
+    large = df.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias(SIZE))
+    large = large.where(F.col(SIZE) > limit)
     if large.isEmpty():
-        return df, None
+        return BySize(df, None)
     large = checkpointed(large)
-    rows = large.limit(BROADCAST_ROWS + 1).count()
-    return (
-        lookup(df, large, keys, "left_anti", rows),
-        lookup(df, large, keys, "left_semi", rows),
+    rows = large.agg(F.sum(SIZE)).first()[0]
+    large = large.drop(SIZE)
+    return BySize(
+        lookup(df, large, keys, "left_anti"), lookup(df, large, keys, "left_semi"), rows
     )
 
 
@@ -57,117 +77,109 @@ def by_group_size(
     keys: Sequence[str],
     limit: int,
     usual: Callable[[DataFrame], DataFrame],
-    oversized: Callable[[DataFrame], DataFrame],
+    oversized: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
-    """Apply ``usual`` to groups within the bound and ``oversized`` to the others."""
-    small, large = split_by_size(df, keys, limit)
-    if large is None:
-        return usual(small)
-    if small is None:
-        return oversized(large)
-    return usual(small).unionByName(oversized(large))
+    """Apply ``usual`` to groups within the bound, ``oversized`` to the others and their rows."""
+    parts = split_by_size(df, keys, limit)
+    if parts.oversized is None:
+        return usual(parts.usual)
+    if parts.usual is None:
+        return oversized(parts.oversized, parts.oversized_rows)
+    return usual(parts.usual).unionByName(oversized(parts.oversized, parts.oversized_rows))
 
 
-def range_sorted(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+def range_sorted(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows: int
+) -> DataFrame:
     """``df`` with its global position in (keys, order) and its run.
 
     A run is one sorted partition. The result is checkpointed: range boundaries come
     from a sample, so position and run must not be computed twice.
     """
-    ordered = df.orderBy(*keys, *order_by).withColumn(AT, F.monotonically_increasing_id())
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = min(max(default, -(-rows // RUN_ROWS)), MAX_RUNS)
+    columns = list(map(col, [*keys, *order_by]))
+    ordered = df.repartitionByRange(runs, *columns).sortWithinPartitions(*columns)
+    ordered = ordered.withColumn(AT, F.monotonically_increasing_id())
     return checkpointed(ordered.withColumn(RUN, F.shiftright(AT, ROW_BITS)))
 
 
-def _join_runs(ranged: DataFrame, runs: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    runs = checkpointed(runs)
-    rows = runs.limit(BROADCAST_ROWS + 1).count()
-    return lookup(ranged, runs, [*keys, RUN], how, rows)
-
-
-def number_by_runs(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], position: str, size: str
+def place_by_window(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], previous: Mapping[str, str]
 ) -> DataFrame:
-    """As ``number_rows``, for groups too large for one task."""
-    ranged = range_sorted(df, keys, order_by)
-    # One row per group and run, so a group has at most one row per partition here.
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy(RUN).rowsBetween(Window.unboundedPreceding, -1)
-    runs = (
-        ranged.groupBy(*keys, RUN)
-        .agg(F.min(AT).alias("_tb_from"), F.count(F.lit(1)).alias("_tb_rows"))
-        .select(
-            *keys,
-            RUN,
-            "_tb_from",
-            F.coalesce(F.sum("_tb_rows").over(earlier), F.lit(0)).alias("_tb_before"),
-            F.sum("_tb_rows").over(group).alias(size),
-        )
+    """As ``place_rows``, for groups that fit one task."""
+    group = Window.partitionBy(*map(col, keys))
+    order = group.orderBy(*map(col, order_by))
+    return df.withColumns(
+        {
+            POSITION: (F.row_number().over(order) - 1).cast("long"),
+            SIZE: F.count(F.lit(1)).over(group),
+            **{new: F.lag(col(c)).over(order) for c, new in previous.items()},
+        }
     )
-    placed = _join_runs(ranged, runs, keys, "inner")
-    at = F.col(AT) - F.col("_tb_from") + F.col("_tb_before")
-    return placed.select(*df.columns, at.alias(position), size)
 
 
-def number_rows(
+def place_by_runs(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    position: str,
-    size: str,
-    limit: int = GROUP_ROWS,
+    previous: Mapping[str, str],
+    rows: int,
 ) -> DataFrame:
-    """Add each row's position in its group, from 0, and the number of rows there."""
-
-    def usual(small: DataFrame) -> DataFrame:
-        group = Window.partitionBy(*keys)
-        return small.withColumns(
-            {
-                position: (F.row_number().over(group.orderBy(*order_by)) - 1).cast("long"),
-                size: F.count(F.lit(1)).over(group),
-            }
-        )
-
-    return by_group_size(
-        df, keys, limit, usual, lambda large: number_by_runs(large, keys, order_by, position, size)
+    """As ``place_rows``, for groups of any size, of ``rows`` rows together."""
+    ranged = range_sorted(df, keys, order_by, rows)
+    names = list(map(col, keys))
+    # One row per group and run: at most one per group and partition.
+    runs = ranged.groupBy(*names, RUN).agg(
+        F.min(AT).alias("_tb_from"),
+        F.count(F.lit(1)).alias("_tb_rows"),
+        *[F.max_by(col(c), AT).alias(f"_tb_last{i}") for i, c in enumerate(previous)],
+    )
+    group = Window.partitionBy(*names)
+    order = group.orderBy(RUN)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    lasts = [f"_tb_last{i}" for i in range(len(previous))]
+    runs = runs.select(
+        *names,
+        RUN,
+        "_tb_from",
+        F.coalesce(F.sum("_tb_rows").over(earlier), F.lit(0)).alias("_tb_before"),
+        F.sum("_tb_rows").over(group).alias(SIZE),
+        *[F.lag(last).over(order).alias(last) for last in lasts],
+    )
+    if previous:
+        inside = Window.partitionBy(*names, RUN).orderBy(AT)
+        ranged = ranged.withColumns({n: F.lag(col(c)).over(inside) for c, n in previous.items()})
+    placed = lookup(ranged, checkpointed(runs), [*keys, RUN], "inner")
+    is_first = F.col(AT) == F.col("_tb_from")
+    return placed.select(
+        *map(col, df.columns),
+        (F.col(AT) - F.col("_tb_from") + F.col("_tb_before")).alias(POSITION),
+        SIZE,
+        *[
+            F.when(is_first, F.col(last)).otherwise(F.col(new)).alias(new)
+            for last, new in zip(lasts, previous.values())
+        ],
     )
 
 
-def add_previous(
+def place_rows(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    names: Mapping[str, str],
+    previous: Mapping[str, str] | None = None,
     limit: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Add, for each ``column: new name``, the column's value in the previous row."""
-
-    def usual(small: DataFrame) -> DataFrame:
-        before = Window.partitionBy(*keys).orderBy(*order_by)
-        return small.withColumns({new: F.lag(c).over(before) for c, new in names.items()})
-
-    def oversized(large: DataFrame) -> DataFrame:
-        ranged = range_sorted(large, keys, order_by)
-        last = F.max_by(F.struct(*[F.col(c).alias(new) for c, new in names.items()]), AT)
-        runs = (
-            ranged.groupBy(*keys, RUN)
-            .agg(last.alias("_tb_last"), F.min(AT).alias("_tb_from"))
-            .select(
-                *keys,
-                RUN,
-                "_tb_from",
-                F.lag("_tb_last").over(Window.partitionBy(*keys).orderBy(RUN)).alias("_tb_last"),
-            )
-        )
-        inside = Window.partitionBy(*keys, RUN).orderBy(AT)
-        lagged = ranged.withColumns({new: F.lag(c).over(inside) for c, new in names.items()})
-        joined = _join_runs(lagged, runs, keys, "inner")
-        is_first = F.col(AT) == F.col("_tb_from")
-        return joined.select(
-            *large.columns,
-            *[
-                F.when(is_first, F.col(f"_tb_last.{new}")).otherwise(F.col(new)).alias(new)
-                for new in names.values()
-            ],
-        )
-
-    return by_group_size(df, keys, limit, usual, oversized)
+    """Add each row's ``POSITION`` in its group, from 0, and the ``SIZE`` of the group.
+
+    ``previous`` maps a column to the name under which its value in the previous row of
+    the group is added.
+    """
+    previous = previous or {}
+    return by_group_size(
+        df,
+        keys,
+        limit,
+        lambda small: place_by_window(small, keys, order_by, previous),
+        lambda large, rows: place_by_runs(large, keys, order_by, previous, rows),
+    )

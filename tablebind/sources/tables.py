@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tablebind.functions.names import col
 from tablebind.plans.checkpoints import checkpointed
-from tablebind.plans.joins import BROADCAST_ROWS, lookup
+from tablebind.plans.joins import lookup
 
 FILE = "FILE"
 SHEET = "SHEET"
@@ -243,8 +243,7 @@ def select_sheet(
         .where(F.col("_tb_place").isin(positions) | F.col(SHEET).isin(names))
         .select(FILE, SHEET)
     )
-    rows = chosen.limit(BROADCAST_ROWS + 1).count()
-    return lookup(df, chosen, [FILE, SHEET], "left_semi", rows)
+    return lookup(df, chosen, [FILE, SHEET], "left_semi")
 
 
 def write_table(

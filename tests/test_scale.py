@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tablebind as tb
-from tablebind.plans.ordered import add_previous, number_rows, split_by_size
+from tablebind.plans.ordered import POSITION, SIZE, place_rows, split_by_size
 
 
 @pytest.fixture(scope="module")
@@ -27,19 +27,19 @@ def by_key(df):
 
 
 @pytest.mark.parametrize("limit", [5, 40, 100_000])
-def test_number_rows(skewed, limit):
-    out = by_key(number_rows(skewed, ["k"], ["n"], "at", "size", limit))
+def test_positions(skewed, limit):
+    out = by_key(place_rows(skewed, ["k"], ["n"], limit=limit))
     expected = by_key(skewed)
     assert out.keys() == expected.keys()
     for k, rows in out.items():
-        assert [r["at"] for r in rows] == list(range(len(rows)))
-        assert {r["size"] for r in rows} == {len(expected[k])}
+        assert [r[POSITION] for r in rows] == list(range(len(rows)))
+        assert {r[SIZE] for r in rows} == {len(expected[k])}
 
 
 @pytest.mark.parametrize("limit", [5, 100_000])
 @pytest.mark.parametrize("keys", [["k"], []])
-def test_add_previous(skewed, limit, keys):
-    out = add_previous(skewed, keys, ["n"], {"a": "pa", "b": "pb"}, limit)
+def test_place_rows(skewed, limit, keys):
+    out = place_rows(skewed, keys, ["n"], {"a": "pa", "b": "pb"}, limit)
     groups = by_key(out) if keys else {None: sorted(out.collect(), key=lambda r: r["n"])}
     assert sum(map(len, groups.values())) == 3000
     for rows in groups.values():
@@ -49,11 +49,13 @@ def test_add_previous(skewed, limit, keys):
 
 
 def test_split_by_size_is_whole(skewed):
-    small, large = split_by_size(skewed, ["k"], 30)
+    parts = split_by_size(skewed, ["k"], 30)
+    small, large = parts.usual, parts.oversized
     assert {r[0] for r in large.select("k").distinct().collect()} >= {"hot", None}
     assert small.count() + large.count() == 3000
-    assert split_by_size(skewed, ["k"], 3000)[1] is None
-    assert split_by_size(skewed, [], 10)[0] is None
+    assert parts.oversized_rows == large.count()
+    assert split_by_size(skewed, ["k"], 3000).oversized is None
+    assert split_by_size(skewed, [], 10).usual is None
 
 
 def merged_by_hand(rows):
