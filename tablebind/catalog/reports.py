@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 import tablebind as tb
 from tablebind.catalog.tables import table
 
-SHOWN = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
-HEADING = [["Customer", "=", "Business", None], ["Key", "Name", "Segment", "Balance"]]
+SHOWN = ["c_nationkey", "c_custkey", "c_name", "c_acctbal"]
+HEADING = [["Nation", "Customer", None, "Balance"], [None, "Key", "Name", None]]
 CAPTION = "Customers by nation"
 FOOT_ROWS = 2
 
@@ -45,16 +45,16 @@ FROM orders WINDOW w AS (ORDER BY o_orderpriority, o_orderkey)
 
 
 def split_footer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = tb.split_footer(table(spark, sf_dir, "customer"), 3, "c_custkey", "c_nationkey")
+    split = tb.split_footer(table(spark, sf_dir, "orders"), 3, "o_orderkey", "o_orderpriority")
     return split.body.withColumn("section", F.lit("body")).unionByName(
         split.foot.withColumn("section", F.lit("foot"))
     )
 
 
 SPLIT_FOOTER = """
-SELECT *, CASE WHEN row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) <= 3
+SELECT *, CASE WHEN row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey DESC) <= 3
                THEN 'foot' ELSE 'body' END AS section
-FROM customer
+FROM orders
 """
 
 
@@ -75,13 +75,13 @@ FROM orders
 def _tables(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
     return tb.html_tables(
         table(spark, sf_dir, "customer"),
-        "c_nationkey",
-        ["c_mktsegment", "c_custkey"],
+        "c_mktsegment",
+        ["c_nationkey", "c_custkey"],
         SHOWN,
         HEADING,
         foot_rows=FOOT_ROWS,
-        align=["r", "l", "l", "r"],
-        blank="c_mktsegment",
+        align=["r", "l"],
+        blank="c_nationkey",
         caption=CAPTION,
         **options,
     )
@@ -108,13 +108,12 @@ OPENING = " || ".join(
     [
         f"'<table width=100%>' || chr(10) || '<caption>{CAPTION}</caption>' || chr(10)",
         "' <thead>' || chr(10) || '  <tr>' || chr(10)",
+        _head_sql('rowspan="2" style="text-align:right', "Nation"),
         _head_sql('colspan="2" style="text-align:center', "Customer"),
-        _head_sql('colspan="2" style="text-align:center', "Business"),
+        _head_sql('rowspan="2" style="text-align:left', "Balance"),
         "'  </tr>' || chr(10) || '  <tr>' || chr(10)",
-        _head_sql('style="text-align:right', "Key"),
+        _head_sql('style="text-align:left', "Key"),
         _head_sql('style="text-align:left', "Name"),
-        _head_sql('style="text-align:left', "Segment"),
-        _head_sql('style="text-align:right', "Balance"),
         "'  </tr>' || chr(10) || ' </thead>' || chr(10) || '<tbody>' || chr(10)",
     ]
 )
@@ -122,13 +121,14 @@ OPENING = " || ".join(
 LINE = " || ".join(
     [
         "'  <tr>' || chr(10)",
-        _cell_sql("right", "c_custkey"),
-        _cell_sql("left", "c_name"),
         _cell_sql(
-            "left",
-            "CASE WHEN c_mktsegment = lag(c_mktsegment) OVER w THEN '' ELSE c_mktsegment END",
+            "right",
+            "CASE WHEN c_nationkey = lag(c_nationkey) OVER w THEN '' "
+            "ELSE CAST(c_nationkey AS VARCHAR) END",
         ),
-        _cell_sql("right", "c_acctbal"),
+        _cell_sql("left", "c_custkey"),
+        _cell_sql("left", "c_name"),
+        _cell_sql("left", "c_acctbal"),
         "'  </tr>' || chr(10)",
     ]
 )
@@ -137,18 +137,18 @@ LINE = " || ".join(
 def _html_sql(part_rows: int) -> str:
     return f"""
 WITH lines AS (
-  SELECT c_nationkey, {LINE} AS line, row_number() OVER w - 1 AS pos,
-         count(*) OVER (PARTITION BY c_nationkey) AS size
-  FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_mktsegment, c_custkey)),
+  SELECT c_mktsegment, {LINE} AS line, row_number() OVER w - 1 AS pos,
+         count(*) OVER (PARTITION BY c_mktsegment) AS size
+  FROM customer WINDOW w AS (PARTITION BY c_mktsegment ORDER BY c_nationkey, c_custkey)),
 pieces AS (
-  SELECT c_nationkey, pos,
+  SELECT c_mktsegment, pos,
          CASE WHEN pos = 0 THEN {OPENING} ELSE '' END
          || CASE WHEN pos = size - {FOOT_ROWS}
                  THEN '</tbody>' || chr(10) || '<tfoot>' || chr(10) ELSE '' END
          || line
          || CASE WHEN pos = size - 1 THEN '</tfoot>' || chr(10) || '</table>' ELSE '' END AS piece
   FROM lines)
-SELECT c_nationkey, CAST(pos // {part_rows} AS BIGINT) AS PART,
+SELECT c_mktsegment, CAST(pos // {part_rows} AS BIGINT) AS PART,
        string_agg(piece, '' ORDER BY pos) AS html
 FROM pieces GROUP BY ALL
 """

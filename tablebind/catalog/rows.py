@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 import tablebind as tb
 from tablebind.catalog.tables import table
+from tablebind.plans.spread import spread
 
 PROFILED = ["orders", "documents", "conversations", "events"]
 
 
 def detect_bind_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     def modes(name: str) -> DataFrame:
-        profile = tb.detect_bind_modes(tb.stringify(table(spark, sf_dir, name)))
+        profile = tb.detect_bind_modes(tb.stringify(spread(table(spark, sf_dir, name))))
         return profile.select(F.lit(name).alias("source"), "column", "bind_all")
 
     return reduce(DataFrame.unionByName, [modes(name) for name in PROFILED])
@@ -40,10 +41,10 @@ GROUP BY "column"
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as records of a customer, with gaps, and some without a customer."""
+    """Orders as records of a customer, with gaps; pending ones have no customer."""
     key = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
-        F.when(F.col("o_custkey") % 50 != 7, F.col("o_custkey")).alias("cust"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("cust"),
         key.alias("o_orderkey"),
         F.when(key % 3 == 0, "").when(key % 7 == 0, "NA")
         .otherwise(F.col("o_orderstatus")).alias("status"),
@@ -58,7 +59,7 @@ SELECT o_custkey AS cust, o_orderkey,
             ELSE o_orderstatus END AS status,
        CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS price,
        CASE WHEN o_orderkey % 5 = 0 THEN 'NA' ELSE o_orderpriority END AS priority
-FROM orders WHERE o_custkey % 50 <> 7
+FROM orders WHERE o_orderstatus <> 'P'
 """
 
 

@@ -91,20 +91,20 @@ FROM orders
 
 
 def drop_all_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``late`` has values only at the end of the table, ``never`` has none."""
+    """``low`` has a value in some rows, ``never`` and ``nothing`` in none."""
     orders = table(spark, sf_dir, "orders")
     return tb.drop_all_null(
         orders.select(
             "o_orderkey",
             F.when(F.col("o_orderkey") < 0, F.col("o_orderpriority")).alias("never"),
-            F.when(F.col("o_orderkey") > 9000, F.col("o_orderpriority")).alias("late"),
+            F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderkey")).alias("low"),
             F.nullif(F.col("o_orderstatus"), F.col("o_orderstatus")).alias("nothing"),
         )
     )
 
 
 DROP_ALL_NULL = """
-SELECT o_orderkey, CASE WHEN o_orderkey > 9000 THEN o_orderpriority END AS late FROM orders
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN o_orderkey END AS low FROM orders
 """
 
 
