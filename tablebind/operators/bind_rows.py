@@ -28,37 +28,43 @@ SEPARATOR = ";"
 MAY_BE_QUALITATIVE = "[<>+一-鿿-]"
 
 
-def _mode(df: DataFrame, name: str) -> Column:
-    """Whether the column concatenates, as an aggregate over the table."""
-    lowered = name.lower()
-    if re.search(SINGLE_NAMES, lowered):
-        return F.lit(False)
-    dtype = df.schema[name].dataType
-    value = col(name)
-    has_value = ~is_missing(value, dtype)
-    values = F.count_if(has_value)
-    if re.search(SUMMARY_NAMES, lowered):
-        return values > 0
+def _is_text(df: DataFrame, name: str) -> Column | None:
+    """Whether a value is text without a qualitative mark; null for a missing value.
+
+    None when the column's name or type settles the mode whatever the values are.
+    """
+    dtype, value = df.schema[name].dataType, col(name)
+    if re.search(SINGLE_NAMES, name.lower()):
+        return None
+    if re.search(SUMMARY_NAMES, name.lower()):
+        return F.when(~is_missing(value, dtype), True)
     if not isinstance(dtype, StringType):
         # Numbers, dates and logical values are never text.
-        return F.lit(False)
+        return None
     is_qualitative = value.rlike(MAY_BE_QUALITATIVE) & value.rlike(QUALITATIVE)
-    text = F.count_if(has_value & ~is_numeric(value) & ~is_qualitative)
-    return F.coalesce(F.try_divide(text, values) >= TEXT_SHARE, F.lit(False))
+    return F.when(~is_missing(value), ~is_numeric(value) & ~is_qualitative)
 
 
 def detect_bind_modes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: does merging concatenate it (``bind_all``) or keep one value?
 
     A column concatenates when at least half of its values are text, or its name says
-    summary, unless its name is on the list of single values. All columns share one
-    aggregate, and columns settled by name or type are not read.
+    summary and it has a value, unless its name is on the list of single values. All
+    columns share one aggregate, and columns settled by name or type are not read.
     """
     columns = df.columns if columns is None else list(columns)
-    modes = F.array(
-        *[F.struct(F.lit(c).alias("column"), _mode(df, c).alias("bind_all")) for c in columns]
-    )
-    return df.agg(modes.alias("modes")).select(F.inline("modes"))
+    tests = {c: (f"_tb_{i}", _is_text(df, c)) for i, c in enumerate(columns)}
+    tested = df.select(*[test.alias(key) for key, test in tests.values() if test is not None])
+
+    def mode(name: str) -> Column:
+        key, test = tests[name]
+        if test is None:
+            return F.lit(False)
+        share = F.try_divide(F.count_if(F.col(key)), F.count(F.col(key)))
+        return F.coalesce(share >= TEXT_SHARE, F.lit(False))
+
+    modes = [F.struct(F.lit(c).alias("column"), mode(c).alias("bind_all")) for c in columns]
+    return tested.agg(F.array(*modes).alias("modes")).select(F.inline("modes"))
 
 
 def _first(name: str, df: DataFrame, order_by: Sequence[str]) -> Column:

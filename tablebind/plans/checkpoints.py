@@ -28,8 +28,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder, so that later reads see the same rows."""
+    """``df`` written to the checkpoint folder, so that later reads see the same rows.
+
+    For small results; see ``stored`` for large ones.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to a table in the shared folder, for large results read by column."""
+    path = new_folder(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablebind.functions.names import col
-from tablebind.plans.checkpoints import checkpointed
+from tablebind.plans.checkpoints import checkpointed, stored
 from tablebind.plans.joins import lookup
 
 # Rows of one group that a single task may hold.
@@ -93,15 +93,15 @@ def range_sorted(
 ) -> DataFrame:
     """``df`` with its global position in (keys, order) and its run.
 
-    A run is one sorted partition. The result is checkpointed: range boundaries come
-    from a sample, so position and run must not be computed twice.
+    A run is one sorted partition. The result is written out: range boundaries come from a
+    sample, so position and run must not be computed twice.
     """
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = min(max(default, -(-rows // RUN_ROWS)), MAX_RUNS)
     columns = list(map(col, [*keys, *order_by]))
     ordered = df.repartitionByRange(runs, *columns).sortWithinPartitions(*columns)
     ordered = ordered.withColumn(AT, F.monotonically_increasing_id())
-    return checkpointed(ordered.withColumn(RUN, F.shiftright(AT, ROW_BITS)))
+    return stored(ordered.withColumn(RUN, F.shiftright(AT, ROW_BITS)))
 
 
 def place_by_window(
