@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NullType, StringType, TimestampNTZType, TimestampType
 
 from tablebind.functions.names import col
-from tablebind.sources.tables import FILE, SHEET, Sheets, list_sheets, read_sheets
+from tablebind.sources.tables import FILE, SHEET, count_rows, list_sheets, read_sheets
 
 # What names lose, which names hold dates, the spreadsheet day zero, and the
 # texts that are dates.
@@ -119,11 +119,6 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
     )
 
 
-def count_rows(df: DataFrame, name: str) -> DataFrame:
-    """Rows per file and sheet."""
-    return df.groupBy(FILE, SHEET).agg(F.count(F.lit(1)).alias(name))
-
-
 def bind_report(
     inputs: Sequence[DataFrame], output: DataFrame, sheets: DataFrame | None = None
 ) -> DataFrame:
@@ -131,10 +126,8 @@ def bind_report(
 
     ``sheets`` lists the sheets expected, so that empty ones are reported with 0 rows.
     """
-    counted = [count_rows(normalize_names(t).select(FILE, SHEET), "Input") for t in inputs]
-    found = reduce(DataFrame.unionByName, counted)
-    if len(counted) > 1:
-        found = found.groupBy(FILE, SHEET).agg(F.sum("Input").alias("Input"))
+    tagged = [normalize_names(t).select(FILE, SHEET) for t in inputs]
+    found = count_rows(reduce(DataFrame.unionByName, tagged), "Input")
     if sheets is not None:
         found = (
             sheets.select(FILE, SHEET)
@@ -183,7 +176,7 @@ def bind_files(
     **options: object,
 ) -> BoundTables:
     """Read many files and bind them; see ``read_tables`` and ``bind_tables``."""
-    found: Sheets = list_sheets(spark, paths, fmt, sheet, **options)
+    found = list_sheets(spark, paths, fmt, sheet, **options)
     tables = read_sheets(found)
     return bind_tables(tables, found.as_table(), compress, date_names)
 

@@ -10,6 +10,7 @@ from tablebind.sources.tables import (
     CSV_OPTIONS,
     FILE,
     SHEET,
+    count_rows,
     list_sheets,
     read_sheets,
     write_table,
@@ -37,19 +38,17 @@ def convert_files(
         mode = "append" if i else "errorifexists"
         write_table(table, dst, to_fmt, mode, partition_by=[FILE, SHEET])
 
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(FILE, SHEET).agg(F.count(F.lit(1)).alias(name))
-
     # Counting needs no column but the folder names, which are kept as text.
     reader = spark.read.schema(f"{FILE} string, {SHEET} string").format(to_fmt)
     if to_fmt == "csv":
         reader = reader.options(**CSV_OPTIONS, enforceSchema=True)
-    target = counted(reader.load(dst), "Output")
-    source = reduce(DataFrame.unionByName, [counted(t, "Input") for t in tables])
+    target = count_rows(reader.load(dst), "Output")
+    tagged = [table.select(FILE, SHEET) for table in tables]
+    source = count_rows(reduce(DataFrame.unionByName, tagged), "Input")
     return (
         found.as_table()
         .distinct()
-        .join(source.groupBy(FILE, SHEET).agg(F.sum("Input").alias("Input")), [FILE, SHEET], "left")
+        .join(source, [FILE, SHEET], "left")
         .join(target, [FILE, SHEET], "left")
         .select(
             FILE,

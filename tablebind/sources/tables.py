@@ -8,6 +8,7 @@ import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,6 +36,9 @@ CSV_OPTIONS = {"header": True, "escape": '"'}
 
 SCHEMA_THREADS = 16
 
+# Sheets that are picked by a filter on their names rather than by a join.
+FILTER_SHEETS = 1000
+
 
 @dataclass(frozen=True)
 class Sheets:
@@ -236,14 +240,27 @@ def select_sheet(
     if not positions:
         return named
     place = F.dense_rank().over(Window.partitionBy(FILE).orderBy("_tb_ordinal", SHEET))
-    chosen = checkpointed(
+    chosen = (
         df.groupBy(FILE, SHEET)
         .agg(F.min(ordinal).alias("_tb_ordinal"))
         .withColumn("_tb_place", place)
         .where(F.col("_tb_place").isin(positions) | F.col(SHEET).isin(names))
         .select(FILE, SHEET)
     )
-    return lookup(df, chosen, [FILE, SHEET], "left_semi")
+    few = chosen.head(FILTER_SHEETS + 1)
+    if len(few) > FILTER_SHEETS:
+        return lookup(df, checkpointed(chosen), [FILE, SHEET], "left_semi")
+    # A filter on values reaches the scan and skips files, folders and stacked tables.
+    files: dict[str, list[str]] = {}
+    for row in few:
+        files.setdefault(row[SHEET], []).append(row[FILE])
+    wanted = [(F.col(SHEET) == title) & F.col(FILE).isin(held) for title, held in files.items()]
+    return df.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+
+
+def count_rows(df: DataFrame, name: str) -> DataFrame:
+    """Rows per file and sheet."""
+    return df.groupBy(FILE, SHEET).agg(F.count(F.lit(1)).alias(name))
 
 
 def write_table(

@@ -74,3 +74,16 @@ def test_html_table(spark):
     )
     with pytest.raises(ValueError, match="foot"):
         tb.html_tables(df, "g", "i", foot_rows=3)
+
+
+def test_one_html_table_without_groups(spark):
+    df = spark.createDataFrame([(2, "b"), (1, "a"), (3, None)], "i int, v string")
+    whole = tb.html_tables(df, (), "i", ["v"]).collect()
+    assert [r["PART"] for r in whole] == [0]
+    assert [line.strip() for line in whole[0]["html"].splitlines() if "<td" in line] == [
+        '<td style="text-align:left;"> a </td>',
+        '<td style="text-align:left;"> b </td>',
+        '<td style="text-align:left;"> NA </td>',
+    ]
+    pieces = tb.html_tables(df, [], "i", ["v"], part_rows=1).orderBy("PART").collect()
+    assert "".join(r["html"] for r in pieces) == whole[0]["html"]

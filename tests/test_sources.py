@@ -59,7 +59,7 @@ def test_same_schema_is_checked(spark, folder):
         mixed.collect()
 
 
-def test_workbooks_and_sheets(spark, tmp_path):
+def test_workbooks_and_sheets(spark, tmp_path, monkeypatch):
     for book, sheet, text in [("w1", "s1", "A\n1\n"), ("w1", "s2", "A\n2\n"), ("w2", "t1", "A\n3\n")]:
         (tmp_path / book).mkdir(exist_ok=True)
         (tmp_path / book / f"{sheet}.csv").write_text(text)
@@ -82,6 +82,9 @@ def test_workbooks_and_sheets(spark, tmp_path):
     with pytest.warns(UserWarning, match="gone"):
         assert rows(tb.select_sheet(table, ["s1", "gone"])) == [("w1", "s1", "1")]
     assert tb.select_sheet(table, None) is table
+    assert tb.select_sheet(table, 9).isEmpty()
+    monkeypatch.setattr("tablebind.sources.tables.FILTER_SHEETS", 1)
+    assert rows(tb.select_sheet(table, 1)) == first
 
 
 def test_types_that_differ_between_files(spark, tmp_path):
