@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType
 
 from tablebind.functions.missing import is_missing, is_numeric
 from tablebind.functions.names import as_names, col
-from tablebind.plans.ordered import GROUP_ROWS, PART, POSITION, by_group_size, place_by_runs
+from tablebind.plans.ordered import GROUP_ROWS, PART, by_group_size, place_by_runs
 
 # Marks of a qualitative finding, names that always concatenate, names that
 # never do, the share of text that makes a column concatenate, the separator.
@@ -105,10 +105,10 @@ def bind_rows(
     missing id are left out. Without ``modes`` they are profiled first, in one extra job.
     Ordering columns are in the result only when ``modes`` names them.
 
-    ``PART`` is 0 for every record of up to ``part_rows`` rows. The concatenation of a
-    larger record continues in parts 1, 2, ... of ``part_rows`` rows each, which hold no
-    other columns: joining the parts by ``;`` gives the whole text, and no task holds more
-    than a part.
+    ``PART`` is 0 for every record of up to ``part_rows`` rows (a kilobyte of text counts
+    as a row). The concatenation of a larger record continues in parts 1, 2, ... of
+    ``part_rows`` rows each, fewer where texts are long. They hold no other columns:
+    joining the parts by ``;`` gives the whole text, and no task holds more than a part.
     """
     ids, order_by = as_names(ids), as_names(order_by)
     if modes is None:
@@ -140,12 +140,11 @@ def bind_rows(
         return texts_of(grouped, F.size("_tb_rows") == 1).select(*output)
 
     def oversized(rows: DataFrame, count: int) -> DataFrame:
-        placed = place_by_runs(rows, ids, order_by, {}, count)
-        part = F.floor(F.col(POSITION) / part_rows).cast("long")
-        cut = texts_of(collected(placed.withColumn(PART, part), [*ids, PART]), F.lit(False))
+        placed = place_by_runs(rows, ids, order_by, {}, count, part_rows, texts)
+        cut = texts_of(collected(placed, [*ids, PART]), F.lit(False))
         # The single values combine before their shuffle, and join on (ids, PART), where
         # no key is frequent.
         single = rows.groupBy(*ids).agg(F.lit(0).cast("long").alias(PART), *firsts)
         return cut.join(single, [*ids, PART], "left").select(*output)
 
-    return by_group_size(records, ids, part_rows, usual, oversized)
+    return by_group_size(records, ids, part_rows, usual, oversized, texts)

@@ -210,8 +210,8 @@ def html_tables(
     on its left, ``|`` to the one above. ``blank`` names the columns whose repeats are
     blanked. The last ``foot_rows`` rows go to ``<tfoot>``.
 
-    A table of more than ``part_rows`` rows comes in several pieces, ``PART`` 0, 1, ...;
-    put together in that order they are the table.
+    A table of more than ``part_rows`` rows (a kilobyte of text counts as a row) comes in
+    several pieces, ``PART`` 0, 1, ...; put together in that order they are the table.
     """
     keys, order_by = as_names(by), as_names(order_by)
     columns = [c for c in df.columns if c not in keys] if columns is None else list(columns)
@@ -226,7 +226,7 @@ def html_tables(
 
     previous = _previous_names(as_names(blank))
     shown = df.select(*[col(c) for c in dict.fromkeys([*keys, *order_by, *columns])])
-    placed = place_rows(shown, keys, order_by, previous, part_rows)
+    placed = place_rows(shown, keys, order_by, previous, part_rows, columns)
     cells = [
         _blanked(c, previous[c]) if c in previous else col(c).cast("string") for c in columns
     ]
@@ -238,9 +238,7 @@ def html_tables(
         F.when(at == size - 1, closing).otherwise(""),
     )
     names = [col(k) for k in keys]
-    pieces = placed.select(
-        *names, F.floor(at / part_rows).cast("long").alias(PART), at, piece.alias("_tb_html")
-    )
+    pieces = placed.select(*names, PART, at, piece.alias("_tb_html"))
     ordered = F.sort_array(F.collect_list(F.struct(POSITION, "_tb_html")))
     return (
         pieces.groupBy(*names, PART)

@@ -12,26 +12,27 @@ partition.
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablebind.functions.names import col
 from tablebind.plans.checkpoints import checkpointed, stored
 from tablebind.plans.joins import lookup
 
-# Rows of one group that a single task may hold.
+# Rows of one group that a single task may hold, and the bytes of text that count as a row.
 GROUP_ROWS = 100_000
+ROW_BYTES = 1024
 
 # Rows a sorted partition should hold, and the most partitions a range sort may have: its
 # boundaries are sampled on the driver.
 RUN_ROWS = 1_000_000
 MAX_RUNS = 20_000
 
-# Numbers the pieces of a result too large for one row, from 0.
+# Columns that place_rows adds: the piece of a group too large for one task, position in the
+# group, both from 0, and the rows of the group.
 PART = "PART"
-
-# Columns that place_rows adds: position in the group from 0, rows of the group.
 POSITION = "_tb_position"
 SIZE = "_tb_size"
 
@@ -51,17 +52,31 @@ class BySize:
     oversized_rows: int = 0
 
 
-def split_by_size(df: DataFrame, keys: Sequence[str], limit: int) -> BySize:
+def text_bytes(texts: Sequence[str]) -> Column:
+    """The length of the given columns of a row as text."""
+    lengths = (F.coalesce(F.octet_length(col(c).cast("string")), F.lit(0)) for c in texts)
+    return reduce(lambda a, b: a + b, lengths, F.lit(0).cast("long"))
+
+
+def weight(rows: Column, texts_bytes: Column) -> Column:
+    """Rows, or as many rows as the text would fill."""
+    return F.greatest(rows, F.floor(texts_bytes / ROW_BYTES).cast("long"))
+
+
+def split_by_size(
+    df: DataFrame, keys: Sequence[str], limit: int, texts: Sequence[str] = ()
+) -> BySize:
     """Part ``df`` into the groups of at most ``limit`` rows and the larger ones.
 
-    Runs one counting job that reads only the key columns; without ``keys`` the whole
-    table is one group.
+    Groups whose ``texts`` are long count for more than their rows. Runs one counting job
+    that reads only the keys and those texts; without ``keys`` the whole table is one group.
     """
+    rows = F.count(F.lit(1))
+    size = weight(rows, F.sum(text_bytes(texts))) if texts else rows
     if not keys:
-        rows = df.count()
-        return BySize(df, None) if rows <= limit else BySize(None, df, rows)
-    large = df.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias(SIZE))
-    large = large.where(F.col(SIZE) > limit)
+        total = df.agg(size.alias(SIZE)).first()[0] or 0
+        return BySize(df, None) if total <= limit else BySize(None, df, total)
+    large = df.groupBy(*map(col, keys)).agg(size.alias(SIZE)).where(F.col(SIZE) > limit)
     if large.isEmpty():
         return BySize(df, None)
     large = checkpointed(large)
@@ -78,9 +93,10 @@ def by_group_size(
     limit: int,
     usual: Callable[[DataFrame], DataFrame],
     oversized: Callable[[DataFrame, int], DataFrame],
+    texts: Sequence[str] = (),
 ) -> DataFrame:
     """Apply ``usual`` to groups within the bound, ``oversized`` to the others and their rows."""
-    parts = split_by_size(df, keys, limit)
+    parts = split_by_size(df, keys, limit, texts)
     if parts.oversized is None:
         return usual(parts.usual)
     if parts.usual is None:
@@ -112,6 +128,7 @@ def place_by_window(
     order = group.orderBy(*map(col, order_by))
     return df.withColumns(
         {
+            PART: F.lit(0).cast("long"),
             POSITION: (F.row_number().over(order) - 1).cast("long"),
             SIZE: F.count(F.lit(1)).over(group),
             **{new: F.lag(col(c)).over(order) for c, new in previous.items()},
@@ -125,6 +142,8 @@ def place_by_runs(
     order_by: Sequence[str],
     previous: Mapping[str, str],
     rows: int,
+    limit: int,
+    texts: Sequence[str] = (),
 ) -> DataFrame:
     """As ``place_rows``, for groups of any size, of ``rows`` rows together."""
     ranged = range_sorted(df, keys, order_by, rows)
@@ -133,6 +152,7 @@ def place_by_runs(
     runs = ranged.groupBy(*names, RUN).agg(
         F.min(AT).alias("_tb_from"),
         F.count(F.lit(1)).alias("_tb_rows"),
+        F.sum(text_bytes(texts)).alias("_tb_bytes"),
         *[F.max_by(col(c), AT).alias(f"_tb_last{i}") for i, c in enumerate(previous)],
     )
     group = Window.partitionBy(*names)
@@ -145,6 +165,7 @@ def place_by_runs(
         "_tb_from",
         F.coalesce(F.sum("_tb_rows").over(earlier), F.lit(0)).alias("_tb_before"),
         F.sum("_tb_rows").over(group).alias(SIZE),
+        F.sum("_tb_bytes").over(group).alias("_tb_bytes"),
         *[F.lag(last).over(order).alias(last) for last in lasts],
     )
     if previous:
@@ -152,9 +173,14 @@ def place_by_runs(
         ranged = ranged.withColumns({n: F.lag(col(c)).over(inside) for c, n in previous.items()})
     placed = lookup(ranged, checkpointed(runs), [*keys, RUN], "inner")
     is_first = F.col(AT) == F.col("_tb_from")
+    position = F.col(AT) - F.col("_tb_from") + F.col("_tb_before")
+    # Rows per piece: the limit, or fewer where the texts of the group are long.
+    shrunk = F.floor(limit * F.col(SIZE) / weight(F.col(SIZE), F.col("_tb_bytes")))
+    piece = F.floor(position / F.greatest(shrunk, F.lit(1)))
     return placed.select(
         *map(col, df.columns),
-        (F.col(AT) - F.col("_tb_from") + F.col("_tb_before")).alias(POSITION),
+        piece.cast("long").alias(PART),
+        position.alias(POSITION),
         SIZE,
         *[
             F.when(is_first, F.col(last)).otherwise(F.col(new)).alias(new)
@@ -169,11 +195,13 @@ def place_rows(
     order_by: Sequence[str],
     previous: Mapping[str, str] | None = None,
     limit: int = GROUP_ROWS,
+    texts: Sequence[str] = (),
 ) -> DataFrame:
     """Add each row's ``POSITION`` in its group, from 0, and the ``SIZE`` of the group.
 
-    ``previous`` maps a column to the name under which its value in the previous row of
-    the group is added.
+    ``PART`` cuts a group into consecutive pieces of at most ``limit`` rows, or fewer where
+    ``texts`` are long. ``previous`` maps a column to the name under which its value in the
+    previous row of the group is added.
     """
     previous = previous or {}
     return by_group_size(
@@ -181,5 +209,6 @@ def place_rows(
         keys,
         limit,
         lambda small: place_by_window(small, keys, order_by, previous),
-        lambda large, rows: place_by_runs(large, keys, order_by, previous, rows),
+        lambda large, rows: place_by_runs(large, keys, order_by, previous, rows, limit, texts),
+        texts,
     )

@@ -135,3 +135,18 @@ def test_html_pieces_make_the_same_tables(skewed, foot_rows):
         pieces[r["g"]] = pieces.get(r["g"], "") + r["html"]
     assert cut.where("g = 'hot'").count() > 10
     assert pieces == whole
+
+
+def test_long_texts_make_more_parts(spark):
+    """40 rows of 10 kB weigh 400; at 100 a part that is ten rows in each of four."""
+    i = F.col("id")
+    df = spark.range(41).select(
+        F.when(i < 40, 1).otherwise(2).alias("k"), i.alias("n"),
+        F.repeat(F.char(i + 48), F.lit(10 * 1024)).alias("t"),
+    )
+    out = tb.bind_rows(df, "k", "n", {"t": True}, 100).orderBy("k", "PART").collect()
+    assert [(r["k"], r["PART"], len(r["t"])) for r in out] == [
+        (1, 0, 102409), (1, 1, 102409), (1, 2, 102409), (1, 3, 102409), (2, 0, 10240),
+    ]
+    whole = tb.bind_rows(df, "k", "n", {"t": True}).where("k = 1").first()["t"]
+    assert ";".join(r["t"] for r in out[:4]) == whole
