@@ -28,19 +28,8 @@ SEPARATOR = ";"
 MAY_BE_QUALITATIVE = "[<>+一-鿿-]"
 
 
-def _is_text(df: DataFrame, name: str) -> Column | None:
-    """Whether a value is text without a qualitative mark; null for a missing value.
-
-    None when the column's name or type settles the mode whatever the values are.
-    """
-    dtype, value = df.schema[name].dataType, col(name)
-    if re.search(SINGLE_NAMES, name.lower()):
-        return None
-    if re.search(SUMMARY_NAMES, name.lower()):
-        return F.when(~is_missing(value, dtype), True)
-    if not isinstance(dtype, StringType):
-        # Numbers, dates and logical values are never text.
-        return None
+def _is_text(value: Column) -> Column:
+    """Whether a value is text without a qualitative mark; null for a missing value."""
     is_qualitative = value.rlike(MAY_BE_QUALITATIVE) & value.rlike(QUALITATIVE)
     return F.when(~is_missing(value), ~is_numeric(value) & ~is_qualitative)
 
@@ -49,22 +38,36 @@ def detect_bind_modes(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     """One row per column: does merging concatenate it (``bind_all``) or keep one value?
 
     A column concatenates when at least half of its values are text, or its name says
-    summary and it has a value, unless its name is on the list of single values. All
-    columns share one aggregate, and columns settled by name or type are not read.
+    summary and it has a value, unless its name is on the list of single values.
+
+    Columns settled by name or type (numbers, dates and logical values are no text) are
+    not read. The values of the others become rows (column, value), so that the test is
+    compiled once however wide the table is, and are counted before the one shuffle.
     """
     columns = df.columns if columns is None else list(columns)
-    tests = {c: (f"_tb_{i}", _is_text(df, c)) for i, c in enumerate(columns)}
-    tested = df.select(*[test.alias(key) for key, test in tests.values() if test is not None])
-
-    def mode(name: str) -> Column:
-        key, test = tests[name]
-        if test is None:
-            return F.lit(False)
-        share = F.try_divide(F.count_if(F.col(key)), F.count(F.col(key)))
-        return F.coalesce(share >= TEXT_SHARE, F.lit(False))
-
-    modes = [F.struct(F.lit(c).alias("column"), mode(c).alias("bind_all")) for c in columns]
-    return tested.agg(F.array(*modes).alias("modes")).select(F.inline("modes"))
+    single = {c for c in columns if re.search(SINGLE_NAMES, c.lower())}
+    summary = {c for c in columns if re.search(SUMMARY_NAMES, c.lower())} - single
+    text = {c for c in columns if isinstance(df.schema[c].dataType, StringType)} - single
+    tested = [c for c in columns if c in summary | text]
+    places = {c: i for i, c in enumerate(tested)}
+    names = df.sparkSession.createDataFrame(
+        [(c, places.get(c, -1), c in summary) for c in columns],
+        "column string, place int, is_summary boolean",
+    )
+    if not tested:
+        return names.select("column", F.lit(False).alias("bind_all"))
+    values = F.array(*[col(c).cast("string") for c in tested])
+    counts = (
+        df.select(F.posexplode(values).alias("place", "value"))
+        .select("place", _is_text(F.col("value")).alias("is_text"))
+        .groupBy("place")
+        .agg(F.count_if("is_text").alias("texts"), F.count("is_text").alias("values"))
+    )
+    share = F.try_divide("texts", "values")
+    mode = F.when(F.col("is_summary"), F.col("values") > 0).otherwise(share >= TEXT_SHARE)
+    return names.join(counts, "place", "left").select(
+        "column", F.coalesce(mode, F.lit(False)).alias("bind_all")
+    )
 
 
 def _first(name: str, df: DataFrame, order_by: Sequence[str]) -> Column:
