@@ -8,7 +8,8 @@ from tablebind.plans.checkpoints import checkpointed
 from tablebind.plans.joins import lookup
 
 BLANKS = r"[\x20\x09-\x0D]+"
-SYMBOLS = r"[#*$%&|<>]"
+#: All but the characters that count as symbols.
+OTHERS = r"[^#*$%&|<>]+"
 #: Words of a window, and the base limits: fewest words, highest share of repeated ones.
 WINDOW, LEAST_WORDS, REPEATED = 5, 10, 0.2
 
@@ -17,50 +18,64 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, BLANKS), "")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once. A column of an earlier step would not do: a filter
+    pushed below that step puts the column's expression in its place, also inside a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _repeated(text: Column) -> Column:
+    """Words in windows that stand twice or more; only texts with such windows are sorted."""
+
+    def windows(w: Column) -> Column:
+        starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - (WINDOW - 1), F.lit(0)))
+        return F.transform(
+            starts, lambda x, i: F.xxhash64(x, *[F.get(w, i + k) for k in range(1, WINDOW)])
+        )
+
+    def covered(s: Column) -> Column:
+        again = F.filter(
+            s,
+            lambda x, k: F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False))
+            | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False)),
+        )
+        places = F.array_sort(F.transform(again, lambda x: x["i"]))
+        zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto"))
+        return F.aggregate(
+            places,
+            zero,
+            lambda a, i: F.struct(
+                (a["n"] + WINDOW - F.greatest(a["upto"] - i, F.lit(0))).alias("n"),
+                (i + WINDOW).alias("upto"),
+            ),
+            lambda a: a["n"],
+        )
+
+    def counted(h: Column) -> Column:
+        placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+        twice = F.size(h) > F.size(F.array_distinct(h))
+        return F.when(twice, _let(F.array_sort(placed), covered)).otherwise(F.lit(0).cast("long"))
+
+    return _let(words(text), lambda w: _let(windows(w), counted))
+
+
 def _measured(docs: DataFrame) -> DataFrame:
-    """Counts of ``_text`` as columns n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words; each step's columns are read more than once and so computed once."""
-    step = docs.withColumns(
-        {
-            "_words": words(F.col("_text")),
-            "_lines": F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-        }
-    )
-    n = F.size("_words")
-    step = step.withColumns(
+    """``docs`` with the counts of ``_text``."""
+    text = F.col("_text")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    solid = F.regexp_replace(text, BLANKS, "")
+    symbols = F.regexp_replace(text, OTHERS, "")
+    return docs.withColumns(
         {
-            "_windows": F.expr(
-                f"transform(slice(_words, 1, greatest(size(_words) - {WINDOW - 1}, 0)), (x, i) -> "
-                f"xxhash64(x, {', '.join(f'_words[i + {k}]' for k in range(1, WINDOW))}))"
+            "n_words": F.size(words(text)).cast("long"),
+            "word_chars": F.length(solid).cast("long"),
+            "n_symbols": F.length(symbols).cast("long"),
+            "n_dup_lines": _let(
+                lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")
             ),
-            "n_words": n.cast("long"),
-            "word_chars": F.length(F.regexp_replace("_text", BLANKS, "")).cast("long"),
-            "n_symbols": F.length(F.regexp_replace("_text", SYMBOLS.replace("[", "[^", 1) + "+", "")).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+            "n_repeat_words": _repeated(text),
         }
     )
-    # Only texts with two equal windows are sorted; equal hashes are then compared as words.
-    step = step.withColumn(
-        "_sorted",
-        F.when(
-            F.size("_windows") > F.size(F.array_distinct("_windows")),
-            F.expr("array_sort(transform(_windows, (h, i) -> struct(h AS h, i AS i)))"),
-        ),
-    )
-    step = step.withColumn(
-        "_again",
-        F.expr(
-            "array_sort(transform(filter(_sorted, (x, k) -> "
-            "(k > 0 AND get(_sorted, k - 1).h = x.h) OR get(_sorted, k + 1).h <=> x.h), x -> x.i))"
-        ),
-    )
-    covered = F.expr(
-        f"aggregate(_again, struct(0L AS n, 0 AS upto), (a, i) -> "
-        f"struct(a.n + {WINDOW} - greatest(a.upto - i, 0) AS n, i + {WINDOW} AS upto), a -> a.n)"
-    )
-    return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop(
-        "_words", "_lines", "_windows", "_sorted", "_again"
-    )
 
 
 def _lines(docs: DataFrame) -> DataFrame:
