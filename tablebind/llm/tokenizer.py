@@ -6,6 +6,7 @@ so nearly every one is a dictionary look-up.
 """
 
 import os
+import struct
 
 import regex
 
@@ -14,8 +15,8 @@ PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 WORD_END = "</w>"
 
-#: Runs kept by a Python worker, and the longest run worth keeping.
-CACHE_RUNS, CACHE_BYTES = 400_000, 64
+#: Runs and pre-tokens kept by a Python worker, and the longest worth keeping.
+KEPT_RUNS, KEPT_WORDS, KEPT_LENGTH = 600_000, 1_000_000, 64
 #: Below this code point the pattern above and the library's own agree on what is a letter.
 PLAIN = "ɏ"
 
@@ -59,56 +60,71 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(proven)
 
 
-class Runs(dict):
-    """What each run gives, computed once by ``of``; starts anew when full."""
+class Kept(dict):
+    """What ``of`` gives for each key, computed when first asked for; starts anew when full."""
 
-    def __init__(self, of):
+    def __init__(self, of, most: int):
         super().__init__()
-        self.of = of
+        self.of, self.most = of, most
 
-    def __missing__(self, run: bytes):
-        value = self.of(run)
-        if len(run) <= CACHE_BYTES:
-            if len(self) >= CACHE_RUNS:
+    def __missing__(self, key):
+        value = self.of(key)
+        if len(key) <= KEPT_LENGTH:
+            if len(self) >= self.most:
                 self.clear()
-            self[run] = value
+            self[key] = value
         return value
 
 
 #: By worker process: a task finds what earlier tasks have computed.
-_WORKERS: dict[tuple[str, str], Runs] = {}
+_WORKERS: dict[tuple[str, str], Kept] = {}
 
 
-def id_runs(path: str) -> Runs:
+def _runs(path: str, of_word, of_text, join) -> Kept:
+    """Run -> ``join`` of what its pre-tokens give. ``of_word`` gets a pre-token and the model that
+    merges it; a run with special tokens or rare letters goes as a whole to ``of_text``."""
+    tokenizer = load(path)
+    letters = {b: c for c, b in byte_letters().items()}
+
+    def word(text: str):
+        spelled = text if text.isascii() else "".join([letters[b] for b in text.encode()])
+        return of_word(text, spelled, tokenizer.model)
+
+    words = Kept(word, KEPT_WORDS)
+
+    def run(raw: bytes):
+        text = raw.decode()
+        if max(text) > PLAIN or any(s in raw for s in SPECIAL):
+            return of_text(tokenizer.encode(text, add_special_tokens=False).ids)
+        normal = text.lower() if text.isascii() else tokenizer.normalizer.normalize_str(text)
+        return join([words[x] for x in PRE_TOKEN.findall(normal)])
+
+    return Kept(run, KEPT_RUNS)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def id_runs(path: str) -> Kept:
     """Run -> its ids as little-endian unsigned 32-bit numbers."""
     if ("ids", path) not in _WORKERS:
-        import numpy as np
-
-        tokenizer = load(path)
-        _WORKERS["ids", path] = Runs(
-            lambda run: np.array(
-                tokenizer.encode(run.decode(), add_special_tokens=False).ids, "<u4"
-            ).tobytes()
+        _WORKERS["ids", path] = _runs(
+            path,
+            lambda _, spelled, model: _packed([t.id for t in model.tokenize(spelled)]),
+            _packed,
+            b"".join,
         )
     return _WORKERS["ids", path]
 
 
-def count_runs(path: str, proven: frozenset[str]) -> Runs:
+def count_runs(path: str, proven: frozenset[str]) -> Kept:
     """Run -> its number of tokens: proven pre-tokens count one, the others are merged."""
     if ("count", path) not in _WORKERS:
-        tokenizer = load(path)
-
-        def merged(text: str) -> int:
-            return len(tokenizer.encode(text, add_special_tokens=False).ids)
-
-        def count(run: bytes) -> int:
-            text = run.decode()
-            if text in proven:
-                return 1
-            if max(text) > PLAIN or any(s in run for s in SPECIAL):
-                return merged(text)
-            normal = text.lower() if text.isascii() else tokenizer.normalizer.normalize_str(text)
-            return sum(1 if x in proven else merged(x) for x in PRE_TOKEN.findall(normal))
-
-        _WORKERS["count", path] = Runs(count)
+        _WORKERS["count", path] = _runs(
+            path,
+            lambda text, spelled, model: 1 if text in proven else len(model.tokenize(spelled)),
+            len,
+            sum,
+        )
     return _WORKERS["count", path]
