@@ -13,7 +13,7 @@ from tablebind.llm.tokenizer import id_runs
 from tablebind.plans.checkpoints import checkpointed, stored
 
 #: Tokens in one unit of the length histogram, and pieces ranked by one task.
-UNIT, RANKED = 16, 50_000
+UNIT, RANKED = 16, 5_000
 
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
