@@ -5,11 +5,11 @@ the next stage's documents. All but the last return the columns of documents.
 """
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablebind.functions.names import col
-from tablebind.llm.decontaminate import find_passages, without_spans
+from tablebind.llm.decontaminate import find_passages, pairs_sum, without_spans
 from tablebind.llm.packing import pack
 from tablebind.llm.quality import quality
 from tablebind.llm.secrets import masked
@@ -18,29 +18,38 @@ from tablebind.plans.checkpoints import new_folder, stored
 from tablebind.plans.joins import lookup
 
 
-def _with_text(docs: DataFrame, text) -> DataFrame:
-    """``docs`` with another text, and its length where there is a column for it."""
-    changed = docs.withColumn("text", text)
-    return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else changed
+def _text(column) -> Column:
+    return F.coalesce(column.cast("string"), F.lit(""))
+
+
+def _keyed(docs: DataFrame, row_hash: Column) -> DataFrame:
+    """Rows in one column, so that no name of theirs meets one of ours, beside their keys."""
+    return docs.select(
+        F.struct(*[col(c).alias(c) for c in docs.columns]).alias("_row"),
+        col("doc_id").cast("long").alias("_id"),
+        row_hash.alias("_hash"),
+    )
+
+
+def _rows(found: DataFrame, row: str, columns: list[str], text: Column | None = None) -> DataFrame:
+    """The columns of documents again, with another text and its length if there is one."""
+    new = {} if text is None else {"text": text, "n_chars": F.length(text).cast("long")}
+    return found.select(*[new.get(c, F.col(row)[c]).alias(c) for c in columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that fail, and without the lines that too many documents share."""
-    key = F.xxhash64(
-        F.coalesce(col("source").cast("string"), F.lit("")), F.coalesce(col("text").cast("string"), F.lit(""))
-    )
     rated = quality(docs).select(
         F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), "kept", "removed"
     )
     # Equal rows have equal verdicts; only rows that change or go need to be looked up.
     told = stored(rated.where("NOT kept OR size(removed) > 0").distinct())
-    keyed = docs.withColumns({"_id": col("doc_id").cast("long"), "_hash": key})
+    keyed = _keyed(docs, F.xxhash64(_text(col("source")), _text(col("text"))))
     found = lookup(keyed, told, ["_id", "_hash"], "left").where("coalesce(kept, true)")
-    lines = F.filter(
-        F.split("text", "\n", -1), lambda x, k: ~F.array_contains("removed", k)
-    )
-    text = F.when(F.size("removed") > 0, F.array_join(lines, "\n")).otherwise(F.col("text"))
-    return _with_text(found, text).select(*docs.columns)
+    old = F.col("_row")["text"]
+    lines = F.filter(F.split(old, "\n", -1), lambda x, k: ~F.array_contains("removed", k))
+    text = F.when(F.size("removed") > 0, F.array_join(lines, "\n")).otherwise(old)
+    return _rows(found, "_row", docs.columns, text)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,27 +71,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .where("NOT _stays OR count > 1")
         .drop("count")
     )
-    text_hash = F.xxhash64(F.coalesce(col("text").cast("string"), F.lit("")))
-    keyed = docs.withColumns({"_id": col("doc_id").cast("long"), "_hash": text_hash})
+    keyed = _keyed(docs, F.xxhash64(_text(col("text"))))
     found = lookup(keyed, told, ["_id", "_hash"], "left").where("coalesce(_stays, true)")
     once = found.where("_stays").dropDuplicates(["_id", "_hash"])
-    return found.where("_stays IS NULL").union(once).select(*docs.columns)
+    return _rows(found.where("_stays IS NULL").union(once), "_row", docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the passages of the benchmark; a document with nothing else goes."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = find_passages(docs, benchmark, keep=tuple(docs.columns))
-    rows = found.select("kept.*", F.col("spans").alias("_spans"))
-    clean = _with_text(rows, without_spans(F.col("text"), F.col("_spans")))
-    left = F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
-    return clean.where((F.size("_spans") == 0) | left).select(*docs.columns)
+    text = without_spans(F.col("kept")["text"], F.col("spans"))
+    # All words are hit: the words of the hits are the words of the document.
+    left = (pairs_sum(F.col("hits")) < F.col("n_words")) | (F.col("n_words") == 0)
+    return _rows(found.where(left), "kept", docs.columns, text)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked."""
     clean = masked(docs)
-    return _with_text(clean, F.col("text")).select(*docs.columns)
+    return clean.select(
+        *[F.length(col("text")).cast("long").alias(c) if c == "n_chars" else col(c) for c in docs.columns]
+    )
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
