@@ -15,8 +15,8 @@ PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 WORD_END = "</w>"
 
-#: Runs and pre-tokens kept by a Python worker, and the longest worth keeping.
-KEPT_RUNS, KEPT_WORDS, KEPT_LENGTH = 600_000, 1_000_000, 64
+#: Runs and pre-tokens of one age kept by a Python worker, and the longest worth keeping.
+KEPT_RUNS, KEPT_WORDS, KEPT_LENGTH = 200_000, 250_000, 64
 #: Below this code point the pattern above and the library's own agree on what is a letter.
 PLAIN = "ɏ"
 
@@ -61,16 +61,23 @@ def whole_tokens(path: str) -> frozenset[str]:
 
 
 class Kept(dict):
-    """What ``of`` gives for each key, computed when first asked for; starts anew when full."""
+    """What ``of`` gives for each key, computed when first asked for.
+
+    When ``most`` keys are held they become the old ones, which go when there are as many new ones;
+    an old key that is asked for is new again, so frequent keys stay.
+    """
 
     def __init__(self, of, most: int):
         super().__init__()
-        self.of, self.most = of, most
+        self.of, self.most, self.old = of, most, {}
 
     def __missing__(self, key):
-        value = self.of(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.of(key)
         if len(key) <= KEPT_LENGTH:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
