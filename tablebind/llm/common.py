@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablebind.functions.names import col
 
 #: Rows handed to Python at once. Spark's default of 10,000 whole texts is too many.
-BATCH_ROWS = 1000
+BATCH_ROWS = 256
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: Bytes of UTF-8 that belong to an alphanumeric word, in lower case; others become blanks.
@@ -37,14 +37,35 @@ def texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+#: What a Python worker keeps from task to task: one operator's look-up tables at a time.
+WORKER_MEMORY: dict[str, object] = {}
+
+
+def worker_memory(owner: str, make: Callable[[], object]):
+    """The tables of ``owner`` in this worker process, made when first asked for."""
+    if owner not in WORKER_MEMORY:
+        WORKER_MEMORY[owner] = make()
+    return WORKER_MEMORY[owner]
+
+
 def map_batches(
-    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame,
+    fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+    owner: str = "",
 ) -> DataFrame:
-    """``df`` through ``fn`` in Arrow batches of at most BATCH_ROWS rows."""
+    """``df`` through ``fn`` in Arrow batches of at most BATCH_ROWS rows. What the worker has kept
+    for operators other than ``owner`` is let go first."""
     conf = df.sparkSession.conf
     if int(conf.get(BATCH_SETTING)) > BATCH_ROWS:
         conf.set(BATCH_SETTING, BATCH_ROWS)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        for name in [k for k in WORKER_MEMORY if k != owner]:
+            del WORKER_MEMORY[name]
+        return fn(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablebind.llm.common import id_text, map_batches, texts
-from tablebind.llm.tokenizer import id_runs
+from tablebind.llm.tokenizer import id_runs, ids_owner
 from tablebind.plans.checkpoints import checkpointed, stored
 
 #: Tokens in one unit of the length histogram, and pieces ranked by one task.
@@ -152,7 +152,7 @@ def pieces(
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     return map_batches(
-        id_text(docs, id_col, text_col), cut, schema + ", ids binary" * with_ids
+        id_text(docs, id_col, text_col), cut, schema + ", ids binary" * with_ids, ids_owner(path)
     )
 
 

@@ -10,6 +10,8 @@ import struct
 
 import regex
 
+from tablebind.llm.common import worker_memory
+
 #: The pre-token pattern of the tokenizer's file, and its special tokens.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
@@ -83,10 +85,6 @@ class Kept(dict):
         return value
 
 
-#: By worker process: a task finds what earlier tasks have computed.
-_WORKERS: dict[tuple[str, str], Kept] = {}
-
-
 def _runs(path: str, of_word, of_text, join) -> Kept:
     """Run -> ``join`` of what its pre-tokens give. ``of_word`` gets a pre-token and the model that
     merges it; a run with special tokens or rare letters goes as a whole to ``of_text``."""
@@ -113,25 +111,37 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def ids_owner(path: str) -> str:
+    return f"ids {path}"
+
+
 def id_runs(path: str) -> Kept:
     """Run -> its ids as little-endian unsigned 32-bit numbers."""
-    if ("ids", path) not in _WORKERS:
-        _WORKERS["ids", path] = _runs(
+
+    def make() -> Kept:
+        return _runs(
             path,
             lambda _, spelled, model: _packed([t.id for t in model.tokenize(spelled)]),
             _packed,
             b"".join,
         )
-    return _WORKERS["ids", path]
+
+    return worker_memory(ids_owner(path), make)
+
+
+def counts_owner(path: str) -> str:
+    return f"counts {path}"
 
 
 def count_runs(path: str, proven: frozenset[str]) -> Kept:
     """Run -> its number of tokens: proven pre-tokens count one, the others are merged."""
-    if ("count", path) not in _WORKERS:
-        _WORKERS["count", path] = _runs(
+
+    def make() -> Kept:
+        return _runs(
             path,
             lambda text, spelled, model: 1 if text in proven else len(model.tokenize(spelled)),
             len,
             sum,
         )
-    return _WORKERS["count", path]
+
+    return worker_memory(counts_owner(path), make)

@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tablebind.llm.common import id_text, map_batches, texts
-from tablebind.llm.tokenizer import count_runs, whole_tokens
+from tablebind.llm.tokenizer import count_runs, counts_owner, whole_tokens
 
 
 def token_counts(
@@ -39,4 +39,5 @@ def token_counts(
         id_text(docs, id_col, text_col),
         count,
         "doc_id long, n_bytes long, n_tokens long, over_limit boolean",
+        counts_owner(path),
     )
