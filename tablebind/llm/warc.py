@@ -54,6 +54,9 @@ def _write(records: DataFrame, path: str, end: str, codec: str) -> None:
 
 
 def _address(url: str | None) -> str:
+    """A page's address without blanks; none is taken for a file description."""
+    if url and url.startswith("filedesc:"):
+        url = url.replace(":", "%3A", 1)
     return quote(url or "about:blank", safe="%/:=&?~#+!$,;'@()*[]") or "about:blank"
 
 
