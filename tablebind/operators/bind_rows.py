@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType
 
 from tablebind.functions.missing import is_missing, is_numeric
 from tablebind.functions.names import as_names, col
-from tablebind.plans.ordered import GROUP_ROWS, PART, by_group_size, place_by_runs
+from tablebind.plans.ordered import GROUP_ROWS, PART, SIZE, by_group_size, place_by_runs
 
 # Marks of a qualitative finding, names that always concatenate, names that
 # never do, the share of text that makes a column concatenate, the separator.
@@ -144,7 +144,8 @@ def bind_rows(
 
     def oversized(rows: DataFrame, count: int) -> DataFrame:
         placed = place_by_runs(rows, ids, order_by, {}, count, part_rows, texts)
-        cut = texts_of(collected(placed, [*ids, PART]), F.lit(False))
+        lone = (F.max(SIZE) == 1).alias("_tb_lone")
+        cut = texts_of(collected(placed, [*ids, PART], lone), F.col("_tb_lone")).drop("_tb_lone")
         # The single values combine before their shuffle, and join on (ids, PART), where
         # no key is frequent.
         single = rows.groupBy(*ids).agg(F.lit(0).cast("long").alias(PART), *firsts)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NullType, StringType, TimestampNTZType, TimestampType
 
-from tablebind.functions.names import col
+from tablebind.functions.names import balanced, col
 from tablebind.sources.tables import FILE, SHEET, count_rows, list_sheets, read_sheets
 
 # What names lose, which names hold dates, the spreadsheet day zero, and the
@@ -114,9 +114,14 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
     Columns stand in order of first appearance. The cast comes first, since tables read
     apart may give one column several types.
     """
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True), [stringify(t) for t in tables]
-    )
+    names = list(dict.fromkeys(c for t in tables for c in t.columns))
+
+    def widened(table: DataFrame) -> DataFrame:
+        held = set(table.columns)
+        absent = F.lit(None).cast("string")
+        return table.select(*[(col(c) if c in held else absent).alias(c) for c in names])
+
+    return balanced([widened(stringify(t)) for t in tables], DataFrame.union)
 
 
 def bind_report(

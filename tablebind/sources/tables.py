@@ -8,14 +8,13 @@ import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tablebind.functions.names import col
+from tablebind.functions.names import balanced, col
 from tablebind.plans.checkpoints import checkpointed
 from tablebind.plans.joins import lookup
 
@@ -251,11 +250,21 @@ def select_sheet(
     if len(few) > FILTER_SHEETS:
         return lookup(df, checkpointed(chosen), [FILE, SHEET], "left_semi")
     # A filter on values reaches the scan and skips files, folders and stacked tables.
-    files: dict[str, list[str]] = {}
+    files: dict[str | None, list[str | None]] = {}
     for row in few:
         files.setdefault(row[SHEET], []).append(row[FILE])
-    wanted = [(F.col(SHEET) == title) & F.col(FILE).isin(held) for title, held in files.items()]
-    return df.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+    if not files:
+        return df.limit(0)
+    wanted = [_same(SHEET, [title]) & _same(FILE, held) for title, held in files.items()]
+    return df.where(balanced(wanted, lambda a, b: a | b))
+
+
+def _same(name: str, values: Sequence[str | None]) -> Column:
+    """The column has one of the values; null is a value like any other."""
+    given = [v for v in values if v is not None]
+    if len(given) == len(values):
+        return F.col(name).isin(given)
+    return F.col(name).isNull() | F.col(name).isin(given)
 
 
 def count_rows(df: DataFrame, name: str) -> DataFrame:
