@@ -14,12 +14,12 @@ from tablebind.sources.tables import FILE, SHEET
 
 
 def inconsistent_targets(mapping: DataFrame) -> DataFrame:
-    """The targets (``InDb``) whose ``BindAll`` is neither all true nor all false."""
-    target = F.upper("InDb")
+    """The targets (``InDb``) whose ``BindAll`` is neither all true nor all false; null is false."""
+    target, every = F.upper("InDb"), F.coalesce("BindAll", F.lit(False))
     return (
         mapping.where(F.col("InDb").isNotNull())
         .groupBy(target.alias("InDb"))
-        .agg(F.bool_and("BindAll").alias("every"), F.bool_or("BindAll").alias("some"))
+        .agg(F.bool_and(every).alias("every"), F.bool_or(every).alias("some"))
         .where(F.col("every") != F.col("some"))
         .select("InDb")
     )
@@ -28,11 +28,7 @@ def inconsistent_targets(mapping: DataFrame) -> DataFrame:
 def prepare_mapping(mapping: DataFrame) -> list[MapRow]:
     """The checked dictionary: sorted, upper case, one bind mode per target."""
     rows = load_mapping(mapping)
-    modes: dict[str, set[bool]] = {}
-    for row in rows:
-        if row.target is not None:
-            modes.setdefault(row.target, set()).add(row.bind_all)
-    mixed = [target for target, seen in modes.items() if len(seen) > 1]
+    mixed = [r["InDb"] for r in inconsistent_targets(mapping).orderBy("InDb").collect()]
     if mixed:
         raise ValueError(f"BindAll is not consistent for: {', '.join(mixed)}")
     return rows

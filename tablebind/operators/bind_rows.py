@@ -143,7 +143,11 @@ def bind_rows(
         return texts_of(grouped, F.size("_tb_rows") == 1).select(*output)
 
     def oversized(rows: DataFrame, count: int) -> DataFrame:
-        placed = place_by_runs(rows, ids, order_by, {}, count, part_rows, texts)
+        # Ties are ordered by the texts, as in _rows.
+        values = {c: col(c).cast("string") for c in texts if c not in order_by}
+        placed = place_by_runs(
+            rows.withColumns(values), ids, order_by, {}, count, part_rows, texts, list(values)
+        )
         lone = (F.max(SIZE) == 1).alias("_tb_lone")
         cut = texts_of(collected(placed, [*ids, PART], lone), F.col("_tb_lone")).drop("_tb_lone")
         # The single values combine before their shuffle, and join on (ids, PART), where

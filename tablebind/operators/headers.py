@@ -4,7 +4,7 @@ Sheets come as a cells table: ``FILE``, ``SHEET``, ``row``, ``col`` (both from 1
 ``value``.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablebind.functions.missing import is_missing, is_numeric
@@ -26,29 +26,32 @@ def header_profile(cells: DataFrame, rows: int = TOP_ROWS, na_rm: bool = False)
     ``Unique`` that of distinct ones, ``Complete`` that of filled cells, each of the sheet
     width; with ``na_rm`` the first two are shares of the filled cells.
 
-    Only the top rows are read with their values; the width needs the positions alone.
+    One scan: cells below the top rows count for the width only, as one more row of the sheet.
     """
     value = F.col("value")
-    filled = ~is_missing(value)
+    top = F.col("row") <= rows
+    filled = top & ~is_missing(value)
     is_name = filled & ~is_numeric(value) & (F.length(value) < NAME_CHARS)
-    counts = (
-        cells.where(F.col("row") <= rows)
-        .groupBy(FILE, SHEET, F.col("row").alias("RowNum"))
-        .agg(
-            F.count_if(is_name).alias("names"),
-            F.count_distinct(F.when(is_name, value)).alias("distinct_names"),
-            F.count_if(filled).alias("filled"),
-        )
+    counts = cells.groupBy(FILE, SHEET, F.when(top, F.col("row")).alias("RowNum")).agg(
+        F.count_if(is_name).alias("names"),
+        F.count_distinct(F.when(is_name, value)).alias("distinct_names"),
+        F.count_if(filled).alias("filled"),
+        F.max("col").alias("last"),
     )
-    width = cells.groupBy(FILE, SHEET).agg(F.max("col").alias("width"))
+    # At most one row more than the top rows for each sheet.
+    width = F.max("last").over(Window.partitionBy(FILE, SHEET))
     base = F.col("filled" if na_rm else "width")
-    return counts.join(width, [FILE, SHEET]).select(
-        FILE,
-        SHEET,
-        "RowNum",
-        F.try_divide("names", base).alias("Valid"),
-        F.try_divide("distinct_names", base).alias("Unique"),
-        F.try_divide("filled", "width").alias("Complete"),
+    return (
+        counts.withColumn("width", width)
+        .where(F.col("RowNum").isNotNull())
+        .select(
+            FILE,
+            SHEET,
+            "RowNum",
+            F.try_divide("names", base).alias("Valid"),
+            F.try_divide("distinct_names", base).alias("Unique"),
+            F.try_divide("filled", "width").alias("Complete"),
+        )
     )
 
 
@@ -80,16 +83,18 @@ def find_header_row(cells: DataFrame, rows: int = TOP_ROWS) -> DataFrame:
     )
 
 
-def header_values(cells: DataFrame, rows: int = TOP_ROWS) -> DataFrame:
+def header_values(
+    cells: DataFrame, rows: int = TOP_ROWS, list_cells: int = LIST_CELLS
+) -> DataFrame:
     """The cells of each header row as a list in column order, null where a cell is missing.
 
-    One list per sheet. A row wider than any spreadsheet goes on in ``PART`` 1, 2, ...,
+    One list per sheet. A row of more than ``list_cells`` cells goes on in ``PART`` 1, 2, ...,
     so that a list is bounded whatever the cells table holds.
     """
     winner = find_header_row(cells, rows).select(FILE, SHEET, "RowNum")
     top = cells.where(F.col("row") <= rows).withColumnRenamed("row", "RowNum")
     value = F.when(~is_missing(F.col("value")), F.col("value"))
-    part = F.floor((F.col("col") - 1) / LIST_CELLS).cast("long").alias(PART)
+    part = F.floor((F.col("col") - 1) / list_cells).cast("long").alias(PART)
     listed = F.sort_array(F.collect_list(F.struct("col", value.alias("value"))))
     return (
         top.join(winner, [FILE, SHEET, "RowNum"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tablebind.functions.names import as_names, col
 from tablebind.plans.checkpoints import checkpointed
 from tablebind.plans.joins import lookup
-from tablebind.plans.ordered import GROUP_ROWS, PART, POSITION, SIZE, place_rows
+from tablebind.plans.ordered import GROUP_ROWS, PART, POSITION, SIZE, place_rows, tie_columns
 
 # The marks of a heading, the alignments, the shown text of a missing cell.
 LEFT_MARK = "="
@@ -18,6 +18,12 @@ ALIGNMENTS = {"l": "left", "c": "center", "r": "right"}
 MISSING_CELL = "NA"
 BLANK_HEAD = "&nbsp;&nbsp;&nbsp;"
 
+# Rows of a foot up to which Spark cuts groups to their last rows before the shuffle, if the
+# session does not say otherwise; and equal rows made at once.
+TOP_K = 1000
+TOP_K_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+COPIES = 10_000
+
 
 def blank_repeats(
     df: DataFrame,
@@ -29,12 +35,12 @@ def blank_repeats(
     """Replace a value equal to the one in the previous row by the empty text.
 
     The comparison is with the original previous value, as text; null equals nothing.
-    Groups (or, without ``partition_by``, a table) above ``group_rows`` are compared
-    across sorted partitions rather than in one task.
+    Groups (or, without ``partition_by``, a table) above ``group_rows`` (a kilobyte of text
+    counts as a row) are compared across sorted partitions rather than in one task.
     """
     columns, keys = as_names(columns), as_names(partition_by)
     previous = _previous_names(columns)
-    placed = place_rows(df, keys, as_names(order_by), previous, group_rows)
+    placed = place_rows(df, keys, as_names(order_by), previous, group_rows, df.columns)
     return placed.select(
         *[_blanked(c, previous[c]).alias(c) if c in previous else col(c) for c in df.columns]
     )
@@ -62,34 +68,61 @@ def split_footer(
 ) -> BodyAndFoot:
     """Part the last ``rows`` rows, of the table or of each group, from the others.
 
-    A group that would be all foot is an error. Only the last rows of each group are
-    ordered (a top-k, cut before the shuffle); the body is what lies before them.
+    Ties on the order are ordered by the other columns, so a foot has exactly ``rows`` rows. A
+    group that would be all foot is an error. Only the last rows of each group are ordered (a
+    top-k, cut before the shuffle); the body is what lies before them. A foot too long for
+    that is found by position instead, in groups of any size.
     """
     keys, order_by = as_names(partition_by), as_names(order_by)
     if rows <= 0:
         return BodyAndFoot(df, df.limit(0))
     check_footer(df, rows, keys)
-    latest = [col(o).desc() for o in order_by]
-    place = F.struct(*[col(o) for o in order_by])
-    if not keys:
-        first = df.orderBy(*latest).limit(rows).agg(F.min(place).alias("at")).first()["at"]
-        start = F.struct(
-            *[F.lit(first[o]).cast(df.schema[o].dataType).alias(o) for o in order_by]
-        )
-        return BodyAndFoot(df.where(place < start), df.where(place >= start))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*latest))
+    if rows > int(df.sparkSession.conf.get(TOP_K_CONF, str(TOP_K))):
+        placed = place_rows(df, keys, order_by, texts=df.columns)
+        is_foot = F.col(POSITION) >= F.col(SIZE) - rows
+        names = list(map(col, df.columns))
+        return BodyAndFoot(placed.where(~is_foot).select(*names), placed.where(is_foot).select(*names))
+    columns, ordered = df.columns, [*order_by, *tie_columns(df, [*keys, *order_by])]
+    latest = [col(o).desc() for o in ordered]
+    place = F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(ordered)])
+    if keys:
+        by, grouped = keys, df
+        rank = F.row_number().over(Window.partitionBy(*map(col, keys)).orderBy(*latest))
+        last = df.withColumn("_tb_rank", rank).where(F.col("_tb_rank") <= rows).drop("_tb_rank")
+    else:
+        by, grouped = ["_tb_all"], df.withColumn("_tb_all", F.lit(0))
+        last = grouped.orderBy(*latest).limit(rows)
+    foot = checkpointed(last)
+    names = list(map(col, by))
     starts = checkpointed(
-        df.select(*keys, *[c for c in order_by if c not in keys])
-        .withColumn("_tb_rank", rank)
-        .where(F.col("_tb_rank") <= rows)
-        .groupBy(*keys)
-        .agg(F.min(place).alias("_tb_start"))
+        foot.groupBy(*names, place.alias("_tb_place"))
+        .agg(F.count(F.lit(1)).alias("_tb_count"))
+        .groupBy(*names)
+        .agg(
+            F.min("_tb_place").alias("_tb_start"),
+            F.min_by("_tb_count", "_tb_place").alias("_tb_taken"),
+        )
     )
-    marked = lookup(df, starts, keys, "inner")
-    is_foot = place >= F.col("_tb_start")
-    return BodyAndFoot(
-        marked.where(~is_foot).drop("_tb_start"), marked.where(is_foot).drop("_tb_start")
+    marked = lookup(grouped, starts, by, "inner")
+    before = marked.where(place < F.col("_tb_start")).select(*map(col, columns))
+    body = before.unionByName(_spare(marked, place, by, columns))
+    return BodyAndFoot(body, foot.select(*map(col, columns)))
+
+
+def _spare(marked: DataFrame, place: Column, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows equal to the first of the foot for which the foot has no more room."""
+    spare = (
+        marked.where(place == F.col("_tb_start"))
+        .groupBy(*map(col, keys))
+        .agg(
+            F.first(F.struct(*map(col, columns))).alias("_tb_row"),
+            (F.count(F.lit(1)) - F.first("_tb_taken")).alias("_tb_spare"),
+        )
+        .where("_tb_spare > 0")
+        .select("_tb_row", "_tb_spare", F.expr(f"explode(sequence(0L, _tb_spare - 1, {COPIES}L))").alias("_tb_from"))
     )
+    copies = F.expr(f"explode(array_repeat(0, int(least({COPIES}, _tb_spare - _tb_from))))")
+    return spare.select("_tb_row", copies).select("_tb_row.*")
 
 
 def check_footer(df: DataFrame, rows: int, keys: Sequence[str]) -> None:
@@ -224,6 +257,9 @@ def html_tables(
     if foot_rows:
         check_footer(df, foot_rows, keys)
 
+    if not keys and df.isEmpty():
+        empty = [(0, opening + (to_foot if foot_rows else "") + closing)]
+        return df.sparkSession.createDataFrame(empty, f"{PART} long, html string")
     previous = _previous_names(as_names(blank))
     shown = df.select(*[col(c) for c in dict.fromkeys([*keys, *order_by, *columns])])
     placed = place_rows(shown, keys, order_by, previous, part_rows, columns)

@@ -12,6 +12,9 @@ from tablebind.functions.names import col
 JOINER = r"\r\n"
 BROKEN_LINE = "\r\n"
 
+# Stands for the joiner's characters where the text itself has them.
+KEPT = "\ue000\ue001"
+
 CIMING_BEGINNER = r"\d+\.\D|\(\d+\)\D"
 CIMING_ENDER = "。？"
 CIMING_SPECIAL = "矫正视力不足|您的体重.+?范围"
@@ -148,7 +151,7 @@ def simplify_summary(
     The style is that of ``provider``, or per row of ``provider_column`` (null for a name
     that is no provider). ``overrides`` are ``beginner`` (a pattern), ``ender`` (characters)
     and ``special`` (a pattern); Meinian takes none, and a provider column leaves them to
-    the others.
+    the others. Another ``joiner`` joins the clauses only; the same characters in the text stay.
     """
     unknown = set(overrides) - {"beginner", "ender", "special"}
     if unknown:
@@ -158,8 +161,12 @@ def simplify_summary(
 
     def simplified(style: str) -> Column:
         given = {} if style == "Meinian" else overrides
-        short = F.coalesce(PROVIDERS[style](text, **given), F.lit(""))
-        return short if joiner == JOINER else F.replace(short, F.lit(JOINER), F.lit(joiner))
+        if joiner == JOINER:
+            return F.coalesce(PROVIDERS[style](text, **given), F.lit(""))
+        own = F.replace(text, F.lit(JOINER), F.lit(KEPT))
+        short = F.coalesce(PROVIDERS[style](own, **given), F.lit(""))
+        short = F.replace(short, F.lit(JOINER), F.lit(joiner))
+        return F.replace(short, F.lit(KEPT), F.lit(JOINER))
 
     if provider_column is None:
         if provider not in PROVIDERS:

@@ -6,8 +6,8 @@ task. Groups above a size bound are instead sorted by range over (keys, order):
 group then lies in consecutive partitions, and each partition only needs to know what
 the earlier ones held.
 
-The ordering columns should be unique within a group: rows that tie on them stay in one
-partition.
+Rows that tie on the ordering columns are ordered by the values of the tie columns, so the
+order is the same on every route. Rows that agree in all of them are interchangeable.
 """
 
 from collections.abc import Callable, Mapping, Sequence
@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tablebind.functions.names import col
 from tablebind.plans.checkpoints import checkpointed, stored
@@ -30,6 +31,9 @@ ROW_BYTES = 1024
 RUN_ROWS = 1_000_000
 MAX_RUNS = 20_000
 
+# Characters of the first tie column that count for those boundaries; the samples stay short.
+TIE_CHARS = 64
+
 # Columns that place_rows adds: the piece of a group too large for one task, position in the
 # group, both from 0, and the rows of the group.
 PART = "PART"
@@ -63,6 +67,16 @@ def weight(rows: Column, texts_bytes: Column) -> Column:
     return F.greatest(rows, F.floor(texts_bytes / ROW_BYTES).cast("long"))
 
 
+def tie_columns(df: DataFrame, but: Sequence[str]) -> list[str]:
+    """The columns that can be ordered, except ``but``."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [
+        name
+        for name, kind in types.items()
+        if name not in but and "map<" not in kind and "variant" not in kind
+    ]
+
+
 def split_by_size(
     df: DataFrame, keys: Sequence[str], limit: int, texts: Sequence[str] = ()
 ) -> BySize:
@@ -105,27 +119,41 @@ def by_group_size(
 
 
 def range_sorted(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], rows: int
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    rows: int,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """``df`` with its global position in (keys, order) and its run.
+    """``df`` with its global position in (keys, order, ties) and its run.
 
     A run is one sorted partition. The result is written out: range boundaries come from a
-    sample, so position and run must not be computed twice.
+    sample, so position and run must not be computed twice. Rows that tie on the order are
+    dealt by the first tie column.
     """
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = min(max(default, -(-rows // RUN_ROWS)), MAX_RUNS)
     columns = list(map(col, [*keys, *order_by]))
-    ordered = df.repartitionByRange(runs, *columns).sortWithinPartitions(*columns)
+    dealt = [
+        F.substring(col(t), 1, TIE_CHARS) if df.schema[t].dataType == StringType() else col(t)
+        for t in ties[:1]
+    ]
+    ordered = df.repartitionByRange(runs, *columns, *dealt)
+    ordered = ordered.sortWithinPartitions(*columns, *map(col, ties))
     ordered = ordered.withColumn(AT, F.monotonically_increasing_id())
     return stored(ordered.withColumn(RUN, F.shiftright(AT, ROW_BITS)))
 
 
 def place_by_window(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], previous: Mapping[str, str]
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    previous: Mapping[str, str],
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """As ``place_rows``, for groups that fit one task."""
     group = Window.partitionBy(*map(col, keys))
-    order = group.orderBy(*map(col, order_by))
+    order = group.orderBy(*map(col, [*order_by, *ties]))
     return df.withColumns(
         {
             PART: F.lit(0).cast("long"),
@@ -144,9 +172,10 @@ def place_by_runs(
     rows: int,
     limit: int,
     texts: Sequence[str] = (),
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """As ``place_rows``, for groups of any size, of ``rows`` rows together."""
-    ranged = range_sorted(df, keys, order_by, rows)
+    ranged = range_sorted(df, keys, order_by, rows, ties)
     names = list(map(col, keys))
     # One row per group and run: at most one per group and partition.
     runs = ranged.groupBy(*names, RUN).agg(
@@ -201,14 +230,17 @@ def place_rows(
 
     ``PART`` cuts a group into consecutive pieces of at most ``limit`` rows, or fewer where
     ``texts`` are long. ``previous`` maps a column to the name under which its value in the
-    previous row of the group is added.
+    previous row of the group is added. Ties are ordered by the other columns, as they stand.
     """
     previous = previous or {}
+    ties = tie_columns(df, [*keys, *order_by])
     return by_group_size(
         df,
         keys,
         limit,
-        lambda small: place_by_window(small, keys, order_by, previous),
-        lambda large, rows: place_by_runs(large, keys, order_by, previous, rows, limit, texts),
+        lambda small: place_by_window(small, keys, order_by, previous, ties),
+        lambda large, rows: place_by_runs(
+            large, keys, order_by, previous, rows, limit, texts, ties
+        ),
         texts,
     )

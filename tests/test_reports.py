@@ -6,21 +6,21 @@ from tablebind.operators.reports import render_head, resolve_alignment, resolve_
 
 def test_heading_spans():
     heading = resolve_heading(
-        [["Sepal", None, "Petal", None, "Species"], ["Length", "Width", "Length", "Width", None]], 5
+        [["Inbound", None, "Outbound", None, "Port"], ["Ships", "Tons", "Ships", "Tons", None]], 5
     )
     html = render_head(heading, resolve_alignment(None, 5))
     assert html == (
         " <thead>\n"
         "  <tr>\n"
-        '   <th colspan="2" style="text-align:center;"> Sepal </th>\n'
-        '   <th colspan="2" style="text-align:center;"> Petal </th>\n'
-        '   <th rowspan="2" style="text-align:center;"> Species </th>\n'
+        '   <th colspan="2" style="text-align:center;"> Inbound </th>\n'
+        '   <th colspan="2" style="text-align:center;"> Outbound </th>\n'
+        '   <th rowspan="2" style="text-align:center;"> Port </th>\n'
         "  </tr>\n"
         "  <tr>\n"
-        '   <th style="text-align:left;"> Length </th>\n'
-        '   <th style="text-align:center;"> Width </th>\n'
-        '   <th style="text-align:center;"> Length </th>\n'
-        '   <th style="text-align:center;"> Width </th>\n'
+        '   <th style="text-align:left;"> Ships </th>\n'
+        '   <th style="text-align:center;"> Tons </th>\n'
+        '   <th style="text-align:center;"> Ships </th>\n'
+        '   <th style="text-align:center;"> Tons </th>\n'
         "  </tr>\n"
         " </thead>\n"
     )

@@ -1,8 +1,23 @@
 """Cases in which results must not depend on size, nulls or the number of rules."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
-from tablebind import bind_rows, select_sheet, union_tables, unmatched_heads
+from tablebind import (
+    blank_repeats,
+    bind_rows,
+    find_header_row,
+    html_tables,
+    select_sheet,
+    simplify_summary,
+    split_footer,
+    union_tables,
+    unmatched_heads,
+)
+from tablebind.operators.bind_columns import bind_columns
+from tablebind.operators.reports import TOP_K_CONF
 from tablebind.sources import tables
 from tablebind.sources.dictionaries import Rule
 
@@ -36,3 +51,78 @@ def test_many_sheets_rules_and_schemas(spark):
     unmatched_heads(docs, rules).collect()
     many = [spark.range(1).select(F.col("id").alias(f"c{k}")) for k in range(100)]
     assert len(union_tables(many).columns) == 100
+
+
+def tied_rows(spark):
+    draw = random.Random(5)
+    data = [(draw.choice("abc"), draw.randrange(3), draw.choice(["x", "y", None])) for _ in range(90)]
+    df = spark.createDataFrame(data, "g string, o int, v string").withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    return data, df
+
+
+def key(row):
+    return row[0], row[1], row[2] is not None, row[2] or ""
+
+
+@pytest.mark.parametrize("threshold", [1000, 1])
+@pytest.mark.parametrize("rows", [2, 7])
+def test_footer_with_ties_has_exactly_its_rows(spark, threshold, rows):
+    data, df = tied_rows(spark)
+    spark.conf.set(TOP_K_CONF, threshold)
+    try:
+        for by in (["g"], []):
+            cut = split_footer(df, rows, ["g", "o"], by)
+            groups = [sorted((r for r in data if r[0] == g), key=key) for g in "abc"] if by else [sorted(data, key=key)]
+            for part, want in ((cut.body, [g[:-rows] for g in groups]), (cut.foot, [g[-rows:] for g in groups])):
+                found = sorted((tuple(r)[:3] for r in part.collect()), key=key)
+                assert found == sorted(sum(want, []), key=key)
+                assert part.columns == df.columns
+    finally:
+        spark.conf.unset(TOP_K_CONF)
+
+
+def test_ties_have_one_order_on_every_route(spark):
+    _, df = tied_rows(spark)
+    df = df.drop("m")
+
+    def blanked(limit):
+        return sorted(map(str, blank_repeats(df, "v", "o", "g", limit).collect()))
+
+    def joined(limit):
+        rows = bind_rows(df, "g", "o", {"v": True}, part_rows=limit).orderBy("g", "PART").collect()
+        return {g: ";".join(r["v"] for r in rows if r["g"] == g and r["v"]) for g in "abc"}
+
+    def html(limit):
+        rows = html_tables(df, "g", "o", ["v"], foot_rows=2, part_rows=limit).orderBy("g", "PART").collect()
+        return {g: "".join(r["html"] for r in rows if r["g"] == g) for g in "abc"}
+
+    for result in (blanked, joined, html):
+        assert result(100_000) == result(4)
+
+
+def test_empty_table_without_groups(spark):
+    (row,) = html_tables(spark.createDataFrame([], "i int"), (), "i").collect()
+    assert row["html"].endswith("<tbody>\n</tbody>\n</table>") and row["PART"] == 0
+
+
+def test_joiner_leaves_the_text_alone(spark):
+    df = spark.createDataFrame([("1.a\\r\\nb\n2.c",)], "text string")
+    (row,) = simplify_summary(df, "text", "Ciming", joiner=" / ").collect()
+    assert row["summ"] == "1.a\\r\\nb / 2.c"
+
+
+def test_header_scans_once(spark, tmp_path):
+    cells = [("f", "s", 1, 1, "a"), ("f", "s", 1, 2, "b"), ("f", "s", 2, 1, "3"), ("f", "s", 40, 4, "z")]
+    spark.createDataFrame(cells, "FILE string, SHEET string, row int, col int, value string").write.parquet(str(tmp_path / "c"))
+    found = find_header_row(spark.read.parquet(str(tmp_path / "c")))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [tuple(r) for r in found.collect()] == [("f", "s", 1, 0.5, 0.5, 0.5)]
+
+
+def test_mapping_check_is_the_one_that_binds(spark):
+    df = spark.createDataFrame([("1", "2")], "A string, B string")
+    schema = "InFile string, InDb string, BindAll boolean"
+    with pytest.raises(ValueError, match="X"):
+        bind_columns(df, spark.createDataFrame([("a", "x", True), ("b", "x", None)], schema))
+    many = [(f"c{k}", f"t{k}", False) for k in range(12_000)]
+    assert bind_columns(df, spark.createDataFrame(many, schema)).data.columns == ["A", "B"]
