@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import tablebind as tb
 from tablebind.plans.checkpoints import new_folder
 from tablebind.plans.spread import spread
+from tablebind.sources.tables import CSV_OPTIONS
 
 SOURCE_TABLES = ["customer", "supplier", "nation", "orders"]
 
@@ -214,7 +215,73 @@ def convert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.convert_files(spark, paths, new_folder(spark, "converted"), "parquet", "csv")
 
 
+def convert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, from parquet to csv and read again."""
+    source, target = f"{sf_dir}/documents.parquet", new_folder(spark, "converted")
+    tb.convert_files(spark, source, target, "parquet", "csv")
+    schema = ", ".join(f"{c} string" for c in table(spark, sf_dir, "documents").columns)
+    folder = f"{target}/FILE=documents.parquet/SHEET=Sheet1"
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(folder)
+
+
+def convert_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A single column with missing values, from parquet to csv and read again."""
+    source, target = f"{new_folder(spark, 'source')}/gaps.parquet", new_folder(spark, "converted")
+    gaps = F.when(F.col("o_orderstatus") != "F", F.col("o_orderpriority")).alias("priority")
+    tb.write_table(table(spark, sf_dir, "orders").select(gaps), source, "parquet")
+    tb.convert_files(spark, source, target, "parquet", "csv")
+    folder = f"{target}/FILE=gaps.parquet/SHEET=Sheet1"
+    return spark.read.options(**CSV_OPTIONS).schema("priority string").csv(folder)
+
+
+#: Order keys in one text file.
+RUN_OF_KEYS = 10_000
+
+
+def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of order keys as text files, so that files stay as small as they are now."""
+    folder = new_folder(spark, "texts")
+    lines = table(spark, sf_dir, "orders").select(
+        F.floor(F.col("o_orderkey") / RUN_OF_KEYS).alias("run"),
+        F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("value"),
+    )
+    ordered = lines.repartition("run").sortWithinPartitions("run", "value")
+    ordered.write.partitionBy("run").text(folder)
+    docs = tb.read_documents(spark, folder)
+    return docs.select("text", F.col("doc_id").endswith(".txt").alias("named"))
+
+
+READ_DOCUMENTS = f"""
+SELECT string_agg(o_orderkey || ' ' || o_orderpriority || chr(10), ''
+                  ORDER BY o_orderkey || ' ' || o_orderpriority) AS text, true AS named
+FROM orders GROUP BY o_orderkey // {RUN_OF_KEYS}
+"""
+
+
+def table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]
+    return tb.table_dims(tb.read_tables(spark, paths, "parquet"))
+
+
+TABLE_SIZES = " UNION ALL ".join(
+    f"SELECT '{name}.parquet' AS FILE, 'Sheet1' AS SHEET, count(*) AS rows, CAST((SELECT count(*) "
+    f"FROM (DESCRIBE {name})) AS BIGINT) AS columns FROM {name}"
+    for name in SOURCE_TABLES
+)
+
+
+def bind_files_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = [f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]
+    data = tb.bind_files(spark, paths, "parquet").data
+    return data.withColumnsRenamed({c: c.lower() for c in data.columns if c not in ("FILE", "SHEET")})
+
+
 QUERIES = {
+    "convert_documents": convert_documents,
+    "convert_one_column": convert_one_column,
+    "read_documents": read_documents,
+    "table_sizes": table_sizes,
+    "bind_files_data": bind_files_data,
     "read_tables": read_tables,
     "union_tables": union_tables,
     "select_sheet": select_sheet,
@@ -229,6 +296,12 @@ QUERIES = {
 }
 
 ORACLES = {
+    "convert_documents": "SELECT nullif(CAST(COLUMNS(*) AS VARCHAR), '') FROM documents",
+    "convert_one_column": "SELECT CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS priority "
+    "FROM orders",
+    "read_documents": READ_DOCUMENTS,
+    "table_sizes": TABLE_SIZES,
+    "bind_files_data": READ_TABLES,
     "read_tables": READ_TABLES,
     "union_tables": SHOP_SQL,
     "select_sheet": f"SELECT * FROM ({SHOP_SQL}) WHERE SHEET = 'firms'",

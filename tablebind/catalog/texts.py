@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 import tablebind as tb
 from tablebind.catalog.tables import texts
+from tablebind.plans.checkpoints import new_folder
+from tablebind.sources.tables import CSV_OPTIONS
 
 RULE_SCHEMA = "Pattern string, Extract string, Fld string"
 
@@ -93,7 +95,15 @@ def unmatched_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.documents_to_table(texts(spark, sf_dir, "documents", "doc_id", "text"), rules).unmatched
 
 
+def write_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unmatched headings, written as csv and read again."""
+    folder = new_folder(spark, "heads")
+    tb.write_heads(unmatched_heads(spark, sf_dir), folder)
+    return spark.read.options(**CSV_OPTIONS).schema("head string").csv(folder)
+
+
 QUERIES = {
+    "write_heads": write_heads,
     "normalize_text": normalize_text,
     "extract_fields": extract_fields,
     "documents_to_table": documents_to_table,
@@ -101,17 +111,20 @@ QUERIES = {
     "unmatched_heads": unmatched_heads,
 }
 
+UNMATCHED = rf"""
+SELECT head FROM ({_heads_sql("documents")})
+WHERE NOT regexp_matches(head, '^The\s+(\S*).*', 's')
+  AND NOT regexp_matches(head, '^Is\s+(\S*).*', 's')
+  AND NOT regexp_matches(head, '^An', 's')
+  AND NOT regexp_matches(head, '\d\.', 's')
+"""
+
 ORACLES = {
     "normalize_text": f"SELECT doc_id, {_normalized_sql('text')} AS text FROM ({SPLIT_TEXT})",
     "extract_fields": f"SELECT page_id, {PAGE_FIELDS} FROM pages",
     "documents_to_table": f"SELECT doc_id, {LINE_FIELDS} FROM "
     f"(SELECT doc_id, {_normalized_sql('text')} AS text FROM ({SPLIT_TEXT}))",
     "line_heads": _heads_sql(f"({SPLIT_TEXT})"),
-    "unmatched_heads": rf"""
-SELECT head FROM ({_heads_sql("documents")})
-WHERE NOT regexp_matches(head, '^The\s+(\S*).*', 's')
-  AND NOT regexp_matches(head, '^Is\s+(\S*).*', 's')
-  AND NOT regexp_matches(head, '^An', 's')
-  AND NOT regexp_matches(head, '\d\.', 's')
-""",
+    "unmatched_heads": UNMATCHED,
+    "write_heads": UNMATCHED,
 }

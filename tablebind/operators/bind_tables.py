@@ -186,8 +186,22 @@ def bind_files(
     return bind_tables(tables, found.as_table(), compress, date_names)
 
 
-def table_dims(df: DataFrame) -> DataFrame:
-    """Rows and columns of each sheet of a cells table."""
+def table_dims(df: DataFrame | Sequence[DataFrame]) -> DataFrame:
+    """Rows and columns of each sheet of a cells table, or of tables as read.
+
+    Those carry ``FILE`` and ``SHEET``, which do not count; a table without rows has no sheet
+    to report.
+    """
+    if not isinstance(df, DataFrame):
+        sized = [
+            t.select(FILE, SHEET, F.lit(len(set(t.columns) - {FILE, SHEET})).alias("columns"))
+            for t in df
+        ]
+        return (
+            balanced(sized, DataFrame.union)
+            .groupBy(FILE, SHEET)
+            .agg(F.count(F.lit(1)).alias("rows"), F.max("columns").cast("long").alias("columns"))
+        )
     return df.groupBy(FILE, SHEET).agg(
         F.max("row").cast("long").alias("rows"), F.max("col").cast("long").alias("columns")
     )

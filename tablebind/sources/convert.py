@@ -28,6 +28,8 @@ def convert_files(
 ) -> DataFrame:
     """Write each table found under ``src`` to ``dst/FILE=<file>/SHEET=<sheet>``.
 
+    Files of equal names are told apart by their folders.
+
     Returns the manifest: rows per file and sheet in the source (``Input``) and in the
     files written (``Output``). Every file keeps its own columns. Sources stay as they
     are. No shuffle: each task writes the part of the file it has read.

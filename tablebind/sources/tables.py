@@ -1,13 +1,16 @@
 """Tables in files: many files in, one file set out.
 
 A file holds one sheet, or a folder is a workbook whose files are its sheets. Each row
-keeps the names of its file and sheet in ``FILE`` and ``SHEET``.
+keeps the names of its file and sheet in ``FILE`` and ``SHEET``. Where two files (or
+workbooks) have the same name, ``FILE`` is the path below the folder they all share.
 """
 
+import posixpath
+import re
 import warnings
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,11 +33,20 @@ ENDINGS = {
     "orc": r"(?i)\.orc$",
 }
 
-# Quotes inside CSV fields are doubled, the way spreadsheets write them.
-CSV_OPTIONS = {"header": True, "escape": '"'}
+# Quotes inside CSV fields are doubled and line breaks stand as they are, the way spreadsheets
+# write them. A file is read by one task then; multiLine=False lets Spark split files whose
+# cells have no line breaks.
+CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
+# Written values keep their blanks.
+CSV_AS_IS = {"nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 SCHEMA_THREADS = 16
 
+# CSV files up to which each header is read by a job of its own; the headers of more files are
+# taken in one job. Options that do not change where the header is.
+HEADER_JOBS = 64
+PLAIN_OPTIONS = {"sep", "delimiter", "multiline", "quote", "nullvalue"}
+
 # Sheets that are picked by a filter on their names rather than by a join.
 FILTER_SHEETS = 1000
 
@@ -48,25 +60,52 @@ class Sheets:
     workbooks: bool
     entries: list[tuple[str, str, str]]
     options: dict = field(default_factory=dict)
+    #: The folder that names start below, where file names alone are not enough.
+    root: str | None = None
 
     def as_table(self) -> DataFrame:
         rows = [(name, sheet) for _, name, sheet in self.entries]
         return self.spark.createDataFrame(rows, f"{FILE} string, {SHEET} string")
 
 
-def _names(path: Column, fmt: str, workbooks: bool) -> tuple[Column, Column, Column]:
+def _one_form(path: str) -> str:
+    """The path with one slash after its scheme, however it was written."""
+    return re.sub("^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", path)
+
+
+def _names(
+    path: Column, fmt: str, workbooks: bool, root: str | None = None
+) -> tuple[Column, Column, Column]:
     """Path, file name and sheet name of a table, from the path of a data file.
 
-    A folder with the format's ending, as Spark writes it, counts as one file.
+    A folder with the format's ending, as Spark writes it, counts as one file. File names
+    are paths below ``root`` if there is one.
     """
     pieces = F.split(path, "/")
     is_part = F.element_at(pieces, -2).rlike(ENDINGS[fmt])
     inner = F.when(is_part, F.regexp_replace(path, "/[^/]*$", "")).otherwise(path)
     pieces = F.split(inner, "/")
     leaf = F.element_at(pieces, -1)
+    book = F.regexp_replace(inner, "/[^/]*$", "") if workbooks else inner
+    if root is None:
+        name = F.element_at(pieces, -2 if workbooks else -1)
+    else:
+        one_form = F.regexp_replace(book, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+        name = F.substr(one_form, F.lit(len(root) + 2 if root else 1))
     if not workbooks:
-        return inner, leaf, F.lit(ONLY_SHEET)
-    return inner, F.element_at(pieces, -2), F.regexp_replace(leaf, ENDINGS[fmt], "")
+        return inner, name, F.lit(ONLY_SHEET)
+    return inner, name, F.regexp_replace(leaf, ENDINGS[fmt], "")
+
+
+def _root(entries: Sequence[tuple[str, str, str]], workbooks: bool) -> str | None:
+    """The folder to name files from if two of them have the same name."""
+    books: dict[str, set[str]] = {}
+    for path, name, _ in entries:
+        path = _one_form(path)
+        books.setdefault(name, set()).add(posixpath.dirname(path) if workbooks else path)
+    if all(len(held) == 1 for held in books.values()):
+        return None
+    return posixpath.commonpath([posixpath.dirname(b) for held in books.values() for b in held])
 
 
 def _listing(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
@@ -110,10 +149,15 @@ def list_sheets(
     paths = [paths] if isinstance(paths, str) else list(paths)
     listing = _listing(spark, paths) if paths else None
     entries: list[tuple[str, str, str]] = []
+    root = None
     if listing is not None:
         found = listing.where(F.col("path").rlike(ENDINGS[fmt]))
         names = _names(F.col("path"), fmt, workbooks)
         entries = [tuple(r) for r in found.select(*names).distinct().collect()]
+        root = _root(entries, workbooks)
+        if root is not None:
+            names = _names(F.col("path"), fmt, workbooks, root)
+            entries = [tuple(r) for r in found.select(*names).distinct().collect()]
     if not entries:
         raise FileNotFoundError(f"no {fmt} file among the given paths")
     entries.sort(key=lambda e: (e[1], e[2], e[0]))
@@ -132,7 +176,7 @@ def list_sheets(
         ]
         if not entries:
             raise FileNotFoundError("no file has the wanted sheets")
-    return Sheets(spark, fmt, workbooks, entries, dict(options))
+    return Sheets(spark, fmt, workbooks, entries, dict(options), root)
 
 
 def _picks(sheet: int | str | Sequence[int | str]) -> list[int | str]:
@@ -156,26 +200,25 @@ def read_sheets(sheets: Sheets, same_schema: bool = False) -> list[DataFrame]:
 
     Spark applies one schema to all files of a read (CSV by position), so files are
     grouped by header or footer first: a small read per file that stops at its first
-    line. ``same_schema`` skips that for file sets known to be uniform; CSV headers are
-    then checked during the scan. JSON is read by name and needs no grouping.
+    line, or for many CSV files one job over their lines. ``same_schema`` skips that for
+    file sets known to be uniform; CSV headers are then checked during the scan, and the
+    columns of parquet and orc files are put together (a type that differs is an error).
+    JSON is read by name and needs no grouping.
     """
     paths = list(dict.fromkeys(e[0] for e in sheets.entries))
     schema = sheets.options.get("schema")
     if schema is not None:
         options = {k: v for k, v in sheets.options.items() if k != "schema"}
-        plain = Sheets(sheets.spark, sheets.fmt, sheets.workbooks, sheets.entries, options)
+        plain = replace(sheets, options=options)
         return [_tagged(plain, _load(plain, paths, schema))]
     if sheets.fmt == "json":
         return [_tagged(sheets, _load(sheets, paths))]
+    if same_schema and sheets.fmt != "csv":
+        merged = replace(sheets, options={"mergeSchema": True, **sheets.options})
+        return [_tagged(merged, _load(merged, paths))]
     if same_schema:
         first = _load(sheets, paths[:1]).schema
-        reader = Sheets(
-            sheets.spark,
-            sheets.fmt,
-            sheets.workbooks,
-            sheets.entries,
-            {"enforceSchema": False, **sheets.options},
-        )
+        reader = replace(sheets, options={"enforceSchema": False, **sheets.options})
         return [_tagged(reader, _load(reader, paths, first))]
 
     def schema_of(path: str) -> StructType:
@@ -184,17 +227,49 @@ def read_sheets(sheets: Sheets, same_schema: bool = False) -> list[DataFrame]:
             return found
         return StructType([StructField(f.name, StringType()) for f in found.fields])
 
+    alike = [[path] for path in paths]
+    if sheets.fmt == "csv" and len(paths) > HEADER_JOBS:
+        if {o.lower() for o in sheets.options} <= PLAIN_OPTIONS:
+            alike = _same_headers(sheets, paths)
     groups: dict[str, tuple[StructType, list[str]]] = {}
     with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
-        for path, found in zip(paths, pool.map(schema_of, paths)):
-            groups.setdefault(found.json(), (found, []))[1].append(path)
+        for some, found in zip(alike, pool.map(lambda some: schema_of(some[0]), alike)):
+            groups.setdefault(found.json(), (found, []))[1].extend(some)
     return [_tagged(sheets, _load(sheets, group, found)) for found, group in groups.values()]
 
 
-def _tagged(sheets: Sheets, df: DataFrame) -> DataFrame:
+def _same_headers(sheets: Sheets, paths: Sequence[str]) -> list[list[str]]:
+    """CSV files by their first line that is not blank, read in one job.
+
+    A file whose header goes on in the next line stands alone.
+    """
+    lines = sheets.spark.read.text(list(paths))
+    path = _data_path()
+    inner = _names(path, sheets.fmt, sheets.workbooks)[0]
+    at = F.struct(path, F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    firsts = (
+        lines.select(inner.alias("path"), at.alias("at"), "value")
+        .where(F.trim("value") != "")
+        .groupBy("path")
+        .agg(F.min_by("value", "at").alias("line"))
+    )
+    known = {_one_form(r["path"]): r["line"] for r in firsts.collect()}
+    groups: dict[str, list[str]] = {}
+    quote = sheets.options.get("quote", '"')
+    for path in paths:
+        line = known.get(_one_form(path), "")
+        alone = bool(quote) and line.count(quote) % 2 == 1
+        groups.setdefault(f"{line}\n{path}" if alone else line, []).append(path)
+    return list(groups.values())
+
+
+def _data_path() -> Column:
     # The path comes percent-encoded; a plus sign in it is itself.
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    _, name, sheet = _names(F.url_decode(encoded), sheets.fmt, sheets.workbooks)
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def _tagged(sheets: Sheets, df: DataFrame) -> DataFrame:
+    _, name, sheet = _names(_data_path(), sheets.fmt, sheets.workbooks, sheets.root)
     columns = [col(c) for c in df.columns]
     return df.select(name.alias(FILE), sheet.alias(SHEET), *columns)
 
@@ -279,10 +354,19 @@ def write_table(
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Write ``df`` as csv (with header, missing as empty), json, parquet or orc."""
+    """Write ``df`` as csv (with header, missing as empty), json, parquet or orc.
+
+    In a csv of one column a missing value is written as a quoted empty one: readers skip
+    blank lines.
+    """
+    if fmt == "csv":
+        shown = [c for c in df.columns if c not in partition_by]
+        if len(shown) == 1:
+            value = F.coalesce(col(shown[0]).cast("string"), F.lit(""))
+            df = df.select(*[value.alias(c) if c in shown else col(c) for c in df.columns])
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.options(**CSV_OPTIONS, nullValue="")
+        writer = writer.options(**CSV_OPTIONS, **CSV_AS_IS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
