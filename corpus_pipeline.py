@@ -55,21 +55,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id (a null id is the
     largest), and of equal rows one."""
-    groups = stored(near_duplicates(docs).select("doc_id", "row_hash", "component"))
-    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_hash")
-    stays = groups.groupBy("component").agg(F.min(order).alias("stays"))
-    counted = groups.groupBy("component", "doc_id", "row_hash").count()
+    groups = stored(near_duplicates(docs).select("doc_id", "row_hash", "component", "component_id"))
+    counted = groups.groupBy("component", "component_id", "doc_id", "row_hash").count()
+    # Only rows with the smallest id of their group can stay, so no large group meets in a join.
+    is_least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    least = counted.where(is_least)
+    first = least.groupBy("component").agg(F.min("row_hash").alias("first"))
+    least = least.join(first, "component").withColumn("_stays", F.col("row_hash") == F.col("first"))
+    others = counted.where(~is_least).withColumn("_stays", F.lit(False))
     # What goes, and what stays but stands in several equal rows; all others stay as they are.
     told = stored(
-        counted.join(stays, "component")
-        .select(
-            F.col("doc_id").alias("_id"),
-            F.col("row_hash").alias("_hash"),
-            (order.eqNullSafe(F.col("stays"))).alias("_stays"),
-            "count",
-        )
+        least.select("doc_id", "row_hash", "_stays", "count")
+        .union(others.select("doc_id", "row_hash", "_stays", "count"))
         .where("NOT _stays OR count > 1")
-        .drop("count")
+        .select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), "_stays")
     )
     keyed = _keyed(docs, F.xxhash64(_text(col("text"))))
     found = lookup(keyed, told, ["_id", "_hash"], "left").where("coalesce(_stays, true)")
