@@ -111,7 +111,8 @@ def bind_rows(
     ``PART`` is 0 for every record of up to ``part_rows`` rows (a kilobyte of text counts
     as a row). The concatenation of a larger record continues in parts 1, 2, ... of
     ``part_rows`` rows each, fewer where texts are long. They hold no other columns:
-    joining the parts by ``;`` gives the whole text, and no task holds more than a part.
+    joining the parts by ``;`` gives the whole text, and no task holds more than a part. A row
+    longer than a part leaves numbers out; a part without any value is null.
     """
     ids, order_by = as_names(ids), as_names(order_by)
     if modes is None:

@@ -194,18 +194,22 @@ def place_by_runs(
         "_tb_from",
         F.coalesce(F.sum("_tb_rows").over(earlier), F.lit(0)).alias("_tb_before"),
         F.sum("_tb_rows").over(group).alias(SIZE),
-        F.sum("_tb_bytes").over(group).alias("_tb_bytes"),
+        F.coalesce(F.sum("_tb_bytes").over(earlier), F.lit(0)).alias("_tb_bytes"),
         *[F.lag(last).over(order).alias(last) for last in lasts],
     )
-    if previous:
-        inside = Window.partitionBy(*names, RUN).orderBy(AT)
-        ranged = ranged.withColumns({n: F.lag(col(c)).over(inside) for c, n in previous.items()})
+    inside = Window.partitionBy(*names, RUN).orderBy(AT)
+    within = {n: F.lag(col(c)).over(inside) for c, n in previous.items()}
+    if texts:
+        above = inside.rowsBetween(Window.unboundedPreceding, -1)
+        within["_tb_read"] = F.coalesce(F.sum(text_bytes(texts)).over(above), F.lit(0))
+    if within:
+        ranged = ranged.withColumns(within)
     placed = lookup(ranged, checkpointed(runs), [*keys, RUN], "inner")
     is_first = F.col(AT) == F.col("_tb_from")
     position = F.col(AT) - F.col("_tb_from") + F.col("_tb_before")
-    # Rows per piece: the limit, or fewer where the texts of the group are long.
-    shrunk = F.floor(limit * F.col(SIZE) / weight(F.col(SIZE), F.col("_tb_bytes")))
-    piece = F.floor(position / F.greatest(shrunk, F.lit(1)))
+    # A piece begins at each multiple of the limit, counted in rows before or in their text.
+    read = F.col("_tb_bytes") + (F.col("_tb_read") if texts else F.lit(0))
+    piece = F.floor(weight(position, read) / limit)
     return placed.select(
         *map(col, df.columns),
         piece.cast("long").alias(PART),
@@ -229,7 +233,7 @@ def place_rows(
     """Add each row's ``POSITION`` in its group, from 0, and the ``SIZE`` of the group.
 
     ``PART`` cuts a group into consecutive pieces of at most ``limit`` rows, or fewer where
-    ``texts`` are long. ``previous`` maps a column to the name under which its value in the
+    ``texts`` are long; a row longer than a piece leaves numbers out. ``previous`` maps a column to the name under which its value in the
     previous row of the group is added. Ties are ordered by the other columns, as they stand.
     """
     previous = previous or {}

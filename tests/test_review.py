@@ -126,3 +126,12 @@ def test_mapping_check_is_the_one_that_binds(spark):
         bind_columns(df, spark.createDataFrame([("a", "x", True), ("b", "x", None)], schema))
     many = [(f"c{k}", f"t{k}", False) for k in range(12_000)]
     assert bind_columns(df, spark.createDataFrame(many, schema)).data.columns == ["A", "B"]
+
+
+def test_long_texts_that_lie_together_are_parted(spark):
+    data = [("g", k, "x" * (3000 if k < 20 else 1)) for k in range(400)]
+    df = spark.createDataFrame(data, "g string, o int, v string")
+    parts = bind_rows(df, "g", "o", {"v": True}, part_rows=10).orderBy("PART").collect()
+    assert ";".join(r["v"] for r in parts) == ";".join(v for _, _, v in data)
+    # No part holds more than ten kilobytes and the text that passed them.
+    assert max(len(r["v"]) for r in parts) < 10 * 1024 + 3000 + 10
