@@ -92,7 +92,9 @@ def _runs(path: str, of_word, of_text, join) -> Kept:
     letters = {b: c for c, b in byte_letters().items()}
 
     def word(text: str):
-        spelled = text if text.isascii() else "".join([letters[b] for b in text.encode()])
+        # Only printable ASCII stands for itself; control characters have stand-ins as well.
+        plain = text.isascii() and text.isprintable()
+        spelled = text if plain else "".join([letters[b] for b in text.encode()])
         return of_word(text, spelled, tokenizer.model)
 
     words = Kept(word, KEPT_WORDS)

@@ -218,6 +218,16 @@ def test_token_counts_query(spark, sf_dir, documents, tokenizer):
     same(rows(queries.tokens(spark, sf_dir), "*"), wanted)
 
 
+def test_control_characters(spark, tokenizer):
+    """Control characters are tokens too, also between plain ASCII."""
+    data = [(k, f"log {c}[0m x{c}y don't{c}7 {c}") for k, c in enumerate(map(chr, [*range(32), 127]))]
+    data += [(99, "\x00 \x1b[1mError\x1b[0m \x1c\x1c \x7f"), (100, "\x7f")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    wanted = [(k, len(t), n := len(ids(tokenizer, t)), n > 2048) for k, t in data]
+    same(rows(token_counts(docs, PATH), "*"), wanted)
+    check_packed(pack(docs, PATH, capacity=64).collect(), data, tokenizer, 64)
+
+
 # ---- packing
 
 
