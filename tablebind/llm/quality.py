@@ -80,7 +80,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def _lines(docs: DataFrame) -> DataFrame:
     """``_id``, ``_hash`` (of host and text), ``_line`` (number), ``_key`` (of host and line as
-    compared), ``_chars``, ``_total``, and ``_body`` (the other line that stands for the text).
+    compared), ``_chars`` and ``_total``.
 
     A line is compared in lower case with single blanks and without blanks at its ends.
     """
@@ -100,34 +100,29 @@ def _lines(docs: DataFrame) -> DataFrame:
         keys.alias("_keys"),
         F.transform("_flat", F.length).alias("_sizes"),
     )
-    step = step.withColumn("_least", F.array_min("_keys"))
-    step = step.withColumn("_next", F.array_min(F.array_remove("_keys", F.col("_least"))))
     total = F.aggregate("_sizes", F.lit(0).cast("long"), lambda a, x: a + x)
     return step.select(
-        "_id", "_hash", "_least", "_next", total.alias("_total"),
+        "_id", "_hash", total.alias("_total"),
         F.posexplode(F.arrays_zip("_keys", "_sizes")).alias("_line", "_at"),
     ).select(
         "_id", "_hash", "_total", "_line",
         F.col("_at._keys").alias("_key"),
         F.col("_at._sizes").alias("_chars"),
-        F.when(F.col("_at._keys") == F.col("_least"), F.col("_next")).otherwise(F.col("_least")).alias("_body"),
     ).where("_key IS NOT NULL")
 
 
-def frequent_lines(lines: DataFrame, max_documents: int, min_variety: float) -> DataFrame:
+def frequent_lines(lines: DataFrame, max_documents: int) -> DataFrame:
     """Keys of lines above the limit: one row each.
 
-    Documents of a host are counted by their bodies, so that copies, near copies and repeated
-    rows of one text are not many documents. A line whose documents are mostly such copies
-    (bodies below ``min_variety`` of the rows) is part of a text and no shared line. Counting
-    is two sums that combine before the shuffle.
+    The distinct texts of a host that hold a line are counted, so that copies and repeated rows
+    of one text are one document. Both steps combine before the shuffle.
     """
     return (
-        lines.groupBy("_key", F.coalesce("_body", "_key").alias("_body"))
-        .agg(F.countDistinct("_id", "_hash").alias("_rows"))
+        lines.select("_key", "_hash")
+        .distinct()
         .groupBy("_key")
-        .agg(F.count("*").alias("_bodies"), F.sum("_rows").alias("_rows"))
-        .where((F.col("_bodies") > max_documents) & (F.col("_bodies") >= min_variety * F.col("_rows")))
+        .count()
+        .where(F.col("count") > max_documents)
         .select("_key")
     )
 
@@ -138,13 +133,12 @@ def quality(
     text_col: str = "text",
     host_col: str = "source",
     max_documents: int = 100,
-    min_variety: float = 0.5,
     max_removed: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, n_removed_lines, depleted, removed (line numbers from 0).
 
-    Lines are hashed as compared, and the documents of a host that hold a line are counted.
+    Lines are hashed as compared, and the distinct texts of a host that hold a line are counted.
     Lines above ``max_documents`` are removed wherever they stand; a document that loses more
     than ``max_removed`` of its characters is depleted. A document is kept if it neither fails the
     base limits nor is depleted. Frequent lines are measured before they are broadcast.
@@ -158,8 +152,8 @@ def quality(
         F.coalesce(col(host_col).cast("string"), F.lit("")).alias("_host"),
     )
     lines = _lines(source)
-    frequent = checkpointed(frequent_lines(lines, max_documents, min_variety))
-    hit = lookup(lines.drop("_body"), frequent, ["_key"], "inner")
+    frequent = checkpointed(frequent_lines(lines, max_documents))
+    hit = lookup(lines, frequent, ["_key"], "inner")
     lost = (
         hit.groupBy("_id", "_hash")
         .agg(F.collect_set(F.struct("_line", "_chars")).alias("_lost"), F.max("_total").alias("_total"))

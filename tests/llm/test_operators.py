@@ -310,6 +310,21 @@ def test_quality_shared_lines(spark):
     assert all(found[k].kept for k in [*range(100, 160), *range(200, 205)])
 
 
+@pytest.mark.parametrize("shared", [3, 10, 20])
+def test_quality_shared_blocks(spark, shared):
+    """Every line of a shared block goes, however many it has and however few lines are own."""
+    block = "\n".join(f"menu entry {n} of this site that each page shows" for n in range(shared))
+    own = "page {0} tells of {0} things, and none of the other pages says so: {1}"
+    data = [(k, f"{block}\n{own.format(k, 'x' * 60 * shared)}", "a") for k in range(101)]
+    data += [(1000 + k, f"{block}\n{own.format(k, '')}", "b") for k in range(100)]
+    copied = [f"a line of copied texts that is long enough to stand\n{own.format(k, '')}" for k in range(101)]
+    data += [(2000 + 101 * n + k, t, "c") for k, t in enumerate(copied) for n in range(3)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    for r in quality(docs).collect():
+        wanted = list(range(shared)) if r.doc_id < 1000 else [] if r.doc_id < 2000 else [0]
+        assert list(r.removed) == wanted, r
+
+
 # ---- licences
 
 
