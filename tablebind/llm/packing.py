@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,47 +12,81 @@ from tablebind.llm.common import id_text, map_batches, texts
 from tablebind.llm.tokenizer import id_runs, ids_owner
 from tablebind.plans.checkpoints import checkpointed, stored
 
-#: Tokens in one unit of the length histogram, and pieces ranked by one task.
-UNIT, RANKED = 16, 5_000
+#: Classes of lengths in each doubling, lengths told apart however large, and pieces ranked by one task.
+CLASSES, COARSEST, RANKED = 64, 16, 5_000
+#: A pattern enters the linear program if it is better by more than this.
+GAIN = 1e-4
+
+
+def size_class(length: Column, capacity: int) -> Column:
+    """The length that a piece is counted as: exact up to 2 * CLASSES, then rounded up by less than
+    a part in CLASSES, and by less than COARSEST (or a part in 256 of a larger capacity)."""
+    size, step = length, 2
+    while CLASSES * step < capacity:
+        wide = min(step, max(COARSEST, capacity // 256))
+        size = F.when(length > CLASSES * step, F.ceil(length / wide) * wide).otherwise(size)
+        step *= 2
+    return F.least(size, F.lit(capacity)).cast("int")
 
 
 def best_pattern(prices: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Knapsack by dynamic programming: how often to take each size for the highest price."""
-    worth = np.zeros(capacity + 1)
-    taken = np.full(capacity + 1, -1)
-    fits = np.searchsorted(sizes, np.arange(capacity + 1), "right")
-    for room in range(1, capacity + 1):
-        if fits[room]:
-            offers = worth[room - sizes[: fits[room]]] + prices[: fits[room]]
-            k = int(offers.argmax())
-            if offers[k] > worth[room - 1]:
-                worth[room], taken[room] = offers[k], k
-                continue
-        worth[room] = worth[room - 1]
+    """Knapsack by dynamic programming: how often to take each size for the highest price.
+
+    Sizes are tried by price for a token; one that others make up for as much is left out.
+    """
+    worth, steps = np.zeros(capacity + 1), []
+    for k in np.argsort(-prices / sizes, kind="stable"):
+        size, price = int(sizes[k]), float(prices[k])
+        if price <= worth[size] + 1e-12:
+            continue
+        # Any number of copies: the running maximum along each remainder, less the copies' price.
+        rows = capacity // size + 1
+        table = np.full(rows * size, -np.inf)
+        table[: capacity + 1] = worth
+        paid = np.arange(rows)[:, None] * price
+        better = np.maximum.accumulate(table.reshape(rows, size) - paid, axis=0) + paid
+        steps.append((k, size, price, worth))
+        worth = better.ravel()[: capacity + 1]
+        worth = np.maximum(worth, steps[-1][3])
     pattern, room = np.zeros(len(sizes), np.int64), capacity
-    while room > 0:
-        if taken[room] < 0:
-            room -= 1
-        else:
-            pattern[taken[room]] += 1
-            room -= int(sizes[taken[room]])
+    for k, size, price, before in reversed(steps):
+        copies = np.arange(room // size + 1)
+        taken = int((before[room - copies * size] + copies * price).argmax())
+        pattern[k] += taken
+        room -= taken * size
     return float(worth[capacity]), pattern
 
 
 def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Linear program: patterns (columns) and how often each is used, fewest sequences in all.
 
-    Revised simplex; a column that prices above 1 enters until there is none.
+    Revised simplex; a column that prices above 1 + GAIN enters until there is none, or until the
+    sequences are as few as the tokens allow by that share. It begins with the fullest patterns
+    of what is left, each used until a size runs out, which are a triangular basis.
     """
     m = len(sizes)
-    basis = np.diag(capacity // sizes).astype(float)
-    inverse = np.diag(1 / np.diag(basis))
-    for turn in range(1, 40 * m + 1):
+    basis, left = np.zeros((m, m)), demand.copy()
+    for _ in range(m):
+        pattern = fullest(sizes, np.ceil(left).astype(np.int64), capacity)
+        ratio = np.where(pattern > 0, left / np.maximum(pattern, 1), np.inf)
+        out = int(ratio.argmin())
+        basis[:, out] = pattern
+        left = np.maximum(left - ratio[out] * pattern, 0)
+        left[out] = 0
+        if not left.any():
+            break
+    for k in np.flatnonzero(~basis.any(axis=0)):  # sizes that ran out with another one
+        basis[k, k] = capacity // sizes[k]
+    inverse = np.linalg.inv(basis)
+    least = float(demand @ sizes) / capacity
+    for turn in range(1, 4 * m + 1):
         if turn % 60 == 0:
             inverse = np.linalg.inv(basis)
         used = inverse @ demand
+        if used.sum() <= least * (1 + GAIN):
+            break
         worth, pattern = best_pattern(np.maximum(inverse.sum(axis=0), 0), sizes, capacity)
-        if worth <= 1 + 1e-7:
+        if worth <= 1 + GAIN:
             break
         way = inverse @ pattern
         ratio = np.where(way > 1e-9, used / np.where(way > 1e-9, way, 1), np.inf)
@@ -69,48 +103,41 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.nd
 
 def fullest(sizes: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
     """The fullest sequence out of what is left, with large pieces where there is a choice."""
-    parts = []  # (size index, copies): powers of two, so that every count can be made up
+    parts = []  # (size index, copies, tokens): powers of two, so that every count can be made up
     for k in range(len(sizes) - 1, -1, -1):
-        copies, rest = 1, int(min(left[k], capacity // sizes[k]))
+        size = int(sizes[k])
+        copies, rest = 1, min(int(left[k]), capacity // size)
         while rest > 0:
-            parts.append((k, min(copies, rest)))
+            parts.append((k, min(copies, rest), size * min(copies, rest)))
             rest -= copies
             copies *= 2
-    reach = np.zeros((len(parts) + 1, capacity + 1), bool)
-    reach[0, 0] = True
-    for j, (k, copies) in enumerate(parts):
-        size = int(sizes[k]) * copies
-        reach[j + 1] = reach[j]
-        reach[j + 1, size:] |= reach[j, : capacity + 1 - size]
-    room = int(np.flatnonzero(reach[-1]).max())
+    # The rooms that can be filled by the first parts, as bits.
+    reach, every = [1], (1 << capacity + 1) - 1
+    for _, _, tokens in parts:
+        reach.append((reach[-1] | reach[-1] << tokens) & every)
+        if reach[-1] >> capacity:
+            break
+    room, j = reach[-1].bit_length() - 1, len(reach) - 1
     # The first row that reaches the room used only the largest pieces.
-    pattern, j = np.zeros(len(sizes), np.int64), len(parts)
+    pattern = np.zeros(len(sizes), np.int64)
     while room > 0:
-        while j and reach[j - 1, room]:
+        while j and reach[j - 1] >> room & 1:
             j -= 1
-        k, copies = parts[j - 1]
+        k, copies, tokens = parts[j - 1]
         pattern[k] += copies
-        room -= int(sizes[k]) * copies
+        room -= tokens
         j -= 1
     return pattern
 
 
-def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
-    """(times, {size: pieces}) that use up ``demand`` exactly, each within ``capacity``.
-
-    The linear program's patterns are rounded down; what is left is made into the fullest
-    sequences one by one. Its size depends on the number of sizes, not on the demand.
-    """
-    sizes = np.array(sorted(s for s, n in demand.items() if n > 0), np.int64)
-    if not len(sizes):
-        return []
-    left = np.array([demand[s] for s in sizes.tolist()], np.int64)
-    chosen: list[tuple[int, np.ndarray]] = []
-    patterns, used = relaxed(sizes, left.astype(float), capacity)
-    for k in np.argsort(-used, kind="stable"):
-        pattern = patterns[:, k]
+def _used_up(
+    sizes: np.ndarray, demand: np.ndarray, capacity: int, columns: list[tuple[float, np.ndarray]]
+) -> list[tuple[int, np.ndarray]]:
+    """``columns`` (how often, pattern) rounded down; what is left becomes the fullest sequences."""
+    left, chosen = demand.copy(), []
+    for often, pattern in columns:
         fits = np.min(left[pattern > 0] // pattern[pattern > 0], initial=np.iinfo(np.int64).max)
-        times = int(min(np.floor(used[k] + 1e-6), fits))
+        times = int(min(np.floor(often + 1e-6), fits))
         if times:
             chosen.append((times, pattern))
             left = left - times * pattern
@@ -119,9 +146,26 @@ def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[int, dict
         times = int(np.min(left[pattern > 0] // pattern[pattern > 0]))
         chosen.append((times, pattern))
         left = left - times * pattern
+    return chosen
+
+
+def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """(times, {size: pieces}) that use up ``demand`` exactly, each within ``capacity``.
+
+    The linear program's patterns are rounded down and what is left is made into the fullest
+    sequences one by one; or all is, if that takes fewer. The work depends on the number of
+    sizes, not on the demand.
+    """
+    sizes = np.array(sorted(s for s, n in demand.items() if n > 0), np.int64)
+    if not len(sizes):
+        return []
+    wanted = np.array([demand[s] for s in sizes.tolist()], np.int64)
+    patterns, used = relaxed(sizes, wanted.astype(float), capacity)
+    columns = [(used[k], patterns[:, k]) for k in np.argsort(-used, kind="stable")]
+    plans = [_used_up(sizes, wanted, capacity, c) for c in (columns, [])]
     return [
         (times, {int(s): int(n) for s, n in zip(sizes, pattern, strict=True) if n})
-        for times, pattern in chosen
+        for times, pattern in min(plans, key=lambda p: sum(times for times, _ in p))
     ]
 
 
@@ -169,8 +213,9 @@ def pack(
     ``ids`` (little-endian unsigned 32-bit) if asked for.
 
     A document is its ids and ``end``. It is cut every ``capacity`` tokens; no other cut is made.
-    Lengths are counted in units of 16 tokens, so the histogram, which alone goes to the driver,
-    has at most ``capacity / 16`` bars for any input. Column generation turns it into patterns.
+    Lengths are counted in classes, exact for short ones and a percent or less wide for others, so
+    the histogram, which alone goes to the driver, has some hundred bars for any input. Column
+    generation turns it into patterns.
     Pieces of a bar are ranked (within salted parts, so that a frequent length is no hot group)
     and the rank says which sequence of which pattern a piece goes to.
 
@@ -179,11 +224,10 @@ def pack(
     """
     spark = docs.sparkSession
     cut = stored(pieces(docs, path, id_col, text_col, capacity, end, with_ids))
-    bars = (capacity + UNIT - 1) // UNIT
     parts = 1 + cut.count() // RANKED
     sized = cut.withColumns(
         {
-            "_size": F.ceil(F.col("length") / UNIT).cast("int"),
+            "_size": size_class(F.col("length"), capacity),
             "_part": F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(parts)),
         }
     )
@@ -191,7 +235,7 @@ def pack(
     demand = {r[0]: r[1] for r in counts.groupBy("_size").agg(F.sum("count")).collect()}
     slots, base = [], 0
     ranked = dict.fromkeys(demand, 0)
-    for times, pattern in cutting_stock(demand, bars):
+    for times, pattern in cutting_stock(demand, capacity):
         for size, n in pattern.items():
             slots.append((size, ranked[size], ranked[size] + n * times, n, base))
             ranked[size] += n * times

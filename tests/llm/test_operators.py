@@ -12,7 +12,7 @@ from tablebind.llm import queries
 from tablebind.llm.decontaminate import find_passages, pairs_sum, without_spans
 from tablebind.llm.licenses import ALLOWED, evaluate, licenses
 from tablebind.llm.lm import lm_scores
-from tablebind.llm.packing import cutting_stock, pack
+from tablebind.llm.packing import cutting_stock, pack, size_class
 from tablebind.llm.quality import quality
 from tablebind.llm.secrets import MORE_RULES, RULES, masked, secrets
 from tablebind.llm.simhash import near_duplicates
@@ -268,6 +268,22 @@ def test_packing_query(spark, sf_dir, documents, tokenizer):
     assert sum(r.length for r in found) > 0.97 * 4096 * (used - 1)
 
 
+@pytest.mark.parametrize("words", [[0], [16], [*range(9, 60)]])
+def test_packing_short(spark, tokenizer, words):
+    """Short documents leave little padding too."""
+    data = [(k, "word " * words[k % len(words)]) for k in range(1000)]
+    found = pack(spark.createDataFrame(data, "doc_id long, text string"), PATH, capacity=512).collect()
+    used = check_packed(found, data, tokenizer, 512)
+    assert sum(r.length for r in found) > 0.97 * 512 * (used - 1)
+
+
+def test_size_class(spark):
+    for capacity in (5, 1000, 4096, 100_000):
+        sizes = spark.range(1, capacity + 1).select("id", size_class(F.col("id"), capacity).alias("size"))
+        assert sizes.where(f"size < id OR size > {capacity} OR 64 * (size - id) >= id OR id <= 128 AND size > id").isEmpty()
+        assert sizes.select("size").distinct().count() <= 1000
+
+
 def test_cutting_stock():
     assert cutting_stock({}, 10) == []
     demand = {3: 97, 5: 44, 7: 30, 10: 2, 1: 5}
