@@ -1,6 +1,7 @@
 """Each operator against its plain version, on the driver's tables and on hard rows."""
 
 import math
+from collections import Counter
 
 import brute
 import public_tokenizers
@@ -408,6 +409,39 @@ def test_lm_query(spark, sf_dir, documents, small, monkeypatch):
     check_scores(queries.lm_scoring(spark, sf_dir), documents[1])
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_lm_trigrams(hard, small, monkeypatch):
+    """Order 3 against counts of triples, for held out and learned texts."""
+    from tablebind.llm import lm
+
+    if small:
+        monkeypatch.setattr(lm, "BLOCK_TOKENS", 500)
+        monkeypatch.setattr(lm, "PAIR_ENTRIES", 900)
+    sequences = [brute.SOLID.findall(brute.low(t)) + [" "] for _, t in HARD]
+    out = [brute.remainder(k, 7) == 2 for k, _ in HARD]
+    one, two, three = Counter(), Counter(), Counter()
+    for s in (s for s, o in zip(sequences, out, strict=True) if not o):
+        one.update(s)
+        two.update(zip([" ", *s], s))
+        three.update(zip([" ", *s], s, s[1:]))
+    n, v, wanted = sum(one.values()), len(one), []
+    for (key, _), s in zip(HARD, sequences, strict=True):
+        score = 0
+        for k, w in enumerate(s):
+            before = [" ", *s][k]
+            p = (two[before, w] + 8 * (one[w] + 1) / (n + v + 1)) / (one[before] + 8)
+            if k:
+                first = [" ", *s][k - 1]
+                p = (three[first, before, w] + 8 * p) / (two[first, before] + 8)
+            score += math.log10(p)
+        wanted.append((str(key), len(s), score))
+    found = sorted((str(r.doc_id), r.n_tokens, r.score) for r in lm_scores(hard, order=3).collect())
+    for f, w in zip(found, sorted(wanted), strict=True):
+        assert f[:2] == w[:2] and abs(f[2] - w[2]) <= 0.02 * w[1] + 1e-9, (f, w)
+    with pytest.raises(ValueError):
+        lm_scores(hard, order=4)
+
+
 # ---- empty tables
 
 
