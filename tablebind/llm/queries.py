@@ -4,9 +4,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablebind.llm.conversations import repair_conversations
 from tablebind.llm.decontaminate import find_passages, pairs_sum
+from tablebind.llm.jaccard import similar_documents
 from tablebind.llm.licenses import licenses
 from tablebind.llm.lm import lm_scores
+from tablebind.llm.negatives import hard_negatives
 from tablebind.llm.packing import pack
 from tablebind.llm.quality import quality
 from tablebind.llm.secrets import secrets
@@ -74,6 +77,21 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(_table(spark, sf_dir, "documents"))
 
 
+def negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    # The test's relabelling: every seventh row says another label than its neighbours do.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label))
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(_table(spark, sf_dir, "conversations"), test_faults=True)
+
+
+def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents")).drop("row_hash")
+
+
 QUERIES = {
     "op1_decontamination": decontamination,
     "op2_simhash": simhash,
@@ -85,5 +103,8 @@ QUERIES = {
     "op8_quality": quality_rules,
     "op9_licenses": license_scan,
     "op10_lm_scoring": lm_scoring,
+    "op11_hard_negatives": negatives,
+    "op12_conversations": conversations,
+    "op13_jaccard_join": similar,
 }
 ORACLES: dict[str, str] = {}
