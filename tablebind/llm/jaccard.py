@@ -1,15 +1,15 @@
 """Links between documents of similar word shingles, by PartEnum signatures.
 
-Sets of shingles are taken in classes of similar size. In a class the domain of all shingles is dealt into
-PARTS first-level parts and each of those into CELLS cells. Two sets that are similar enough
-differ in so few shingles that some parts hold at most one difference; such a part agrees in all
-cells but one. So the subsets of CELLS - 1 cells are enumerated for each part, and the hash of
-what a set has in such a subset is a signature; similar sets share one.
+Sets of shingles are taken in classes of similar size. In a class the domain of all shingles is
+dealt into parts and each part into CELLS cells. Similar sets differ in so few shingles that some
+parts hold at most OUT differences and agree in all other cells. So for each part the subsets of
+CELLS - OUT cells are enumerated, and the hash of what a set has in such a subset is a signature;
+similar sets share one.
 
 A class has more parts than that needs, so similar sets share several signatures. Each set may
-then leave out as many less one, as long as all sets leave out the first by one order. The
-order is by the number of shingles behind a signature: the empty and the small ones, which tell
-least, go first.
+leave out as many less one, as long as all sets leave out the first ones by one order of all
+signatures. Those of crowded buckets (passages that many documents have) go first, then those with
+few shingles behind them, which tell least.
 """
 
 from itertools import combinations
@@ -26,16 +26,18 @@ from tablebind.plans.checkpoints import checkpointed, stored
 from tablebind.plans.joins import lookup
 
 #: Cells of a part, and those that a signature leaves out: the differences a part may hold.
-CELLS, OUT = 3, 1
+CELLS, OUT = 2, 1
 SUBSETS = np.array(list(combinations(range(CELLS), CELLS - OUT)))
-#: Parts beyond those needed, in percent.
-SPARE = 25
+#: Parts for each one that is needed, and some more for small sets.
+PARTS, MORE = 2, 2
 #: Sizes of classes grow by this factor.
 CLASS = 2
-#: Signature buckets whose sizes tell large groups, and how far above the mean those are.
-BUCKETS, HOT = 65_536, 8
-#: Rounds in which every set meets one other of its largest group, before all others.
-ROUNDS = 3
+#: Buckets of signatures that are counted, and the least multiple of the mean that is crowded.
+BUCKETS, CROWDED = 65_536, 4
+#: Rounds in which every set meets one other set for each of a few marks, before all others.
+ROUNDS, TRIED = 2, 4
+#: Words of 64 bits in a sketch of a set: for each bit, whether it has an odd number of shingles there.
+SKETCH = 8
 
 M1, M2, M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
@@ -86,22 +88,24 @@ class Classes:
 
     def parts(self, c: int) -> int:
         largest = CLASS ** (c + 1) - 1
-        needed = self.differences(largest, largest) // (OUT + 1) + 1
-        return needed + needed * SPARE // 100
+        return (self.differences(largest, largest) // (OUT + 1) + 1) * PARTS + MORE
 
     def shared(self, n: int, c: int) -> int:
-        """Signatures that a set of ``n`` shares with any similar one in class ``c``, at least."""
+        """Signatures that a set of ``n`` shares with any similar one in class ``c``, at least.
+
+        A difference changes the subsets that have its cell, most in a part without another.
+        """
         largest = CLASS ** (c + 1) - 1
-        return self.parts(c) - self.differences(n, min(self.largest_partner(n), largest)) // (OUT + 1)
+        differences = self.differences(n, min(self.largest_partner(n), largest))
+        changed = len(SUBSETS) * (CELLS - OUT) // CELLS
+        return self.parts(c) * len(SUBSETS) - differences * changed
 
 
-def signatures(shingles: np.ndarray, classes: Classes) -> np.ndarray:
-    """The signatures of a set, in its own class and in the next if it has partners there."""
+def all_signatures(shingles: np.ndarray, classes: Classes):
+    """Class, signatures and shingles behind each, for a set's class and the next if it has partners
+    there."""
     n = len(shingles)
-    if not n:
-        return np.zeros(0, np.uint64)
     first = classes.of(n)
-    found = []
     for c in range(first, classes.of(classes.largest_partner(n)) + 1):
         parts = classes.parts(c)
         dealt = mixed(shingles ^ mixed(np.full(1, c, np.uint64)))
@@ -114,9 +118,17 @@ def signatures(shingles: np.ndarray, classes: Classes) -> np.ndarray:
         place = np.arange(parts * len(SUBSETS), dtype=np.uint64).reshape(parts, len(SUBSETS))
         behind = counts[:, SUBSETS].sum(axis=2).ravel()
         marks = mixed(sums[:, SUBSETS].sum(axis=2, dtype=np.uint64) ^ mixed(place * M3 + np.uint64(c))).ravel()
-        kept = len(marks) - classes.shared(n, c) + 1
-        found.append(marks[np.lexsort((marks, behind))[len(marks) - kept :]])
-    return np.unique(np.concatenate(found))
+        yield c, marks, behind
+
+
+def signatures(shingles: np.ndarray, classes: Classes, levels: np.ndarray) -> np.ndarray:
+    """The signatures a set is found by; ``levels`` tells how crowded a bucket is."""
+    found = []
+    for c, marks, behind in all_signatures(shingles, classes):
+        level = levels[marks & np.uint64(BUCKETS - 1)]
+        left_out = classes.shared(len(shingles), c) - 1
+        found.append(marks[np.lexsort((marks, behind, -level))[left_out:]])
+    return np.concatenate(found)
 
 
 def _set_key(shingles: np.ndarray) -> int:
@@ -125,36 +137,68 @@ def _set_key(shingles: np.ndarray) -> int:
     return xxh64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Sets that differ in d shingles have sketches that differ in d bits at most."""
+    odd = np.bincount((shingles % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return id_text(docs, id_col, text_col).withColumn("row_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
 def described(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """Each row's id, row_hash (of the text), n and key of its set, and its signatures."""
+    """Each row's id, row_hash (of the text), n and key of its set; and from every task a row with the
+    counts of its signatures by bucket."""
     classes = Classes(percent)
+    names = ["id", "row_hash", "n", "key", "sketch", "counts"]
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
 
     def run(batches):
+        counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             sets = [shingle_set(x, size) for x in texts(batch, "text")]
-            marks = [signatures(x, classes).view(np.int64) for x in sets]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in marks])])
-            values = np.concatenate([np.zeros(0, np.int64), *marks])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("row_hash"),
-                    pa.array([len(x) for x in sets], pa.int64()),
-                    pa.array([_set_key(x) for x in sets], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
-                ],
-                ["id", "row_hash", "n", "key", "marks"],
-            )
-
-    source = id_text(docs, id_col, text_col).withColumn("row_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return map_batches(source, run, "id long, row_hash long, n long, key long, marks array<long>")
+            marks = [m for x in sets if len(x) for _, m, _ in all_signatures(x, classes)]
+            if marks:
+                at = np.concatenate(marks) & np.uint64(BUCKETS - 1)
+                counts += np.bincount(at.astype(np.int64), minlength=BUCKETS)
+            columns = [
+                batch.column("id"),
+                batch.column("row_hash"),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([_set_key(x) for x in sets], pa.int64()),
+                pa.array([sketch(x) for x in sets], kinds[4]),
+                pa.nulls(len(sets), kinds[5]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        nothing = [pa.nulls(1, k) for k in kinds[:5]]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([counts], kinds[5])], names)
+
+    source = _source(docs, id_col, text_col)
+    return map_batches(source, run, "id long, row_hash long, n long, key long, sketch array<long>, counts array<long>")
+
+
+def _levels(rows: DataFrame) -> np.ndarray:
+    """How crowded each bucket of signatures is: the logarithm of its count by the mean."""
+    counts = rows.where("counts IS NOT NULL").select(F.posexplode("counts").alias("bucket", "count"))
+    counts = counts.groupBy("bucket").agg(F.sum("count").alias("count"))
+    mean = counts.agg(F.avg("count")).first()[0] or 0
+    levels = np.zeros(BUCKETS, np.int8)
+    # At most BUCKETS / CROWDED of them.
+    for r in counts.where(F.col("count") > CROWDED * mean + 100).collect():
+        levels[r["bucket"]] = int(np.log2(r["count"] / mean))
+    return levels
 
 
 def _met(batches):
-    """Rows sorted by mark: those of marks that more than one set has."""
+    """Rows sorted by mark and key: those of marks that more than one set has, once each."""
     rest = np.zeros((2, 0), np.int64)
 
     def several(rows: np.ndarray):
+        # Rows with equal sets give the same.
+        fresh = np.ones(rows.shape[1], bool)
+        fresh[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)
+        rows = rows[:, fresh]
         same = rows[0, 1:] == rows[0, :-1]
         kept = np.zeros(rows.shape[1], bool)
         kept[1:] |= same
@@ -171,20 +215,31 @@ def _met(batches):
         yield several(rest)
 
 
-def _postings(sets: DataFrame) -> DataFrame:
+def _postings(docs: DataFrame, text_col: str, size: int, percent: int, levels: np.ndarray) -> DataFrame:
     """(mark, key) of all marks that several sets share, and perhaps of a few others.
 
-    Marks of crowded buckets are taken without a look, so no task gets a mark of very many sets.
+    Marks of crowded buckets are combined before they are shuffled, so no task gets a mark of very
+    many rows.
     """
-    listed = sets.select(F.explode("marks").alias("mark"), "key")
-    bucket = F.pmod(F.col("mark"), F.lit(BUCKETS)).cast("int").alias("bucket")
-    sizes = listed.groupBy(bucket).count()
-    mean = sizes.agg(F.sum("count") / BUCKETS).first()[0] or 0
-    crowded = sizes.where(F.col("count") > HOT * mean + 1000).select("bucket")
-    hot = F.array(*[F.lit(r[0]) for r in crowded.collect()]).cast("array<int>")
-    listed = listed.withColumn("hot", F.array_contains(hot, bucket))
-    ordered = listed.where("NOT hot").drop("hot").repartition("mark").sortWithinPartitions("mark")
-    return stored(ordered.mapInArrow(_met, "mark long, key long").union(listed.where("hot").drop("hot")))
+    classes = Classes(percent)
+
+    def run(batches):
+        for batch in batches:
+            sets = [x for x in (shingle_set(x, size) for x in texts(batch, "text")) if len(x)]
+            marks = [signatures(x, classes, levels) for x in sets]
+            keys = np.array([_set_key(x) for x in sets], np.int64).repeat([len(x) for x in marks])
+            marks = np.concatenate([np.zeros(0, np.uint64), *marks])
+            hot = levels[marks & np.uint64(BUCKETS - 1)] > 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(marks.view(np.int64)), pa.array(keys), pa.array(hot)], ["mark", "key", "hot"]
+            )
+
+    source = docs.select(col(text_col).cast("string").alias("text"))
+    listed = stored(map_batches(source, run, "mark long, key long, hot boolean"))
+    ordered = listed.where("NOT hot").select("mark", "key").repartition("mark")
+    ordered = ordered.sortWithinPartitions("mark", "key")
+    crowded = listed.where("hot").select("mark", "key").distinct()
+    return stored(ordered.mapInArrow(_met, "mark long, key long").union(crowded))
 
 
 def _shingle_sets(docs: DataFrame, wanted: DataFrame, text_col: str, size: int) -> DataFrame:
@@ -218,16 +273,16 @@ def _classes(sets: DataFrame, links: DataFrame) -> DataFrame:
     return stored(found.select("key", F.coalesce("r", "key").alias("c"), "n"))
 
 
-def links(docs: DataFrame, sets: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between keys that connect all sets (key, row_hash, n, marks) that are similar.
+def links(docs: DataFrame, sets: DataFrame, text_col: str, size: int, percent: int, levels: np.ndarray) -> DataFrame:
+    """Links (a, b) between keys that connect all sets (key, row_hash, n) that are similar.
 
     A few rounds let each set meet one other of its largest group, so that copies become a class
     by as many pairs as there are copies. Then all pairs that share a mark and are not yet in one
     class are verified; sets that are in one class by then need no more links among them.
     """
-    postings = _postings(sets)
+    postings = _postings(docs, text_col, size, percent, levels)
     involved = postings.select("key").distinct()
-    whole = stored(sets.select("key", "row_hash", "n").join(involved, "key"))
+    whole = stored(sets.join(involved, "key"))
     shingles = stored(_shingle_sets(docs, whole.select("row_hash").distinct(), text_col, size))
     state = whole.select("key", F.col("key").alias("c"), "n")
     found = None
@@ -241,24 +296,30 @@ def links(docs: DataFrame, sets: DataFrame, text_col: str, size: int, percent: i
         if open_marks.isEmpty():
             break
         if turn < ROUNDS:
-            # The largest open group of a set; there it meets the first set of the least class.
-            mine = here.join(open_marks.select("mark", "size"), "mark").groupBy("key", "c", "n").agg(
-                F.max(F.struct("size", "mark")).alias("m")
-            )
-            mine = mine.select("key", "c", "n", F.col("m.mark").alias("mark"))
-            first = here.join(open_marks.select("mark"), "mark", "left_semi").groupBy("mark").agg(
-                F.min(F.struct("c", "key", "n")).alias("f")
+            # A set and a few open marks of its own; there it meets one set, other ones each round.
+            apart = here.join(open_marks.select("mark"), "mark", "left_semi")
+            some = F.array_sort(F.collect_set(F.struct(F.xxhash64("mark", F.lit(turn)).alias("h"), "mark")))
+            mine = apart.groupBy("key", "c", "n").agg(F.slice(some, 1, TRIED).alias("tried"))
+            mine = mine.select("key", "c", "n", F.explode("tried.mark").alias("mark"))
+            first = apart.groupBy("mark").agg(
+                F.min(F.struct(F.xxhash64("key", F.lit(turn)), "c", "key", "n")).alias("f")
             )
             first = first.select("mark", F.col("f.c").alias("c2"), F.col("f.key").alias("key2"), F.col("f.n").alias("n2"))
             pairs = mine.join(first, "mark").where("c <> c2")
         else:
-            # The largest class of a mark meets all others, and those meet each other.
-            counted = here.join(open_marks.select("mark"), "mark", "left_semi").groupBy("mark", "c").count()
+            # The largest class of a mark meets all others, and those meet each other. Most pairs
+            # that are too different are told by their sketches, so they are never rows.
+            bits = whole.select("key", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH)])
+            here = here.join(open_marks.select("mark"), "mark", "left_semi").join(bits, "key")
+            counted = here.groupBy("mark", "c").count()
             main = counted.groupBy("mark").agg(F.max(F.struct("count", "c")).alias("m"))
             here = here.join(main.select("mark", F.col("m.c").alias("main")), "mark")
-            other = here.where("c <> main").drop("main")
-            all_others = here.select("mark", F.col("key").alias("key2"), F.col("c").alias("c2"), F.col("n").alias("n2"), "main")
-            pairs = other.join(all_others, "mark").where("c <> c2 AND (c2 = main OR key < key2)")
+            new_names = {x: x + "2" for x in ("key", "c", "n", *[f"s{k}" for k in range(SKETCH)])}
+            all_others = here.withColumnsRenamed(new_names)
+            differ = " + ".join(f"bit_count(s{k} ^ s{k}2)" for k in range(SKETCH))
+            near = f"({differ}) * {100 + percent} <= (n + n2) * {100 - percent}"
+            pairs = here.where("c <> main").drop("main").join(all_others, "mark")
+            pairs = pairs.where("c <> c2 AND (c2 = main OR key < key2)").where(alike).where(near)
         pairs = pairs.where(alike).select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b"))
         new = _verified(stored(pairs.distinct()), shingles, percent)
         found = stored(new if found is None else found.union(new))
@@ -289,18 +350,16 @@ def similar_documents(
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be 50 to 100")
-    rows = described(docs, id_col, text_col, size, percent)
-    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()))
-    # Equal sets: one row stands for all.
+    whole = stored(described(docs, id_col, text_col, size, percent))
+    rows = whole.where("counts IS NULL").drop("counts")
+    # Equal sets: one text stands for all.
     first = stored(
         rows.where("n > 0")
         .groupBy("key")
-        .agg(F.min("id").alias("least"), F.min("row").alias("only"), F.count("*").alias("copies"))
-    )
-    several = checkpointed(first.where("copies > 1").select("key", "only"))
-    entries = lookup(rows.where("n > 0"), several, ["key"], "left").where("only IS NULL OR only = row")
-    entries = entries.select("key", "row_hash", "n", "marks")
-    found = checkpointed(components(links(docs, entries, text_col, size, percent)))
+        .agg(F.min("id").alias("least"), F.min("row_hash").alias("row_hash"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.count("*").alias("copies"))
+    )
+    sets = first.select("key", "row_hash", "n", "sketch")
+    found = checkpointed(components(links(docs, sets, text_col, size, percent, _levels(whole))))
     roots = first.join(found.withColumnRenamed("node", "key"), "key")
     least = roots.groupBy("root").agg(F.min("least").alias("joint"))
     joined = roots.join(least, "root").select("key", "joint")
