@@ -70,6 +70,15 @@ PHONE = "coalesce(t1, t2) AS PHONE, nick AS NAME"
 NOTE = "nullif(concat_ws(';', n1, n2, n3), '') AS NOTE"
 
 
+def unmapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that the mapping does not know, and how many values each has."""
+    found = bound(spark, sf_dir)
+    known = {r["var"]: r["idx"] for r in found.unmapped.collect()}
+    counts = found.data.agg(*[F.count(c).alias(c) for c in known])
+    counts = counts.unpivot([], list(known), "var", "values")
+    return found.unmapped.join(counts, "var").select("idx", "var", "values")
+
+
 def mapping_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands as targets, of which those with parts on both sides of a size are mixed."""
     return inconsistent_targets(
@@ -87,6 +96,7 @@ HAVING bool_and(p_size > 10 OR p_brand LIKE '%1') <> bool_or(p_size > 10 OR p_br
 """
 
 QUERIES = {
+    "unmapped_columns": unmapped_columns,
     "mapping_check": mapping_check,
     "bind_columns": bind_columns,
     "bind_columns_first": bind_columns_first,
@@ -94,6 +104,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "unmapped_columns": "SELECT 1 AS idx, 'KEY' AS var, count(c_custkey) AS values FROM customer "
+    "UNION ALL SELECT 9, 'BALANCE', count(c_acctbal) FROM customer",
     "mapping_check": MAPPING_CHECK,
     "bind_columns": f"SELECT KEY, BALANCE, {PHONE}, {NOTE} FROM ({CONTACTS})",
     "bind_columns_first": f"SELECT KEY, {PHONE} FROM ({CONTACTS})",

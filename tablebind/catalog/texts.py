@@ -102,7 +102,23 @@ def write_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).schema("head string").csv(folder)
 
 
+#: Rules for what headings open with, hold or end with, each for a few letters only.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+MANY_RULES = (
+    [(f".+{(a + b).capitalize()}.*", "", a + b) for a in LETTERS for b in LETTERS[13:]]
+    + [(f"{a}{b}{c}$", "", a + b + c) for a in LETTERS[:8] for b in LETTERS[4:12] for c in LETTERS[::5]]
+    + [("[0-9]{2}", "", "digits"), ("(Th|Ti)[aeiou]s", "", "choice")]
+)
+
+
+def unmatched_heads_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headings that none of a thousand rules knows."""
+    rules = spark.createDataFrame(MANY_RULES, RULE_SCHEMA)
+    return tb.unmatched_heads(texts(spark, sf_dir, "documents", "doc_id", "text"), rules)
+
+
 QUERIES = {
+    "unmatched_heads_many": unmatched_heads_many,
     "write_heads": write_heads,
     "normalize_text": normalize_text,
     "extract_fields": extract_fields,
@@ -119,7 +135,15 @@ WHERE NOT regexp_matches(head, '^The\s+(\S*).*', 's')
   AND NOT regexp_matches(head, '\d\.', 's')
 """
 
+UNMATCHED_MANY = rf"""
+SELECT head FROM ({_heads_sql("documents")})
+WHERE NOT regexp_matches(head, '^[A-Z][n-z]')
+  AND NOT regexp_matches(head, '[a-h][e-l][afkpuz]$')
+  AND NOT regexp_matches(head, '[0-9]{{2}}|(Th|Ti)[aeiou]s')
+"""
+
 ORACLES = {
+    "unmatched_heads_many": UNMATCHED_MANY,
     "normalize_text": f"SELECT doc_id, {_normalized_sql('text')} AS text FROM ({SPLIT_TEXT})",
     "extract_fields": f"SELECT page_id, {PAGE_FIELDS} FROM pages",
     "documents_to_table": f"SELECT doc_id, {LINE_FIELDS} FROM "

@@ -67,6 +67,74 @@ def starts_at_start(pattern: str) -> bool:
     return bool(OPEN_START.match(pattern)) and not _has_alternatives(pattern)
 
 
+def literal_runs(pattern: str) -> list[tuple[int, str]]:
+    """The literal texts that every match has, with their places in the pattern, in order.
+
+    Groups, classes and what a quantifier makes optional are passed over; a pattern with
+    alternatives, flags or quoted parts has none.
+    """
+    if _has_alternatives(pattern) or "\\Q" in pattern or re.search(r"\(\?[a-zA-Z-]+[):]", pattern):
+        return []
+    runs: list[tuple[int, str]] = []
+    run, start, i = "", 0, 0
+
+    def end() -> None:
+        nonlocal run
+        if run:
+            runs.append((start, run))
+        run = ""
+
+    while i < len(pattern):
+        char, width = pattern[i], 1
+        literal = char not in ".[](){}*+?|^$\\"
+        if char == "\\":
+            char, width = pattern[i + 1 : i + 2], 2
+            literal = char.isascii() and not char.isalnum() and char != ""
+        elif char in "[(":
+            width = _bracket(pattern, i)
+        after = pattern[i + width : i + width + 1]
+        if literal and after not in ("*", "?", "{"):
+            start = start if run else i
+            run += char
+            if after == "+":
+                end()
+        else:
+            end()
+        i += width
+        if after and after in "*+?":
+            i += 1
+        elif after == "{":
+            i = max(pattern.find("}", i) + 1, i + 1)
+    end()
+    return runs
+
+
+def _bracket(pattern: str, at: int) -> int:
+    """The length of the group or class that opens at ``at``."""
+    depth, in_class, i = 0, False, at
+    while i < len(pattern):
+        char = pattern[i]
+        if char == "\\":
+            i += 1
+        elif in_class:
+            in_class = char != "]"
+        elif char == "[":
+            in_class = True
+        elif char in "()":
+            depth += 1 if char == "(" else -1
+        if not in_class and depth == 0:
+            return i + 1 - at
+        i += 1
+    return len(pattern) - at
+
+
+def opening_text(pattern: str) -> tuple[bool, str]:
+    """The literal text that every match begins with, and whether it stands at the text's start."""
+    at_start = pattern.startswith("^")
+    place, text = next(iter(literal_runs(pattern)), (-1, ""))
+    return (at_start, text) if place == int(at_start) else (False, "")
+
+
 def replace_first(text: Column, pattern: str, extract: str) -> Column:
     """``text`` with its first match of ``pattern`` replaced; the rest stays.
 
@@ -79,6 +147,12 @@ def replace_first(text: Column, pattern: str, extract: str) -> Column:
 
 
 def contains(text: Column, pattern: str) -> Column:
-    """Whether ``pattern`` occurs in ``text``."""
+    """Whether ``pattern`` occurs in ``text``.
+
+    The longest text that every match has is looked for first, so a pattern that does not occur
+    costs a plain search.
+    """
     start = "\\A" if starts_at_start(pattern) else ""
-    return text.rlike(DOT_ALL + start + pattern)
+    found = text.rlike(DOT_ALL + start + pattern)
+    needed = max((t for _, t in literal_runs(pattern)), key=len, default="")
+    return F.contains(text, F.lit(needed)) & found if needed else found

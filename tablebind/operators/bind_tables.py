@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NullType, StringType, TimestampNTZType, TimestampType
 
 from tablebind.functions.names import balanced, col
-from tablebind.sources.tables import FILE, SHEET, count_rows, list_sheets, read_sheets
+from tablebind.sources.tables import FILE, SHEET, count_rows, list_sheets, read_merged
 
 # What names lose, which names hold dates, the spreadsheet day zero, and the
 # texts that are dates.
@@ -182,7 +182,7 @@ def bind_files(
 ) -> BoundTables:
     """Read many files and bind them; see ``read_tables`` and ``bind_tables``."""
     found = list_sheets(spark, paths, fmt, sheet, **options)
-    tables = read_sheets(found)
+    tables = read_merged(found)
     return bind_tables(tables, found.as_table(), compress, date_names)
 
 

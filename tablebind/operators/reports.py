@@ -76,8 +76,8 @@ def split_footer(
     keys, order_by = as_names(partition_by), as_names(order_by)
     if rows <= 0:
         return BodyAndFoot(df, df.limit(0))
-    check_footer(df, rows, keys)
-    if rows > int(df.sparkSession.conf.get(TOP_K_CONF, str(TOP_K))):
+    if rows >= int(df.sparkSession.conf.get(TOP_K_CONF, str(TOP_K))):
+        check_footer(df, rows, keys)
         placed = place_rows(df, keys, order_by, texts=df.columns)
         is_foot = F.col(POSITION) >= F.col(SIZE) - rows
         names = list(map(col, df.columns))
@@ -85,28 +85,38 @@ def split_footer(
     columns, ordered = df.columns, [*order_by, *tie_columns(df, [*keys, *order_by])]
     latest = [col(o).desc() for o in ordered]
     place = F.struct(*[col(o).alias(f"o{i}") for i, o in enumerate(ordered)])
-    if keys:
-        by, grouped = keys, df
-        rank = F.row_number().over(Window.partitionBy(*map(col, keys)).orderBy(*latest))
-        last = df.withColumn("_tb_rank", rank).where(F.col("_tb_rank") <= rows).drop("_tb_rank")
-    else:
-        by, grouped = ["_tb_all"], df.withColumn("_tb_all", F.lit(0))
-        last = grouped.orderBy(*latest).limit(rows)
-    foot = checkpointed(last)
+    by, grouped = (keys, df) if keys else (["_tb_all"], df.withColumn("_tb_all", F.lit(0)))
     names = list(map(col, by))
+    # One row more than the foot tells whether there is a body, and whether it begins with a row
+    # equal to the first of the foot.
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(*latest))
+    cut = grouped if keys else grouped.orderBy(*latest).limit(rows + 1)
+    last = checkpointed(cut.withColumn("_tb_rank", rank).where(F.col("_tb_rank") <= rows + 1))
+    in_foot = F.col("_tb_rank") <= rows
     starts = checkpointed(
-        foot.groupBy(*names, place.alias("_tb_place"))
-        .agg(F.count(F.lit(1)).alias("_tb_count"))
-        .groupBy(*names)
-        .agg(
-            F.min("_tb_place").alias("_tb_start"),
-            F.min_by("_tb_count", "_tb_place").alias("_tb_taken"),
+        last.groupBy(*names).agg(
+            F.count(F.lit(1)).alias("_tb_count"),
+            F.min(F.when(in_foot, place)).alias("_tb_start"),
+            F.max(F.when(~in_foot, place)).alias("_tb_next"),
         )
     )
-    marked = lookup(grouped, starts, by, "inner")
-    before = marked.where(place < F.col("_tb_start")).select(*map(col, columns))
-    body = before.unionByName(_spare(marked, place, by, columns))
-    return BodyAndFoot(body, foot.select(*map(col, columns)))
+    short = starts.where(F.col("_tb_count") <= rows).select(*names).head(3)
+    if not keys and (short or starts.isEmpty()):
+        raise ValueError(f"the foot of {rows} rows would take the whole table")
+    if short:
+        groups = ", ".join(str(tuple(r)) for r in short)
+        raise ValueError(f"the foot of {rows} rows would take whole groups, such as {groups}")
+    body = lookup(grouped, starts, by, "inner").where(place < F.col("_tb_start")).select(*map(col, columns))
+    tied = starts.where(F.col("_tb_next").eqNullSafe(F.col("_tb_start")))
+    if not tied.isEmpty():
+        # Only where equal rows lie on both sides are those counted, in a scan of their own.
+        taken = lookup(last.where(in_foot), tied, by, "inner")
+        taken = taken.where(place == F.col("_tb_start")).groupBy(*names).agg(
+            F.count(F.lit(1)).alias("_tb_taken"), F.first("_tb_start").alias("_tb_start")
+        )
+        marked = lookup(grouped, checkpointed(taken), by, "inner")
+        body = body.unionByName(_spare(marked, place, by, columns))
+    return BodyAndFoot(body, last.where(in_foot).select(*map(col, columns)))
 
 
 def _spare(marked: DataFrame, place: Column, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebind.functions.regex import contains, replace_first
+from tablebind.functions.regex import DOT_ALL, contains, opening_text, replace_first
+from tablebind.plans.checkpoints import checkpointed
+from tablebind.plans.joins import lookup
 from tablebind.sources.dictionaries import Rule, load_rules
 
 # The blanks a heading ends at, a line with its heading, what precedes the
@@ -17,6 +19,11 @@ HEADED_LINE = r"^([^\t\n\f\r\p{Z}]+?)[\t\n\f\r\p{Z}].+$"
 RULE_PREFIX = r"^[^医]*医生(.+)$"
 RULE_OPENING = r"^\.\+\?*(?:\\n)*"
 
+# Rules that are all tried on every heading; more are found by what they open with, by so many
+# of its characters at the start of a heading, or anywhere in it.
+TRIED_RULES = 32
+START_CHARS, INNER_CHARS = 8, 4
+
 
 def normalized(text: Column, left_trim: bool = False) -> Column:
     """The text without blank lines; form feeds are line breaks."""
@@ -85,13 +92,58 @@ def head_patterns(rules: Sequence[Rule]) -> list[str]:
 def unmatched_heads(
     df: DataFrame, rules: DataFrame | Sequence[Rule], column: str = "text"
 ) -> DataFrame:
-    """Distinct headings that no rule knows. Patterns run once per distinct heading."""
+    """Distinct headings that no rule knows. Patterns run once per distinct heading.
+
+    Of many rules, a heading is tried against those only whose opening text it has: it meets an
+    index of openings by equality, so time follows the candidates. Rules without an opening text
+    are tried on all headings.
+    """
     heads = line_heads(df, column)
+    patterns = head_patterns(_as_rules(rules))
+    index: dict[tuple[bool, str], list[str]] = {}
+    if len(patterns) > TRIED_RULES:
+        for pattern in patterns:
+            at_start, text = opening_text(pattern)
+            if text and len(text.encode("utf-16-le")) == 2 * len(text):
+                key = text[: START_CHARS if at_start else INNER_CHARS]
+                index.setdefault((at_start, key), []).append(pattern)
+    indexed = {p for held in index.values() for p in held}
     # One flat choice: thousands of rules nest no deeper than one.
     unknown = F.when(F.lit(False), False)
-    for pattern in head_patterns(_as_rules(rules)):
-        unknown = unknown.when(contains(F.col("head"), pattern), False)
-    return heads.where(unknown.otherwise(True))
+    for pattern in patterns:
+        if pattern not in indexed:
+            unknown = unknown.when(contains(F.col("head"), pattern), False)
+    heads = heads.where(unknown.otherwise(True))
+    return _not_in(heads, index) if index else heads
+
+
+def _not_in(heads: DataFrame, index: dict[tuple[bool, str], list[str]]) -> DataFrame:
+    """Headings (distinct) that none of the patterns matches, by their opening texts."""
+    head, length = F.col("head"), F.length("head")
+    rows = [(at_start, key, [DOT_ALL + p for p in held]) for (at_start, key), held in index.items()]
+    known = checkpointed(
+        heads.sparkSession.createDataFrame(rows, "at_start boolean, key string, patterns array<string>")
+    )
+
+    def texts(at_start: bool, n: int) -> Column:
+        """The texts of n characters that patterns may open with."""
+        if at_start:
+            return F.array(F.substring(head, 1, n))
+        places = F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1)))
+        return F.array_distinct(F.transform(places, lambda i: F.substring(head, i, F.lit(n))))
+
+    def keyed(at_start: bool, n: int) -> Column:
+        return F.transform(
+            texts(at_start, n), lambda x: F.struct(F.lit(at_start).alias("at_start"), x.alias("key"))
+        )
+
+    keys = [keyed(*kind) for kind in sorted({(at_start, len(key)) for at_start, key in index})]
+    each = heads.select("head", F.explode(F.concat(*keys)).alias("k")).select("head", "k.at_start", "k.key")
+    tried = lookup(each, known, ["at_start", "key"], "left")
+    matches = F.exists("patterns", lambda p: F.regexp_like(head, p))
+    # Headings are distinct and stay where they are, so this is no second shuffle.
+    found = tried.groupBy("head").agg(F.max(F.coalesce(matches, F.lit(False))).alias("known"))
+    return found.where("NOT known").select("head")
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -20,6 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tablebind.functions.names import balanced, col
 from tablebind.plans.checkpoints import checkpointed
 from tablebind.plans.joins import lookup
+from tablebind.sources.records import csv_records
 
 FILE = "FILE"
 SHEET = "SHEET"
@@ -33,9 +35,11 @@ ENDINGS = {
     "orc": r"(?i)\.orc$",
 }
 
+# Compressed files are one block.
+PACKED = r"(?i)\.(gz|bz2|zst)$"
+
 # Quotes inside CSV fields are doubled and line breaks stand as they are, the way spreadsheets
-# write them. A file is read by one task then; multiLine=False lets Spark split files whose
-# cells have no line breaks.
+# write them. Spark reads such a file in one task; see read_sheets for files of several blocks.
 CSV_OPTIONS = {"header": True, "escape": '"', "multiLine": True}
 # Written values keep their blanks.
 CSV_AS_IS = {"nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -47,6 +51,10 @@ SCHEMA_THREADS = 16
 HEADER_JOBS = 64
 PLAIN_OPTIONS = {"sep", "delimiter", "multiline", "quote", "nullvalue"}
 
+# Options that records put together from lines understand, and the size of the blocks of a file.
+RECORD_OPTIONS = PLAIN_OPTIONS | {"split", "header", "escape"}
+BLOCK_CONF = "spark.sql.files.maxPartitionBytes"
+
 # Sheets that are picked by a filter on their names rather than by a join.
 FILTER_SHEETS = 1000
 
@@ -62,6 +70,8 @@ class Sheets:
     options: dict = field(default_factory=dict)
     #: The folder that names start below, where file names alone are not enough.
     root: str | None = None
+    #: Bytes of the largest file that can be read in blocks.
+    largest: int = 0
 
     def as_table(self) -> DataFrame:
         rows = [(name, sheet) for _, name, sheet in self.entries]
@@ -111,15 +121,15 @@ def _root(entries: Sequence[tuple[str, str, str]], workbooks: bool) -> str | Non
 def _listing(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
-        # Only paths are selected, so no file is opened for its content.
-        return reader.load(list(paths)).select("path")
+        # Only paths and sizes are selected, so no file is opened for its content.
+        return reader.load(list(paths)).select("path", "length")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
     existing = []
     for path in paths:
         try:
-            existing.append(reader.load(path).select("path"))
+            existing.append(reader.load(path).select("path", "length"))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -149,15 +159,22 @@ def list_sheets(
     paths = [paths] if isinstance(paths, str) else list(paths)
     listing = _listing(spark, paths) if paths else None
     entries: list[tuple[str, str, str]] = []
-    root = None
+    root, largest = None, 0
     if listing is not None:
         found = listing.where(F.col("path").rlike(ENDINGS[fmt]))
-        names = _names(F.col("path"), fmt, workbooks)
-        entries = [tuple(r) for r in found.select(*names).distinct().collect()]
-        root = _root(entries, workbooks)
+        packed = F.col("path").rlike(PACKED)
+
+        def listed(root: str | None) -> list[tuple]:
+            names = [n.alias(f"n{k}") for k, n in enumerate(_names(F.col("path"), fmt, workbooks, root))]
+            sizes = found.groupBy(*names).agg(F.max(F.when(packed, 0).otherwise(F.col("length"))))
+            return [tuple(r) for r in sizes.collect()]
+
+        rows = listed(None)
+        root = _root([r[:3] for r in rows], workbooks)
         if root is not None:
-            names = _names(F.col("path"), fmt, workbooks, root)
-            entries = [tuple(r) for r in found.select(*names).distinct().collect()]
+            rows = listed(root)
+        entries = [r[:3] for r in rows]
+        largest = max((r[3] for r in rows), default=0)
     if not entries:
         raise FileNotFoundError(f"no {fmt} file among the given paths")
     entries.sort(key=lambda e: (e[1], e[2], e[0]))
@@ -176,7 +193,7 @@ def list_sheets(
         ]
         if not entries:
             raise FileNotFoundError("no file has the wanted sheets")
-    return Sheets(spark, fmt, workbooks, entries, dict(options), root)
+    return Sheets(spark, fmt, workbooks, entries, dict(options), root, largest)
 
 
 def _picks(sheet: int | str | Sequence[int | str]) -> list[int | str]:
@@ -189,14 +206,19 @@ def _load(sheets: Sheets, paths: Sequence[str], schema: StructType | None = None
         reader = reader.options(**CSV_OPTIONS)
     elif sheets.fmt == "json":
         reader = reader.option("primitivesAsString", True)
-    reader = reader.options(**sheets.options)
+    reader = reader.options(**{k: v for k, v in sheets.options.items() if k != "split"})
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(list(paths))
 
 
 def read_sheets(sheets: Sheets, same_schema: bool = False) -> list[DataFrame]:
-    """One DataFrame per distinct schema among the sheets.
+    """One DataFrame per distinct schema among the sheets; see ``sheet_groups``."""
+    return [table for table, _ in sheet_groups(sheets, same_schema)]
+
+
+def sheet_groups(sheets: Sheets, same_schema: bool = False) -> list[tuple[DataFrame, set[tuple[str, str]]]]:
+    """One DataFrame per distinct schema among the sheets, and the (file, sheet) it holds.
 
     Spark applies one schema to all files of a read (CSV by position), so files are
     grouped by header or footer first: a small read per file that stops at its first
@@ -204,22 +226,27 @@ def read_sheets(sheets: Sheets, same_schema: bool = False) -> list[DataFrame]:
     file sets known to be uniform; CSV headers are then checked during the scan, and the
     columns of parquet and orc files are put together (a type that differs is an error).
     JSON is read by name and needs no grouping.
+
+    CSV files of more than one block (``spark.sql.files.maxPartitionBytes``) are read by as many
+    tasks, line breaks in cells or not, with one shuffle of their lines; see ``csv_records`` for
+    what their quotes must be like. The option ``split`` asks for that, or with False against it.
     """
     paths = list(dict.fromkeys(e[0] for e in sheets.entries))
+    held = {(name, sheet) for _, name, sheet in sheets.entries}
     schema = sheets.options.get("schema")
     if schema is not None:
         options = {k: v for k, v in sheets.options.items() if k != "schema"}
         plain = replace(sheets, options=options)
-        return [_tagged(plain, _load(plain, paths, schema))]
+        return [(_tagged(plain, _load(plain, paths, schema)), held)]
     if sheets.fmt == "json":
-        return [_tagged(sheets, _load(sheets, paths))]
+        return [(_tagged(sheets, _load(sheets, paths)), held)]
     if same_schema and sheets.fmt != "csv":
         merged = replace(sheets, options={"mergeSchema": True, **sheets.options})
-        return [_tagged(merged, _load(merged, paths))]
+        return [(_tagged(merged, _load(merged, paths)), held)]
     if same_schema:
         first = _load(sheets, paths[:1]).schema
         reader = replace(sheets, options={"enforceSchema": False, **sheets.options})
-        return [_tagged(reader, _load(reader, paths, first))]
+        return [(_tagged(reader, _load(reader, paths, first)), held)]
 
     def schema_of(path: str) -> StructType:
         found = _load(sheets, [path]).schema
@@ -235,7 +262,78 @@ def read_sheets(sheets: Sheets, same_schema: bool = False) -> list[DataFrame]:
     with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
         for some, found in zip(alike, pool.map(lambda some: schema_of(some[0]), alike)):
             groups.setdefault(found.json(), (found, []))[1].extend(some)
-    return [_tagged(sheets, _load(sheets, group, found)) for found, group in groups.values()]
+    at: dict[str, set[tuple[str, str]]] = {}
+    for path, name, sheet in sheets.entries:
+        at.setdefault(path, set()).add((name, sheet))
+    blocks = _in_blocks(sheets)
+    return [
+        (
+            _from_records(sheets, group, found) if blocks else _tagged(sheets, _load(sheets, group, found)),
+            set().union(*[at[path] for path in group]),
+        )
+        for found, group in groups.values()
+    ]
+
+
+def read_merged(sheets: Sheets) -> list[DataFrame]:
+    """The sheets in as few DataFrames as their column types allow; columns a file lacks are null.
+
+    The schemas of parquet and orc files are put together by Spark, in one distributed job for all
+    files. Only where a column has several types the files are halved, and the parts that agree
+    are put together again. Other formats are read by ``read_sheets``.
+    """
+    if sheets.fmt not in ("parquet", "orc") or sheets.options:
+        return read_sheets(sheets)
+    reader = replace(sheets, options={"mergeSchema": True})
+
+    def merged(paths: list[str]) -> list[tuple[StructType, list[str]]]:
+        try:
+            return [(_load(reader, paths).schema, paths)]
+        except (PySparkException, Py4JJavaError) as error:
+            if len(paths) == 1 or "MERGE" not in str(error).upper():
+                raise
+        half = len(paths) // 2
+        return merged(paths[:half]) + merged(paths[half:])
+
+    groups: list[tuple[dict[str, StructField], list[str]]] = []
+    for schema, paths in merged(sorted({e[0] for e in sheets.entries})):
+        for fields, held in groups:
+            if all(fields.get(f.name, f).dataType == f.dataType for f in schema.fields):
+                held.extend(paths)
+                fields.update({f.name: f for f in schema.fields if f.name not in fields})
+                break
+        else:
+            groups.append(({f.name: f for f in schema.fields}, list(paths)))
+    return [_tagged(sheets, _load(sheets, held, StructType(list(fields.values())))) for fields, held in groups]
+
+
+def _in_blocks(sheets: Sheets) -> bool:
+    """Whether CSV files are to be read by records put together from lines."""
+    options = {k.lower(): v for k, v in sheets.options.items()}
+    if sheets.fmt != "csv" or "split" in options:
+        return sheets.fmt == "csv" and bool(options["split"])
+    if not options.keys() <= RECORD_OPTIONS or not options.get("header", True):
+        return False
+    if str(options.get("multiline", True)).lower() == "false":
+        return False
+    return sheets.largest > _bytes(sheets.spark.conf.get(BLOCK_CONF))
+
+
+def _bytes(size: str) -> int:
+    """A setting such as 134217728b, 128m or 1GB as a number."""
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", size.strip().lower()).groups()
+    return int(number) << {"k": 10, "m": 20, "g": 30, "t": 40, "p": 50}.get(unit[:1], 0)
+
+
+def _from_records(sheets: Sheets, paths: Sequence[str], schema: StructType) -> DataFrame:
+    """The cells of CSV files out of their records."""
+    options = {k: v for k, v in {**CSV_OPTIONS, **sheets.options}.items() if k.lower() not in ("split", "header")}
+    records = csv_records(sheets.spark, paths, str(sheets.options.get("quote", '"'))).where("NOT first")
+    shape = StructType([StructField(f"c{k}", StringType()) for k in range(len(schema))])
+    parsed = F.from_csv("value", shape.simpleString(), {k: str(v) for k, v in options.items()})
+    _, name, sheet = _names(_decoded(F.col("path")), sheets.fmt, sheets.workbooks, sheets.root)
+    cells = records.select(name.alias(FILE), sheet.alias(SHEET), parsed.alias("cells"))
+    return cells.select(FILE, SHEET, *[F.col(f"cells.c{k}").alias(f.name) for k, f in enumerate(schema.fields)])
 
 
 def _same_headers(sheets: Sheets, paths: Sequence[str]) -> list[list[str]]:
@@ -263,9 +361,13 @@ def _same_headers(sheets: Sheets, paths: Sequence[str]) -> list[list[str]]:
     return list(groups.values())
 
 
-def _data_path() -> Column:
+def _decoded(path: Column) -> Column:
     # The path comes percent-encoded; a plus sign in it is itself.
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _data_path() -> Column:
+    return _decoded(F.col("_metadata.file_path"))
 
 
 def _tagged(sheets: Sheets, df: DataFrame) -> DataFrame:
@@ -353,6 +455,7 @@ def write_table(
     fmt: str,
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
+    **options: object,
 ) -> None:
     """Write ``df`` as csv (with header, missing as empty), json, parquet or orc.
 
@@ -369,7 +472,7 @@ def write_table(
         writer = writer.options(**CSV_OPTIONS, **CSV_AS_IS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    writer.options(**options).save(path)
 
 
 def write_heads(heads: DataFrame, path: str, mode: str = "errorifexists") -> None:
