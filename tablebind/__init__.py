@@ -22,15 +22,17 @@ from tablebind.operators.headers import (
 from tablebind.operators.reports import blank_repeats, html_tables, split_footer
 from tablebind.operators.summaries import simplify_summary
 from tablebind.operators.texts import (
+    document_heads,
     documents_to_table,
     extract_fields,
     line_heads,
     normalize_text,
+    unknown_heads,
     unmatched_heads,
 )
 from tablebind.sources.convert import convert_files
 from tablebind.sources.dictionaries import load_mapping, load_rules
-from tablebind.sources.documents import read_documents
+from tablebind.sources.documents import read_documents, read_lines
 from tablebind.sources.tables import read_tables, select_sheet, write_heads, write_table
 
 __all__ = [
@@ -43,6 +45,7 @@ __all__ = [
     "coerce_dates",
     "convert_files",
     "detect_bind_modes",
+    "document_heads",
     "documents_to_table",
     "drop_all_null",
     "empty_to_null",
@@ -57,6 +60,7 @@ __all__ = [
     "normalize_names",
     "normalize_text",
     "read_documents",
+    "read_lines",
     "read_tables",
     "select_sheet",
     "simplify_summary",
@@ -64,6 +68,7 @@ __all__ = [
     "stringify",
     "table_dims",
     "union_tables",
+    "unknown_heads",
     "unmatched_heads",
     "write_heads",
     "write_table",

@@ -234,6 +234,22 @@ def convert_one_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).schema("priority string").csv(folder)
 
 
+def convert_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversion that has done two files and is taken up with all of them."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]
+    target = new_folder(spark, "converted")
+    tb.convert_files(spark, paths[:2], target, "parquet", "json")
+    return tb.convert_files(spark, paths, target, "parquet", "json", resume=True)
+
+
+def read_csv_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks as csv files, put together from the lines of their blocks."""
+    folder = f"{new_folder(spark, 'source')}/documents.csv"
+    tb.write_table(table(spark, sf_dir, "documents"), folder, "csv")
+    (found,) = tb.read_tables(spark, folder, "csv", split=True)
+    return found.drop("FILE", "SHEET")
+
+
 #: Order keys in one text file.
 RUN_OF_KEYS = 10_000
 
@@ -277,6 +293,8 @@ def bind_files_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "convert_resumed": convert_resumed,
+    "read_csv_blocks": read_csv_blocks,
     "convert_documents": convert_documents,
     "convert_one_column": convert_one_column,
     "read_documents": read_documents,
@@ -296,6 +314,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "convert_resumed": BIND_FILES,
+    "read_csv_blocks": "SELECT nullif(CAST(COLUMNS(*) AS VARCHAR), '') FROM documents",
     "convert_documents": "SELECT nullif(CAST(COLUMNS(*) AS VARCHAR), '') FROM documents",
     "convert_one_column": "SELECT CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS priority "
     "FROM orders",

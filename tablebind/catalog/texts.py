@@ -117,7 +117,21 @@ def unmatched_heads_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.unmatched_heads(texts(spark, sf_dir, "documents", "doc_id", "text"), rules)
 
 
+def document_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headings of text files read line by line: documents by source, one below the other."""
+    folder = new_folder(spark, "lines")
+    docs = split_text(spark, sf_dir).where("text IS NOT NULL")
+    docs = docs.withColumn("run", F.floor(F.col("doc_id") / DOCS_OF_A_FILE))
+    ordered = docs.repartition("run").sortWithinPartitions("run", "doc_id").select("run", "text")
+    ordered.write.partitionBy("run").text(folder, lineSep="\n\n")
+    return tb.document_heads(tb.read_lines(spark, folder))
+
+
+#: Documents in one text file.
+DOCS_OF_A_FILE = 500
+
 QUERIES = {
+    "document_heads": document_heads,
     "unmatched_heads_many": unmatched_heads_many,
     "write_heads": write_heads,
     "normalize_text": normalize_text,
@@ -142,7 +156,16 @@ WHERE NOT regexp_matches(head, '^[A-Z][n-z]')
   AND NOT regexp_matches(head, '[0-9]{{2}}|(Th|Ti)[aeiou]s')
 """
 
+#: Lines of whole files, so only the first text of each is trimmed at its start.
+DOCUMENT_HEADS = rf"""
+WITH files AS (
+  SELECT string_agg(text, chr(10) || chr(10) ORDER BY doc_id) AS text FROM ({SPLIT_TEXT})
+  WHERE text IS NOT NULL GROUP BY doc_id // {DOCS_OF_A_FILE})
+{_heads_sql("files")}
+"""
+
 ORACLES = {
+    "document_heads": DOCUMENT_HEADS,
     "unmatched_heads_many": UNMATCHED_MANY,
     "normalize_text": f"SELECT doc_id, {_normalized_sql('text')} AS text FROM ({SPLIT_TEXT})",
     "extract_fields": f"SELECT page_id, {PAGE_FIELDS} FROM pages",

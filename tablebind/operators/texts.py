@@ -82,6 +82,24 @@ def line_heads(df: DataFrame, column: str = "text") -> DataFrame:
     return heads.select(F.regexp_replace("line", HEADED_LINE, "$1").alias("head")).distinct()
 
 
+def document_heads(lines: DataFrame) -> DataFrame:
+    """The distinct line headings of documents read line by line; see ``read_lines``.
+
+    The same as ``line_heads`` of the whole texts, for documents of any length: nothing but the
+    place of each document's first text is gathered, and that is combined before it is shuffled.
+    Documents without any text have no heading.
+    """
+    text = normalized(F.col("text"))
+    pieces = lines.where(text != "").select("path", "block", "at", F.posexplode(F.split(text, "\n")).alias("n", "line"))
+    place = F.struct("block", "at", "n")
+    begun = F.col("line").rlike("[^\t\n\f\r\\p{Z}]")
+    first = checkpointed(pieces.where(begun).groupBy("path").agg(F.min(place).alias("first")))
+    # What is blank at a text's start is trimmed, over lines as well.
+    kept = lookup(pieces, first, ["path"], "inner").where(place >= F.col("first"))
+    line = F.when(place == F.col("first"), F.regexp_replace("line", f"^{BLANK}+", "")).otherwise(F.col("line"))
+    return kept.select(F.regexp_replace(line, HEADED_LINE, "$1").alias("head")).distinct()
+
+
 def head_patterns(rules: Sequence[Rule]) -> list[str]:
     """The headings the rules know, as patterns."""
     cut = [re.sub(RULE_PREFIX, r"\1", r.pattern, count=1) for r in rules]
@@ -98,7 +116,11 @@ def unmatched_heads(
     index of openings by equality, so time follows the candidates. Rules without an opening text
     are tried on all headings.
     """
-    heads = line_heads(df, column)
+    return unknown_heads(line_heads(df, column), rules)
+
+
+def unknown_heads(heads: DataFrame, rules: DataFrame | Sequence[Rule]) -> DataFrame:
+    """Of distinct headings (``head``) those that no rule knows; see ``unmatched_heads``."""
     patterns = head_patterns(_as_rules(rules))
     index: dict[tuple[bool, str], list[str]] = {}
     if len(patterns) > TRIED_RULES:

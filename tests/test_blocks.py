@@ -216,7 +216,6 @@ def test_many_rules_by_their_openings(spark, monkeypatch):
     opening = ["".join(rng.choices("abcd体温", k=rng.randrange(1, 10))) for _ in range(120)]
     patterns = [f".+{o}" for o in opening[:60]] + [f"{o}[a-c]" for o in opening[60:]] + [r"[.]{3}", "(ca|db)温"]
     patterns += [f"x医生.+{o}c?" for o in opening[::7]]
-    rules = [tb.load_rules(spark.createDataFrame([(p, "", "F")], "Pattern string, Extract string, Fld string"))[0] for p in patterns[:3]]
     rules = tb.load_rules(spark.createDataFrame([(p, "", "F") for p in patterns], "Pattern string, Extract string, Fld string"))
     found = rows(tb.unmatched_heads(docs, rules))
     monkeypatch.setattr(texts, "TRIED_RULES", 10_000)
@@ -243,3 +242,25 @@ def test_feet_with_equal_rows_on_both_sides(spark):
     whole = tb.split_footer(df, 6, ["o", "v"])
     assert whole.foot.count() == 6
     assert rows(whole.body.union(whole.foot)) == rows(df)
+
+
+# ---- documents line by line
+
+
+@pytest.mark.parametrize("block", ["32b", "64m"])
+def test_headings_line_by_line(spark, tmp_path, block):
+    rng = random.Random(3)
+    pieces = ["a", "b c", "\n", "\r\n", "\r", "\f", "\f\f", " ", "\t", "　x y", "字 1", "\n\n", "  z z"]
+    for k in range(12):
+        (tmp_path / f"d{k}.txt").write_bytes("".join(rng.choices(pieces, k=40)).encode())
+    (tmp_path / "blank.txt").write_bytes(b" \n \n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        found = rows(tb.document_heads(tb.read_lines(spark, str(tmp_path))))
+        wanted = rows(tb.line_heads(tb.read_documents(spark, str(tmp_path)).where("doc_id <> 'blank.txt'")))
+        assert found == wanted
+        rules = [tb.load_rules(spark.createDataFrame([("a", "", "F")], "Pattern string, Extract string, Fld string"))[0]]
+        assert rows(tb.unknown_heads(tb.document_heads(tb.read_lines(spark, str(tmp_path))), rules))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
