@@ -209,6 +209,14 @@ SELECT name || '.parquet' AS FILE, 'Sheet1' AS SHEET, n AS "Input", n AS "Output
 """
 
 
+def bind_files_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files bound into a written table, with the rows that were counted on the way."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]
+    bound = tb.bind_files(spark, paths, "parquet", target=new_folder(spark, "bound"))
+    written = bound.data.groupBy("FILE", "SHEET").agg(F.count(F.lit(1)).alias("written"))
+    return bound.report.join(written, ["FILE", "SHEET"])
+
+
 def convert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet to csv below the session's shared folder; the result is the manifest."""
     paths = [f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES]
@@ -310,6 +318,7 @@ QUERIES = {
     "bind_tables": bind_tables,
     "bind_report": bind_report,
     "bind_files": bind_files,
+    "bind_files_target": bind_files_target,
     "convert_files": convert_files,
 }
 
@@ -332,5 +341,6 @@ ORACLES = {
     "bind_tables": BIND_TABLES,
     "bind_report": BIND_REPORT,
     "bind_files": BIND_FILES,
+    "bind_files_target": f'SELECT *, "Input" AS written FROM ({BIND_FILES})',
     "convert_files": BIND_FILES,
 }

@@ -2,17 +2,25 @@
 
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NullType, StringType, TimestampNTZType, TimestampType
 
 from tablebind.functions.names import balanced, col
-from tablebind.sources.tables import FILE, SHEET, count_rows, list_sheets, read_merged
+from tablebind.sources.tables import (
+    FILE,
+    SHEET,
+    count_rows,
+    list_sheets,
+    merged_groups,
+    read_written,
+    write_table,
+)
 
 # What names lose, which names hold dates, the spreadsheet day zero, and the
 # texts that are dates.
@@ -27,10 +35,17 @@ WRITTEN_DAY = r"^\s*(\d{4})([-/])(\d{1,2})\2(\d{1,2})(?!\d)"
 PROBE_ROWS = 200
 PROBE_THREADS = 16
 
+# Sheets whose rows are counted while they are read and written.
+OBSERVED = 500
+
+
+def plain_name(name: str) -> str:
+    return re.sub(NAME_FILLERS, "", name).upper()
+
 
 def normalize_names(df: DataFrame) -> DataFrame:
     """Upper-case names without dots and spaces; names that then coincide are an error."""
-    names = [re.sub(NAME_FILLERS, "", c).upper() for c in df.columns]
+    names = list(map(plain_name, df.columns))
     repeated = [n for n, times in Counter(names).items() if times > 1]
     if repeated:
         raise ValueError(f"duplicated column names: {', '.join(repeated)}")
@@ -149,6 +164,19 @@ class BoundTables:
     report: DataFrame
 
 
+def _filled_in_any(tables: Sequence[DataFrame]) -> set[str]:
+    """The columns with a value in some table; the small jobs of the tables run side by side."""
+    with ThreadPoolExecutor(PROBE_THREADS) as pool:
+        return {FILE, SHEET}.union(*pool.map(filled_columns, tables))
+
+
+def _bound(tables: Sequence[DataFrame], filled: set[str] | None, date_names: str) -> DataFrame:
+    bound = union_tables([empty_to_null(normalize_names(t)) for t in tables])
+    if filled is not None:
+        bound = bound.select(*[col(c) for c in bound.columns if c in filled])
+    return stringify(coerce_dates(bound, date_names))
+
+
 def bind_tables(
     tables: Sequence[DataFrame],
     sheets: DataFrame | None = None,
@@ -160,14 +188,8 @@ def bind_tables(
     Names are normalised, empty texts become null, columns without any value are removed
     (``compress``), date columns are coerced. ``report`` reconciles the rows.
     """
-    cleaned = [empty_to_null(normalize_names(t)) for t in tables]
-    bound = union_tables(cleaned)
-    if compress:
-        # The tables are independent, so their small jobs run side by side.
-        with ThreadPoolExecutor(PROBE_THREADS) as pool:
-            filled = {FILE, SHEET}.union(*pool.map(filled_columns, cleaned))
-        bound = bound.select(*[c for c in bound.columns if c in filled])
-    data = stringify(coerce_dates(bound, date_names))
+    filled = _filled_in_any([empty_to_null(normalize_names(t)) for t in tables]) if compress else None
+    data = _bound(tables, filled, date_names)
     return BoundTables(data, bind_report(tables, data, sheets))
 
 
@@ -178,12 +200,49 @@ def bind_files(
     sheet: int | str | Sequence[int | str] | None = 1,
     compress: bool = True,
     date_names: str = DATE_NAMES,
+    target: str | None = None,
+    to_fmt: str = "parquet",
     **options: object,
 ) -> BoundTables:
-    """Read many files and bind them; see ``read_tables`` and ``bind_tables``."""
+    """Read many files and bind them; see ``read_tables`` and ``bind_tables``.
+
+    With a ``target`` the data is written there and ``data`` reads it. The rows of each sheet are
+    counted on their way, as they are read and as they are written, so the report needs no scan of
+    its own; of more than OBSERVED sheets it is counted afterwards.
+    """
     found = list_sheets(spark, paths, fmt, sheet, **options)
-    tables = read_merged(found)
-    return bind_tables(tables, found.as_table(), compress, date_names)
+    groups = merged_groups(found, plain_name)
+    tables = [table for table, _ in groups]
+    if target is None:
+        return bind_tables(tables, found.as_table(), compress, date_names)
+    filled = _filled_in_any([empty_to_null(normalize_names(t)) for t in tables]) if compress else None
+    sheets = sorted({e[1:] for e in found.entries})
+    if len(sheets) > OBSERVED:
+        data = _bound(tables, filled, date_names)
+        write_table(data, target, to_fmt)
+        written = read_written(spark, target, to_fmt, data.columns)
+        return BoundTables(written, bind_report(tables, written, found.as_table()))
+    place = {s: k for k, s in enumerate(sheets)}
+    read = [Observation() for _ in groups]
+    seen = [t.observe(o, *_counts(held, place)) for o, (t, held) in zip(read, groups)]
+    wrote = Observation()
+    data = _bound(seen, filled, date_names)
+    write_table(data.observe(wrote, *_counts(sheets, place)), target, to_fmt)
+    rows_in: Counter = Counter()
+    for observed in read:
+        rows_in.update({k: n or 0 for k, n in observed.get.items()})
+    rows_out = wrote.get
+    rows = [(*s, rows_in[f"s{k}"], rows_out.get(f"s{k}") or None) for s, k in place.items()]
+    report = spark.createDataFrame(rows, f"{FILE} string, {SHEET} string, Input long, Output long")
+    return BoundTables(read_written(spark, target, to_fmt, data.columns), report)
+
+
+def _counts(sheets: Iterable[tuple[str, str]], place: dict[tuple[str, str], int]) -> list[Column]:
+    """The rows of each sheet, named by its number."""
+    return [
+        F.count_if((F.col(FILE) == file) & (F.col(SHEET) == sheet)).alias(f"s{place[file, sheet]}")
+        for file, sheet in sheets
+    ]
 
 
 def table_dims(df: DataFrame | Sequence[DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ workbooks) have the same name, ``FILE`` is the path below the folder they all sh
 import posixpath
 import re
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
@@ -262,10 +262,7 @@ def sheet_groups(sheets: Sheets, same_schema: bool = False) -> list[tuple[DataFr
     with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
         for some, found in zip(alike, pool.map(lambda some: schema_of(some[0]), alike)):
             groups.setdefault(found.json(), (found, []))[1].extend(some)
-    at: dict[str, set[tuple[str, str]]] = {}
-    for path, name, sheet in sheets.entries:
-        at.setdefault(path, set()).add((name, sheet))
-    blocks = _in_blocks(sheets)
+    at, blocks = _held(sheets), _in_blocks(sheets)
     return [
         (
             _from_records(sheets, group, found) if blocks else _tagged(sheets, _load(sheets, group, found)),
@@ -275,36 +272,62 @@ def sheet_groups(sheets: Sheets, same_schema: bool = False) -> list[tuple[DataFr
     ]
 
 
-def read_merged(sheets: Sheets) -> list[DataFrame]:
-    """The sheets in as few DataFrames as their column types allow; columns a file lacks are null.
+def merged_groups(
+    sheets: Sheets, name: Callable[[str], str] = str.upper
+) -> list[tuple[DataFrame, set[tuple[str, str]]]]:
+    """The sheets in as few DataFrames as their columns allow; columns a file lacks are null.
 
     The schemas of parquet and orc files are put together by Spark, in one distributed job for all
-    files. Only where a column has several types the files are halved, and the parts that agree
-    are put together again. Other formats are read by ``read_sheets``.
+    files. Only where a column has several types, or two columns of different files would have the
+    same ``name``, the files are halved; the parts that agree are put together again. Other
+    formats are read as by ``sheet_groups``.
     """
     if sheets.fmt not in ("parquet", "orc") or sheets.options:
-        return read_sheets(sheets)
+        return sheet_groups(sheets)
     reader = replace(sheets, options={"mergeSchema": True})
 
     def merged(paths: list[str]) -> list[tuple[StructType, list[str]]]:
         try:
-            return [(_load(reader, paths).schema, paths)]
+            schema = _load(reader, paths).schema
+            if len(paths) == 1 or len({name(f) for f in schema.names}) == len(schema):
+                return [(schema, paths)]
         except (PySparkException, Py4JJavaError) as error:
             if len(paths) == 1 or "MERGE" not in str(error).upper():
                 raise
         half = len(paths) // 2
         return merged(paths[:half]) + merged(paths[half:])
 
+    def agrees(fields: dict[str, StructField], field: StructField) -> bool:
+        known = fields.get(name(field.name), field)
+        return (known.name, known.dataType) == (field.name, field.dataType)
+
     groups: list[tuple[dict[str, StructField], list[str]]] = []
     for schema, paths in merged(sorted({e[0] for e in sheets.entries})):
-        for fields, held in groups:
-            if all(fields.get(f.name, f).dataType == f.dataType for f in schema.fields):
+        fields = {name(f.name): f for f in schema.fields}
+        whole = len(fields) == len(schema)
+        for known, held in groups if whole else []:
+            if all(agrees(known, f) for f in schema.fields):
                 held.extend(paths)
-                fields.update({f.name: f for f in schema.fields if f.name not in fields})
+                known.update({k: f for k, f in fields.items() if k not in known})
                 break
         else:
-            groups.append(({f.name: f for f in schema.fields}, list(paths)))
-    return [_tagged(sheets, _load(sheets, held, StructType(list(fields.values())))) for fields, held in groups]
+            groups.append((fields if whole else {f.name: f for f in schema.fields}, list(paths)))
+    at = _held(sheets)
+    return [
+        (
+            _tagged(sheets, _load(sheets, held, StructType(list(fields.values())))),
+            set().union(*[at[path] for path in held]),
+        )
+        for fields, held in groups
+    ]
+
+
+def _held(sheets: Sheets) -> dict[str, set[tuple[str, str]]]:
+    """The (file, sheet) at each path."""
+    at: dict[str, set[tuple[str, str]]] = {}
+    for path, file, sheet in sheets.entries:
+        at.setdefault(path, set()).add((file, sheet))
+    return at
 
 
 def _in_blocks(sheets: Sheets) -> bool:
@@ -475,6 +498,12 @@ def write_table(
     writer.options(**options).save(path)
 
 
+def read_written(spark: SparkSession, path: str, fmt: str, columns: Sequence[str]) -> DataFrame:
+    """A table of texts that ``write_table`` has written."""
+    reader = spark.read.schema(StructType([StructField(c, StringType()) for c in columns])).format(fmt)
+    return (reader.options(**CSV_OPTIONS) if fmt == "csv" else reader).load(path)
+
+
 def write_heads(heads: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write unmatched headings in order, as csv."""
     write_table(heads.orderBy(*heads.columns), path, "csv", mode)

@@ -13,7 +13,8 @@ from tablebind.functions.regex import contains, literal_runs, opening_text
 from tablebind.operators import texts
 from tablebind.sources import convert
 from tablebind.sources.records import csv_records
-from tablebind.sources.tables import list_sheets, read_merged
+from tablebind.operators import bind_tables
+from tablebind.sources.tables import list_sheets, merged_groups
 
 
 def rows(df):
@@ -157,7 +158,7 @@ def test_schemas_are_merged_in_few_jobs(spark, tmp_path, fmt):
     found = list_sheets(spark, str(src), fmt)
     tracker, group = spark.sparkContext.statusTracker(), f"merge-{fmt}"
     spark.sparkContext.setJobGroup(group, "schemas")
-    tables = read_merged(found)
+    tables = [t for t, _ in merged_groups(found)]
     jobs = len(tracker.getJobIdsForGroup(group))
     spark.sparkContext.setJobGroup("", "")
     assert 0 < jobs < 24
@@ -169,6 +170,28 @@ def test_schemas_are_merged_in_few_jobs(spark, tmp_path, fmt):
     assert {r[2:] for r in rows(report)} == {(2, 2)}
 
 
+def test_names_that_agree_after_cleaning_stay_apart(spark, tmp_path):
+    for k, name in enumerate(["a b", "AB", "a.b", "ab"]):
+        spark.range(k + 1).select(F.col("id").alias(name)).write.parquet(str(tmp_path / f"f{k}.parquet"))
+    bound = tb.bind_files(spark, str(tmp_path), "parquet")
+    assert bound.data.columns == ["FILE", "SHEET", "AB"]
+    assert bound.data.where("AB IS NOT NULL").count() == 10
+    assert [r[2:] for r in rows(bound.report)] == [(k, k) for k in (1, 2, 3, 4)]
+
+
+@pytest.mark.parametrize("observed", [500, 1])
+@pytest.mark.parametrize("to_fmt", ["parquet", "csv"])
+def test_files_are_bound_and_counted_in_one_pass(spark, tmp_path, monkeypatch, observed, to_fmt):
+    monkeypatch.setattr(bind_tables, "OBSERVED", observed)
+    src = sources(tmp_path)
+    (tmp_path / "in" / "gaps.csv").write_text('A,B\n"",1\nx\n')
+    plain = tb.bind_files(spark, src, "csv")
+    bound = tb.bind_files(spark, src, "csv", target=str(tmp_path / "out"), to_fmt=to_fmt)
+    assert bound.data.columns == plain.data.columns
+    assert rows(bound.data) == rows(plain.data)
+    assert rows(bound.report) == rows(plain.report)
+
+
 # ---- rules
 
 
