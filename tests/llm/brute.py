@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import heapq
 import math
 import re
 import zlib
@@ -174,3 +175,121 @@ def lm(docs, weight=8.0):
             (key, out, len(s), known, n, sum(map(math.log10, alone)), sum(map(math.log10, given)))
         )
     return rows
+
+
+# ---- shingle sets
+
+
+def jaccard(rows, size=5, percent=80):
+    """doc_id, shingles, least id reachable; a pair of sets is compared if it shares a shingle."""
+    sets = []
+    for _, text in rows:
+        words = SOLID.findall(low(text))
+        shingles = [tuple(words[k : k + size]) for k in range(max(len(words) - size + 1, 1))]
+        sets.append(frozenset(shingles) if words else frozenset())
+    distinct = [s for s in dict.fromkeys(sets) if s]
+    parent = {s: s for s in distinct}
+
+    def root(s):
+        while parent[s] is not s:
+            s = parent[s]
+        return s
+
+    holders = {}
+    for n, s in enumerate(distinct):
+        for x in s:
+            holders.setdefault(x, []).append(n)
+    for n, s in enumerate(distinct):
+        shared = Counter(m for x in s for m in holders[x] if m > n)
+        for m, both in shared.items():
+            if 100 * both >= percent * (len(s) + len(distinct[m]) - both):
+                a, b = root(s), root(distinct[m])
+                if a is not b:
+                    parent[a] = b
+    least = {}
+    for (doc_id, _), s in zip(rows, sets):
+        if s and doc_id is not None:
+            least[root(s)] = min(least.get(root(s), doc_id), doc_id)
+    return [(d, len(s), least.get(root(s)) if s else d) for (d, _), s in zip(rows, sets)]
+
+
+# ---- hard negatives
+
+
+def negatives(rows):
+    """rows: (id, label, vector), labels as they are to be used."""
+    good = {}
+    for i, label, v in rows:
+        if i is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        row = (label, [math.floor(256 * x) for x in v])
+        good[i] = min(good.get(i, row), row)
+    out = []
+    for a, (label, v) in good.items():
+        if a % 100:
+            continue
+        ranked = sorted((-sum(x * y for x, y in zip(v, w)), i) for i, (_, w) in good.items() if i != a)
+        for s, p in [(-s, i) for s, i in ranked if good[i][0] == label][:5]:
+            others = [(i, -n) for n, i in ranked if good[i][0] != label and 80 * s <= -100 * n <= 100 * s]
+            out += [(a, p, k, i, s, n) for k, (i, n) in enumerate(others[:5], 1)]
+    return out
+
+
+# ---- conversations
+
+
+def damaged(rows):
+    """The rows of each conversation, in order, after the faults of the test."""
+    found = {}
+    for conv, turn, role, text in rows:
+        held = found.setdefault(conv, [])
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        if kind:
+            held += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    for held in found.values():
+        held.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    return found
+
+
+def repair(rows):
+    """Cheapest repair of ordered (turn, role, text) by a search forward over rows and last roles."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else ""
+        faults.append(fault or ("" if bare[-1] in ".!?" else "truncated"))
+        seen.add((role, text))
+    full = {"u": "user", "a": "assistant"}
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, at, last, lines = heapq.heappop(heap)
+        if (at, last) in done:
+            continue
+        done.add((at, last))
+        if at == len(rows) and last in ("", "a"):
+            break
+        new = "a" if last == "u" else "u"
+        heapq.heappush(heap, (cost + 5, audit + "I", at, new, (*lines, full[new] + ":")))
+        if at == len(rows):
+            continue
+        _, role, text = rows[at]
+        heapq.heappush(heap, (cost + 2, audit + "D", at + 1, last, lines))
+        if faults[at] in ("blank", "duplicate"):
+            continue
+        more = 5 if faults[at] else 0
+        heapq.heappush(heap, (cost + 1 + more, audit + "R", at + 1, new, (*lines, f"{full[new]}:{text}")))
+        if role[:1] == new or (role[:1] == "s" and not last):
+            heapq.heappush(heap, (cost + more, audit + "K", at + 1, role[:1], (*lines, f"{role}:{text}")))
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    pairs = [a[1][:1] + b[1][:1] for a, b in zip(rows, rows[1:])]
+    counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+    digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return gaps, *counts, sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, digest
+
+
+def conversations(rows):
+    return [(conv, *repair(held)) for conv, held in damaged(rows).items()]
