@@ -42,6 +42,10 @@ SKETCH = 8
 M1, M2, M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
 
 
+#: Odd factors for the words of a shingle by their place.
+PLACES = [np.uint64((0x9E3779B97F4A7C15 * (2 * k + 3) | 1) % (1 << 64)) for k in range(8)]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit numbers made to look random, one to one."""
     x = (x ^ (x >> np.uint64(30))) * M1
@@ -51,19 +55,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
     """The distinct shingles of a text as sorted 64-bit hashes; the whole text if it is shorter."""
-    from xxhash import xxh64_intdigest
+    from xxhash import xxh64_digest
 
     words = lower_words(text)
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+    hashes = np.frombuffer(b"".join(map(xxh64_digest, words)), np.uint64)
     n = max(len(words) - size + 1, 1)
     length = min(size, len(words))
     # The number of words counts, so that a short text never equals a shingle.
     out = np.full(n, length, np.uint64)
     for k in range(length):
-        out = mixed(out * M3 + hashes[k : k + n])
-    return np.unique(out)
+        out += hashes[k : k + n] * PLACES[k % len(PLACES)]
+        if k % len(PLACES) == len(PLACES) - 1:
+            out = mixed(out)
+    out = mixed(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 class Classes:
@@ -110,11 +118,10 @@ def all_signatures(shingles: np.ndarray, classes: Classes):
         parts = classes.parts(c)
         dealt = mixed(shingles ^ mixed(np.full(1, c, np.uint64)))
         cell = ((dealt >> np.uint64(32)) * np.uint64(parts * CELLS) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(dealt + M3)[order])])
-        ends = np.searchsorted(cell[order], np.arange(parts * CELLS + 1))
-        counts = np.diff(ends).reshape(parts, CELLS)
-        sums = np.diff(sums[ends]).reshape(parts, CELLS)
+        counts = np.bincount(cell, minlength=parts * CELLS).reshape(parts, CELLS)
+        sums = np.zeros(parts * CELLS, np.uint64)
+        np.add.at(sums, cell, mixed(dealt + M3))
+        sums = sums.reshape(parts, CELLS)
         place = np.arange(parts * len(SUBSETS), dtype=np.uint64).reshape(parts, len(SUBSETS))
         behind = counts[:, SUBSETS].sum(axis=2).ravel()
         marks = mixed(sums[:, SUBSETS].sum(axis=2, dtype=np.uint64) ^ mixed(place * M3 + np.uint64(c))).ravel()
@@ -125,9 +132,12 @@ def signatures(shingles: np.ndarray, classes: Classes, levels: np.ndarray) -> np
     """The signatures a set is found by; ``levels`` tells how crowded a bucket is."""
     found = []
     for c, marks, behind in all_signatures(shingles, classes):
-        level = levels[marks & np.uint64(BUCKETS - 1)]
+        level = levels[marks & np.uint64(BUCKETS - 1)].astype(np.uint64)
+        # One number to order by: crowded first, then few shingles, then by hash.
+        order = (np.uint64(63) - level) << np.uint64(58) | np.minimum(behind, 1023).astype(np.uint64) << np.uint64(48)
+        order |= marks >> np.uint64(16)
         left_out = classes.shared(len(shingles), c) - 1
-        found.append(marks[np.lexsort((marks, behind, -level))[left_out:]])
+        found.append(marks[np.argpartition(order, left_out)[left_out:]])
     return np.concatenate(found)
 
 
@@ -148,11 +158,11 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def described(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """Each row's id, row_hash (of the text), n and key of its set; and from every task a row with the
-    counts of its signatures by bucket."""
+    """Each row's id, row_hash (of the text), n, key and sketch of its set; and from every task a row
+    with the number of its signatures (n), and the buckets that hold many of them."""
     classes = Classes(percent)
-    names = ["id", "row_hash", "n", "key", "sketch", "counts"]
-    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
+    names = ["id", "row_hash", "n", "key", "sketch", "buckets", "counts"]
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 3
 
     def run(batches):
         counts = np.zeros(BUCKETS, np.int64)
@@ -168,25 +178,32 @@ def described(docs: DataFrame, id_col: str, text_col: str, size: int, percent: i
                 pa.array([len(x) for x in sets], pa.int64()),
                 pa.array([_set_key(x) for x in sets], pa.int64()),
                 pa.array([sketch(x) for x in sets], kinds[4]),
-                pa.nulls(len(sets), kinds[5]),
+                *[pa.nulls(len(sets), k) for k in kinds[5:]],
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
-        nothing = [pa.nulls(1, k) for k in kinds[:5]]
-        yield pa.RecordBatch.from_arrays([*nothing, pa.array([counts], kinds[5])], names)
+        many = np.flatnonzero(counts > CROWDED / 2 * counts.mean() + 4)
+        values = [[None], [None], [int(counts.sum())], [None], [None], [many], [counts[many]]]
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
 
     source = _source(docs, id_col, text_col)
-    return map_batches(source, run, "id long, row_hash long, n long, key long, sketch array<long>, counts array<long>")
+    schema = "id long, row_hash long, n long, key long, sketch array<long>, buckets array<long>, counts array<long>"
+    return map_batches(source, run, schema)
 
 
 def _levels(rows: DataFrame) -> np.ndarray:
-    """How crowded each bucket of signatures is: the logarithm of its count by the mean."""
-    counts = rows.where("counts IS NOT NULL").select(F.posexplode("counts").alias("bucket", "count"))
-    counts = counts.groupBy("bucket").agg(F.sum("count").alias("count"))
-    mean = counts.agg(F.avg("count")).first()[0] or 0
+    """How crowded each bucket of signatures is: the logarithm of its count by the mean.
+
+    Summed up over the tasks in which it is crowded. This steers the order of signatures only, which
+    any numbers keep right.
+    """
+    told = rows.where("key IS NULL")
+    mean = (told.agg(F.sum("n")).first()[0] or 0) / BUCKETS
+    counts = told.select(F.explode(F.arrays_zip("buckets", "counts")).alias("x"))
+    counts = counts.groupBy("x.buckets").agg(F.sum("x.counts").alias("count"))
     levels = np.zeros(BUCKETS, np.int8)
     # At most BUCKETS / CROWDED of them.
     for r in counts.where(F.col("count") > CROWDED * mean + 100).collect():
-        levels[r["bucket"]] = int(np.log2(r["count"] / mean))
+        levels[r["buckets"]] = int(np.log2(r["count"] / mean))
     return levels
 
 
@@ -351,7 +368,7 @@ def similar_documents(
     if not 50 <= percent <= 100:
         raise ValueError("percent must be 50 to 100")
     whole = stored(described(docs, id_col, text_col, size, percent))
-    rows = whole.where("counts IS NULL").drop("counts")
+    rows = whole.where("key IS NOT NULL").drop("buckets", "counts")
     # Equal sets: one text stands for all.
     first = stored(
         rows.where("n > 0")
