@@ -1,5 +1,6 @@
 """Secrets in texts: a trigram index picks the texts that each rule is tried on."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,8 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 MASK = "[SECRET]"
+#: Numbers that are summed up in one go where an array is long.
+STEP = 64
 
 
 def trigram_postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
@@ -79,25 +82,71 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     )
 
 
-def _spans(text: Column, rule: Rule) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, zero: int, add: Callable[[Column, Column], Column], level: int = 2) -> Column:
+    """For each whole number of an array, what ``add`` makes of all before it.
+
+    Runs of STEP numbers are put together, and runs of runs, so that a number costs a few steps
+    however long the array is.
+    """
+
+    def of(a: Column, at: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(a, at + 1, n), F.lit(zero), add)
+
+    if level == 0:
+        return _let(values, lambda a: F.transform(a, lambda _, i: of(a, F.lit(0), i)))
+
+    def placed(a: Column, before: Column) -> Column:
+        def one(_, i: Column) -> Column:
+            run = F.floor(i / STEP).cast("int")
+            return add(before[run], of(a, run * STEP, i % STEP))
+
+        return F.transform(a, one)
+
+    def runs(a: Column) -> Column:
+        last = F.floor(F.greatest(F.size(a) - 1, F.lit(0)) / STEP).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: of(a, k * STEP, F.lit(STEP)))
+
+    return _let(values, lambda a: _let(running(runs(a), zero, add, level - 1), lambda before: placed(a, before)))
+
+
+def _spans(text: Column, rule: Rule, size: Callable[[Column], Column]) -> Column:
     """Places of a rule's matches: what lies between matches, and the matches, add up."""
     between = F.split(text, rule.pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    found = F.arrays_zip(between.alias("b"), whole.alias("w"), value.alias("v"))
-    span = "array<struct<start:int,end:int,kind:string>>"
-
-    def add(a, x):
-        start = a["at"] + F.length(x["b"])
-        end = start + F.coalesce(F.length(x["w"]), F.lit(0))
-        own = F.struct(start.alias("start"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        kept = F.coalesce(F.length(x["v"]) >= rule.least, F.lit(False))
-        return F.struct(
-            end.alias("at"), F.when(kept, F.concat(a["out"], F.array(own))).otherwise(a["out"]).alias("out")
+    found = F.transform(
+        F.arrays_zip(between.alias("b"), whole.alias("w"), value.alias("v")),
+        lambda x: F.struct(
+            size(x["b"]).alias("gap"),
+            F.coalesce(size(x["w"]), F.lit(0)).alias("own"),
+            F.coalesce(F.length(x["v"]) >= rule.least, F.lit(False)).alias("kept"),
+        ),
+    )
+
+    def spans(found: Column) -> Column:
+        steps = F.transform(found, lambda x: x["gap"] + x["own"])
+        return _let(running(steps, 0, lambda a, b: a + b), lambda at: listed(found, at))
+
+    def listed(found: Column, at: Column) -> Column:
+        every = F.transform(
+            found,
+            lambda x, i: F.struct(
+                (at[i] + x["gap"]).alias("start"),
+                (at[i] + x["gap"] + x["own"]).alias("end"),
+                F.lit(rule.kind).alias("kind"),
+                x["kept"].alias("kept"),
+            ),
+        )
+        return F.transform(
+            F.filter(every, lambda x: x["kept"]), lambda x: F.struct(x["start"], x["end"], x["kind"])
         )
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(span).alias("out"))
-    return F.aggregate(found, zero, add, lambda a: a["out"])
+    return _let(found, spans)
 
 
 def _ranked(spans: Column, rank: int) -> Column:
@@ -113,9 +162,11 @@ def _count(spans: Column, rank: int) -> Column:
     return F.size(F.filter(spans, lambda x: x["rank"] == rank)).cast("long")
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` (``_id``, ``_text``, others) with ``_spans``: structs of start, end (code points, end
-    exclusive) and kind, by start and then in the order of ``rules``."""
+def find_secrets(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, size: Callable[[Column], Column] = F.length
+) -> DataFrame:
+    """``docs`` (``_id``, ``_text``, others) with ``_spans``: structs of start, end (code points, or as
+    ``size`` measures; end exclusive) and kind, by start and then in the order of ``rules``."""
     none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
     keyed = docs.withColumn("_hash", F.xxhash64("_text"))
     indexed = tuple(r for r in rules if trigram_query(r.pattern))
@@ -131,7 +182,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         elif rule.group == 0 and rule.pattern.endswith("]+"):
             # A run of one class: no shorter run can do, so look for a long one first.
             tried = F.col("_text").rlike(f"{rule.pattern[:-1]}{{{rule.least},}}")
-        spans = F.when(F.coalesce(tried, F.lit(False)), _spans(F.col("_text"), rule)).otherwise(none)
+        spans = F.when(F.coalesce(tried, F.lit(False)), _spans(F.col("_text"), rule, size)).otherwise(none)
         lists.append(_ranked(spans, k))
     return found.withColumn("_spans", F.array_sort(F.concat(*lists))).drop("_kinds", "_hash")
 
@@ -185,27 +236,26 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         col(id_col).cast("long").alias("_id"),
         F.coalesce(col(text_col).cast("string"), F.lit("")).alias("_text"),
     )
-    found = find_secrets(source)
-
-    def cover(a, x):
-        new = x["start"] > a["upto"]
-        between = F.substring(F.col("_text"), a["upto"] + 1, x["start"] - a["upto"])
-        out = F.when(new, F.concat(a["out"], F.array(between))).otherwise(a["out"])
-        return F.struct(F.greatest(a["upto"], x["end"]).alias("upto"), out.alias("out"))
-
-    first = F.struct(
-        F.col("_spans")[0]["end"].alias("upto"),
-        F.array(F.substring(F.col("_text"), F.lit(1), F.col("_spans")[0]["start"])).alias("out"),
-    )
-    rest = F.slice("_spans", 2, F.greatest(F.size("_spans") - 1, F.lit(0)))
-    clean = F.aggregate(
-        rest,
-        first,
-        cover,
-        lambda a: F.array_join(
-            F.concat(a["out"], F.array(F.substring(F.col("_text"), a["upto"] + 1, F.length("_text")))),
-            MASK,
-        ),
+    # Places in bytes, which are found in a long text without counting its characters.
+    found = find_secrets(source, size=F.octet_length)
+
+    def parts(data: Column, covered: Column) -> Column:
+        """The text between spans; ``covered`` is where those before each have ended."""
+        every = F.transform(
+            "_spans",
+            lambda x, i: F.when(
+                (x["start"] > covered[i]) | (i == 0),
+                F.substring(data, covered[i] + 1, x["start"] - covered[i]).cast("string"),
+            ),
+        )
+        upto = F.array_max(F.transform("_spans", lambda x: x["end"]))
+        rest = F.substring(data, upto + 1, F.octet_length("_text") - upto).cast("string")
+        return F.array_join(F.concat(F.array_compact(every), F.array(rest)), MASK)
+
+    ends = F.transform("_spans", lambda x: x["end"])
+    clean = _let(
+        F.col("_text").cast("binary"),
+        lambda data: _let(running(ends, 0, lambda a, b: F.greatest(a, b)), lambda upto: parts(data, upto)),
     )
     text = F.when(F.size("_spans") > 0, clean).otherwise(F.col("_row")[text_col])
     return found.select(
