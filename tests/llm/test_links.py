@@ -1,5 +1,6 @@
-"""Shingle-set links, hard negatives and conversation repair against their plain versions."""
+"""Shingle-set links, hard negatives, conversation repair and archives against their plain versions."""
 
+import gzip
 import random
 
 import brute
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablebind.llm import jaccard, negatives, queries
+from tablebind.llm import jaccard, negatives, queries, warc
 from tablebind.llm.conversations import LAST, repair_conversations, solved
 from tablebind.llm.jaccard import Classes, signatures, similar_documents
 from tablebind.llm.negatives import hard_negatives
@@ -234,3 +235,99 @@ def test_conversations_query(spark, sf_dir):
     wanted = brute.conversations([tuple(r) for r in data])
     assert sum(w[-3] > 0 for w in wanted) > 5
     same(rows(queries.conversations(spark, sf_dir), "*"), wanted)
+
+
+# ---- archives as others write them
+
+DESCRIBED = {
+    1: b"1 0 Some Crawler\nURL IP-address Archive-date Content-type Archive-length\n",
+    2: b"2 0 Some Crawler\nURL IP-address Archive-date Content-type Result-code Checksum Location Offset "
+    b"Filename Archive-length\n",
+}
+
+
+def arc_line(version, url, date, mime, body):
+    if version == 1:
+        return b"%s 10.0.0.1 %s %s %d\n" % (url, date, mime, len(body)) + body + b"\n"
+    return b"%s 10.0.0.1 %s %s 200 abc - 17 x.arc %d\n" % (url, date, mime, len(body)) + body + b"\n"
+
+
+def arc_file(version, records):
+    opening = arc_line(version, b"filedesc://x.arc", b"19990101000000", b"text/plain", DESCRIBED[version])
+    return opening + b"".join(arc_line(version, *r) for r in records)
+
+
+PAGES = [
+    (b"http://a.org/ x y", b"19990102030405", b"text/html", b"HTTP/1.0 200 OK\r\nA: b\r\n\r\n<p>\nhi"),
+    (b"http://b.org/", b"19990102", b"text/html", b"no head\r\n\r\nhere"),
+    (b"dns:c.org", b"19990102030406", b"text/dns", b""),
+]
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_archives_of_both_versions(spark, tmp_path, version):
+    source = arc_file(version, PAGES)
+    folder = tmp_path / "arc"
+    folder.mkdir()
+    (folder / "plain.arc").write_bytes(source.replace(b" 200 abc", b" 404 abc"))
+    members = [source[:100], source[100:]]
+    (folder / "zipped.arc.gz").write_bytes(b"".join(map(gzip.compress, members)))
+    found = warc.read_arc(spark, str(folder), payloads=True).collect()
+    assert len(found) == 6
+    for name in ("plain.arc", "zipped.arc.gz"):
+        mine = sorted((r for r in found if r.file.endswith(name)), key=lambda r: r.n)
+        assert [r.url.encode() for r in mine] == [p[0] for p in PAGES]
+        assert [r.date.encode() for r in mine] == [p[1] for p in PAGES]
+        assert [bytes(r.payload) for r in mine] == [b"<p>\nhi", b"no head\r\n\r\nhere", b""]
+        assert [r.size for r in mine] == [6, 15, 0]
+    assert warc.damaged_records(spark, str(folder)).isEmpty()
+    warc.convert_arc(spark, str(folder), str(tmp_path / "warc"))
+    read = warc.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert sorted(r.type for r in read) == ["resource"] * 2 + ["response"] + ["revisit"] * 3
+
+
+def test_damaged_archives(spark, tmp_path):
+    good = arc_file(2, PAGES)
+    last = good.rindex(b"dns:c.org")
+    files = {
+        "cut.arc": good + arc_line(2, b"http://d.org/", b"2000", b"text/html", b"x" * 500)[:100],
+        "length.arc": good.replace(b"x.arc 15\n", b"x.arc 5\n"),
+        "long.arc": good.replace(b"x.arc 15\n", b"x.arc 99999\n"),
+        "noise.arc": good[:last] + b"\x00\xff noise\nand more 12\n" + good[last:],
+        "empty.arc": b"",
+        "member.arc.gz": gzip.compress(good) + gzip.compress(good)[:40],
+        "text.arc": b"nothing of this is an archive",
+    }
+    folder = tmp_path / "arc"
+    folder.mkdir()
+    for name, data in files.items():
+        (folder / name).write_bytes(data)
+    found = {}
+    for r in warc.read_arc(spark, str(folder), payloads=False).collect():
+        found.setdefault(r.file.rpartition("/")[2], []).append(r.url)
+    a, b, c = (p[0].decode() for p in PAGES)
+    assert found.pop("cut.arc") == [a, b, c] == found.pop("noise.arc")
+    assert found.pop("length.arc") == [a, c] == found.pop("long.arc")
+    assert found.pop("member.arc.gz")[:3] == [a, b, c]
+    assert not found
+    damaged = {r.file.rpartition("/")[2]: (r.offset, r.reason) for r in warc.damaged_records(spark, str(folder)).collect()}
+    assert damaged["cut.arc"] == (len(good), "a record of 500 bytes is cut off")
+    assert damaged["noise.arc"] == (last, "no header line")
+    assert damaged["length.arc"][1] == "no line end after 5 bytes"
+    assert damaged["text.arc"] == (0, "no header line")
+    assert "empty.arc" not in damaged
+    warc.convert_arc(spark, str(folder), str(tmp_path / "warc"))
+    assert warc.read_warc(spark, str(tmp_path / "warc")).count() >= 13
+
+
+def test_archive_of_long_pages(spark, tmp_path, monkeypatch):
+    """Pages of 30 MB are cut into files of two records, and read as a stream."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 40 << 20)
+    data = [(k, f"http://x/{k}", f"<p>{k}</p>" + "abc 123 " * (4 << 20 if k < 3 else 10)) for k in range(6)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").coalesce(2)
+    found = warc.archived(pages, folder=str(tmp_path / "out"))
+    same(
+        rows(found, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"),
+        brute.warc([(k, html) for k, _, html in data]),
+    )
+    assert len(list((tmp_path / "out" / "arc").glob("part-*"))) > 3
