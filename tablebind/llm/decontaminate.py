@@ -5,13 +5,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebind.functions.names import col
-from tablebind.llm.common import BATCH_ROWS, WORD, alphanumeric_words, id_text, map_batches, texts
+from tablebind.functions.names import balanced, col
+from tablebind.llm.common import BATCH_ROWS, WORD, alphanumeric_words, map_batches, texts
+from tablebind.plans.checkpoints import stored
+from tablebind.plans.joins import lookup
 
 #: Every so many text positions, the index keeps a suffix position.
 SAMPLE = 16
-#: Bytes of benchmark text searched in one pass over the documents.
-BLOCK_BYTES = 16 * 1024 * 1024
+#: Bytes of benchmark text searched in one pass over the documents: some 25 bytes of windows each.
+BLOCK_BYTES = 8 * 1024 * 1024
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -83,7 +85,7 @@ class FMIndex:
             live = np.flatnonzero((step < lengths) & (low < high))
             if not len(live):
                 break
-            symbol = patterns[live, lengths[live] - 1 - step] + 1
+            symbol = patterns[live, lengths[live] - 1 - step].astype(np.int64) + 1
             known = symbol < len(self.first) - 1
             high[live[~known]] = low[live[~known]]
             live, symbol = live[known], symbol[known]
@@ -108,22 +110,36 @@ class FMIndex:
 
 
 class Windows:
-    """The distinct windows of benchmark items, as numbers of words, and whose they are."""
+    """The distinct windows of benchmark items, as rows of word numbers that end in zeros, and whose
+    they are (the numbers of items from one place of ``at`` to the next)."""
 
     def __init__(self, items: list[tuple[str, bytes]], size: int):
         self.words: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
+        self.items = sorted({item for item, _ in items})
+        number = {item: k for k, item in enumerate(self.items)}
+        texts = []
         for item, text in items:
             words = alphanumeric_words(text)
-            ids = tuple(self.words.setdefault(w, len(self.words) + 1) for w in words)
-            for k in range(max(1, len(ids) - size + 1) if ids else 0):
-                owners.setdefault(ids[k : k + size], set()).add(item)
-        self.lengths = np.array([len(w) for w in owners], np.int64)
-        self.shortest = int(self.lengths.min()) if len(owners) else 0
-        self.patterns = np.zeros((len(owners), int(self.lengths.max(initial=0))), np.int64)
-        for k, window in enumerate(owners):
-            self.patterns[k, : len(window)] = window
-        self.owners = [sorted(x) for x in owners.values()]
+            ids = [self.words.setdefault(w, len(self.words) + 1) for w in words]
+            if ids:
+                texts.append((number[item], np.array(ids + [0] * (size - len(ids)), np.int32)))
+        counts = [len(ids) - size + 1 for _, ids in texts]
+        rows = np.zeros((sum(counts), size), np.int32)
+        ends = np.cumsum(counts, dtype=np.int64)
+        for (_, ids), n, end in zip(texts, counts, ends, strict=True):
+            rows[end - n : end] = np.lib.stride_tricks.sliding_window_view(ids, size)
+        owner = np.repeat(np.array([k for k, _ in texts], np.int64), counts)
+        distinct, which = np.unique(rows.view(f"V{4 * size}").ravel(), return_inverse=True)
+        self.patterns = distinct.view(np.int32).reshape(-1, size)
+        self.lengths = (self.patterns > 0).sum(axis=1)
+        self.shortest = int(self.lengths.min(initial=size))
+        pairs = np.unique(which * (len(self.items) + 1) + owner)
+        self.owners = (pairs % (len(self.items) + 1)).astype(np.int32)
+        self.at = np.searchsorted(pairs // (len(self.items) + 1), np.arange(len(self.patterns) + 1))
+
+    def items_of(self, windows: np.ndarray) -> set[str]:
+        held = [self.owners[self.at[w] : self.at[w + 1]] for w in windows.tolist()]
+        return {self.items[k] for k in np.unique(np.concatenate(held)).tolist()}
 
 
 def shard_hits(docs: list[list[bytes]], windows: Windows):
@@ -134,7 +150,7 @@ def shard_hits(docs: list[list[bytes]], windows: Windows):
     """
     offsets = np.concatenate([[0], np.cumsum([len(d) + 1 for d in docs])]).astype(np.int64)
     hit = np.zeros(int(offsets[-1]) + 1, np.int64)
-    if not windows.owners:
+    if not len(windows.patterns):
         return hit[:-1] > 0, offsets, {}
     number = windows.words.get
     ids = np.fromiter(
@@ -154,6 +170,8 @@ def shard_hits(docs: list[list[bytes]], windows: Windows):
     index = FMIndex(text)
     low, high = index.search(windows.patterns, windows.lengths)
     which = np.flatnonzero(high > low)
+    if not len(which):
+        return hit[:-1] > 0, offsets, {}
     times = (high - low)[which]
     window = np.repeat(which, times)
     first = np.concatenate([[0], np.cumsum(times)])[:-1]
@@ -162,10 +180,10 @@ def shard_hits(docs: list[list[bytes]], windows: Windows):
     np.add.at(hit, at, 1)
     np.add.at(hit, at + windows.lengths[window], -1)
     doc = np.searchsorted(offsets, at, "right") - 1
-    found: dict[int, set[str]] = {}
-    for pair in np.unique(doc * len(windows.owners) + window).tolist():
-        d, w = divmod(pair, len(windows.owners))
-        found.setdefault(d, set()).update(windows.owners[w])
+    pairs = np.unique(doc * len(windows.patterns) + window)
+    docs_hit, first = np.unique(pairs // len(windows.patterns), return_index=True)
+    each = np.split(pairs % len(windows.patterns), first[1:])
+    found = {d: windows.items_of(w) for d, w in zip(docs_hit.tolist(), each, strict=True)}
     return np.cumsum(hit[:-1]) > 0, offsets, found
 
 
@@ -203,63 +221,115 @@ def find_passages(
     flat arrays of starts and ends (end exclusive). ``keep`` names columns to pass through.
 
     Each batch of documents is a shard with an FM-index of its own, searched for every window.
-    The benchmark comes in blocks of bounded size, one broadcast and one pass over the text each;
-    later passes merge into the spans of earlier ones. Null texts have no words; null items are
-    the empty text; repeated rows each give a row; an empty benchmark gives no hits.
+    The benchmark comes in blocks of bounded size. One block is searched in one pass over the
+    texts, without a shuffle. Of more blocks, each is searched in a pass of its own that writes the
+    hits, so one block at a time is in memory; the hits are merged and joined to the texts.
+    Null texts have no words; null items are the empty text; repeated rows each give a row; an
+    empty benchmark gives no hits.
     """
-    out = id_text(docs, id_col, text_col)
-    if keep:
-        out = docs.select(
-            col(id_col).cast("long").alias("id"),
-            col(text_col).cast("string").alias("text"),
-            F.struct(*[col(c) for c in keep]).alias("kept"),
-        )
     spark = docs.sparkSession
-    out = out.withColumns(
-        {
-            "n_words": F.lit(0).cast("long"),
-            "items": F.array().cast("array<string>"),
-            "hits": F.array().cast("array<long>"),
-            "spans": F.array().cast("array<long>"),
-        }
+    out = docs.select(
+        col(id_col).cast("long").alias("id"),
+        col(text_col).cast("string").alias("text"),
+        *([F.struct(*[col(c) for c in keep]).alias("kept")] if keep else []),
     )
-    schema = out.schema.simpleString()[len("struct<") : -1]
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
+    kept = [f.simpleString().replace(":", " ", 1) for f in out.schema.fields[2:]]
+    result = ", ".join(["id long", "text string", *kept, RESULT])
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    items, more = next(blocks), next(blocks, None)
+    if more is None:
+        shared = spark.sparkContext.broadcast(Windows(items, window))
+        return map_batches(out, lambda batches: _searched(batches, shared.value), result).withColumnRenamed(
+            "id", "doc_id"
+        )
+    out = out.withColumn("row_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = []
+    while items is not None:
         shared = spark.sparkContext.broadcast(Windows(items, window))
-        out = map_batches(out, lambda batches, shared=shared: _search(batches, shared.value), schema)
-    return out.withColumnRenamed("id", "doc_id")
+        hits = map_batches(
+            out.select("id", "text", "row_hash"), lambda batches, w=shared: _hits_only(batches, w.value), HITS
+        )
+        # Equal rows have equal hits.
+        found.append(stored(hits.dropDuplicates(["id", "row_hash"])))
+        shared.destroy()
+        items, more = more, next(blocks, None)
+    # At most one row for each block.
+    merged = balanced(found, DataFrame.union).groupBy("id", "row_hash").agg(
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        F.flatten(F.collect_list("hits")).alias("hits"),
+    )
+    joined = lookup(out, stored(merged), ["id", "row_hash"], "left").drop("row_hash")
+    return map_batches(joined, _finished, result).withColumnRenamed("id", "doc_id")
+
+
+#: Columns that are found, for all rows and for those with hits.
+RESULT = "n_words long, items array<string>, hits array<long>, spans array<long>"
+HITS = "id long, row_hash long, items array<string>, hits array<long>"
 
 
-def _search(batches, windows: Windows):
+def _shards(batches):
     for whole in batches:
         for start in range(0, whole.num_rows, BATCH_ROWS):
-            yield _search_batch(whole.slice(start, BATCH_ROWS), windows)
+            yield whole.slice(start, BATCH_ROWS)
 
 
-def _search_batch(batch: pa.RecordBatch, windows: Windows) -> pa.RecordBatch:
-    data = texts(batch, "text")
-    docs = [alphanumeric_words(x) for x in data]
+def _found(docs: list[list[bytes]], windows: Windows) -> dict[int, tuple[set[str], np.ndarray]]:
+    """Items and runs of hit words of the documents that have any."""
     hit, offsets, found = shard_hits(docs, windows)
-    columns = {k: batch.column(k).to_pylist() for k in ("items", "hits", "spans")}
-    for d, items in found.items():
-        flags = hit[offsets[d] : offsets[d + 1] - 1].copy()
-        before = np.array(columns["hits"][d], np.int64).reshape(-1, 2)
-        for a, b in before:
-            flags[a:b] = True
-        runs = _runs(flags)
+    return {d: (items, _runs(hit[offsets[d] : offsets[d + 1] - 1])) for d, items in found.items()}
+
+
+def _searched(batches, windows: Windows):
+    for batch in _shards(batches):
+        data = texts(batch, "text")
+        docs = [alphanumeric_words(x) for x in data]
+        yield _described(batch, data, docs, _found(docs, windows))
+
+
+def _hits_only(batches, windows: Windows):
+    for batch in _shards(batches):
+        found = _found([alphanumeric_words(x) for x in texts(batch, "text")], windows)
+        mine = batch.take(pa.array(list(found), pa.int64()))
+        columns = [
+            mine.column("id"),
+            mine.column("row_hash"),
+            pa.array([sorted(items) for items, _ in found.values()], pa.list_(pa.string())),
+            pa.array([runs.ravel().tolist() for _, runs in found.values()], pa.list_(pa.int64())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "row_hash", "items", "hits"])
+
+
+def _finished(batches):
+    """Rows with the hits of all blocks, which may overlap."""
+    for batch in _shards(batches):
+        data = texts(batch, "text")
+        docs, found = [alphanumeric_words(x) for x in data], {}
+        for d, (items, hits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("items", "hits")), strict=True)):
+            if items:
+                flags = np.zeros(len(docs[d]), bool)
+                for a, b in zip(hits[::2], hits[1::2], strict=True):
+                    flags[a:b] = True
+                found[d] = set(items), _runs(flags)
+        yield _described(batch.drop_columns(["items", "hits"]), data, docs, found)
+
+
+def _described(batch: pa.RecordBatch, data: list[bytes], docs: list[list[bytes]], found) -> pa.RecordBatch:
+    """The columns of a batch, and those of RESULT."""
+    n = batch.num_rows
+    items, hits, spans = [[]] * n, [[]] * n, [[]] * n
+    for d, (mine, runs) in found.items():
         places = [m.span() for m in WORD.finditer(data[d].decode())]
-        columns["items"][d] = sorted({*columns["items"][d], *items})
-        columns["hits"][d] = runs.ravel().tolist()
-        columns["spans"][d] = [x for a, b in runs for x in (places[a][0], places[b - 1][1])]
-    n_words = pa.array(map(len, docs), pa.int64())
+        items[d] = sorted(mine)
+        hits[d] = runs.ravel().tolist()
+        spans[d] = [x for a, b in runs for x in (places[a][0], places[b - 1][1])]
     arrays = {
-        "n_words": n_words,
-        "items": pa.array(columns["items"], pa.list_(pa.string())),
-        "hits": pa.array(columns["hits"], pa.list_(pa.int64())),
-        "spans": pa.array(columns["spans"], pa.list_(pa.int64())),
+        "n_words": pa.array(map(len, docs), pa.int64()),
+        "items": pa.array(items, pa.list_(pa.string())),
+        "hits": pa.array(hits, pa.list_(pa.int64())),
+        "spans": pa.array(spans, pa.list_(pa.int64())),
     }
     return pa.RecordBatch.from_arrays(
-        [arrays.get(n, batch.column(n)) for n in batch.schema.names], batch.schema.names
+        [*batch.columns, *arrays.values()], [*batch.schema.names, *arrays]
     )
 
 
