@@ -57,13 +57,17 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int) -> Data
     return map_batches(source, hashed, "id long, row_hash long, f long")
 
 
+def _choices(bits: int) -> list[tuple[int, ...]]:
+    return list(combinations(range(7), 7 - bits))
+
+
 def postings(prints: DataFrame, bits: int) -> DataFrame:
     """``prints`` (f) under every choice of byte positions that a link must share.
 
     Two fingerprints within ``bits`` bits share at least 8 - bits byte positions, so at least one
     fewer among the first seven. The last byte of a key names the choice.
     """
-    masks = [sum(0xFF << (8 * (7 - p)) for p in chosen) for chosen in combinations(range(7), 7 - bits)]
+    masks = [sum(0xFF << (8 * (7 - p)) for p in chosen) for chosen in _choices(bits)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = F.array(
         *[
@@ -74,20 +78,43 @@ def postings(prints: DataFrame, bits: int) -> DataFrame:
     return prints.select(F.explode(keys).alias("key"), "f")
 
 
-def _spread(listed: DataFrame, group: int) -> DataFrame:
-    """Postings with a ``part``: groups above ``group`` become pairs of blocks, one part each."""
-    large = checkpointed(listed.groupBy("key").count().where(F.col("count") > group))
+def _spread(listed: DataFrame, bits: int, group: int) -> DataFrame:
+    """Postings with a ``part``: groups above ``group`` are split by one more byte.
+
+    The fingerprints of a group share one byte position fewer than a link must, so linked ones
+    share another position as well: each entry goes to a part for every other position and its
+    byte there. Only a part that is still above ``group`` becomes pairs of blocks.
+    """
+    large = checkpointed(
+        listed.groupBy("key").count().where(F.col("count") > group).select("key", F.lit(True).alias("large"))
+    )
     if large.isEmpty():
         return listed.withColumn("part", F.lit(0).cast("long"))
+    others = F.array(*[F.array(*[F.lit(p) for p in range(8) if p not in c]) for c in _choices(bits)])
+    mine = others[F.col("key").bitwiseAND(F.lit(0xFF).cast("long")).cast("int")]
+    parts = (
+        lookup(listed, large, ["key"], "left")
+        .withColumn("p", F.explode(F.when(F.col("large"), mine).otherwise(F.array(F.lit(-1)))))
+        .withColumn(
+            "part",
+            F.when(F.col("p") < 0, F.lit(0).cast("long")).otherwise(
+                F.expr("1 + p * 256L + (shiftrightunsigned(f, (7 - p) * 8) & 255L)")
+            ),
+        )
+        .select("key", "f", "part")
+    )
+    crowded = parts.where("part > 0").groupBy("key", "part").count().where(F.col("count") > group)
+    crowded = checkpointed(crowded)
+    if crowded.isEmpty():
+        return parts
     blocks = F.ceil(F.coalesce("count", F.lit(1)) / group).cast("long")
-    mine = F.pmod(F.xxhash64("f"), F.col("blocks"))
     other = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     return (
-        lookup(listed, large, ["key"], "left")
+        lookup(parts, crowded, ["key", "part"], "left")
         .withColumn("blocks", blocks)
-        .withColumn("mine", mine)
+        .withColumn("mine", F.pmod(F.xxhash64("f"), F.col("blocks")))
         .withColumn("other", F.explode(other))
-        .select("key", "f", F.expr("least(mine, other) * blocks + greatest(mine, other)").alias("part"))
+        .select("key", "f", F.expr("part + 4096L * (least(mine, other) * blocks + greatest(mine, other))").alias("part"))
     )
 
 
@@ -145,7 +172,7 @@ def _links(batches, bits: int):
 
 def links(prints: DataFrame, bits: int, group: int = GROUP) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints ``f`` within ``bits`` bits."""
-    listed = _spread(postings(prints, bits), group)
+    listed = _spread(postings(prints, bits), bits, group)
     ordered = listed.repartition("key", "part").sortWithinPartitions("key", "part")
     return ordered.mapInArrow(lambda batches: _links(batches, bits), "a long, b long")
 
@@ -161,9 +188,12 @@ def near_duplicates(
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id, component (a
     number of its own for each component) and row_hash (of the text).
 
-    Equal fingerprints are one entry of the index, so copies never meet as pairs. Entries whose
-    postings meet are compared inside a task, which returns only links that connect; no number of
-    candidates is set. Groups of more than ``group`` entries are split into pairs of blocks.
+    Equal fingerprints are one entry of the index, so copies never meet as pairs. An entry is
+    posted under every choice of 7 - ``bits`` of the first seven byte positions. A link shares
+    8 - ``bits`` or more of all eight, so none is missed; pairs that meet under a key are tallied by
+    the bytes they share, and those that reach that number are verified by their bits. That
+    happens inside a task, which returns only links that connect; no number of candidates is
+    set. Groups of more than ``group`` entries are split by one more byte position.
 
     Null and empty texts have fingerprint 0 and are linked like any other; a text of fewer than
     ``size`` words is one shingle. Rows with one id give a row each. A null id never is a
