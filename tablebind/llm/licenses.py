@@ -25,6 +25,28 @@ MORE_PHRASES = {
     "cc by sa": "cc-by-sa",
     "cc0 1 0 universal": "cc0",
 }
+#: Identifiers of the SPDX licence list that texts commonly name.
+IDENTIFIERS = frozenset(
+    "0bsd aal afl-1.1 afl-1.2 afl-2.0 afl-2.1 afl-3.0 agpl-1.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later "
+    "apache-1.0 apache-1.1 apache-2.0 apsl-1.0 apsl-2.0 artistic-1.0 artistic-1.0-perl artistic-2.0 "
+    "beerware blueoak-1.0.0 bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause "
+    "bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1 bzip2-1.0.6 cal-1.0 catosl-1.1 cc-by-1.0 cc-by-2.0 "
+    "cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-by-nc-1.0 cc-by-nc-2.0 cc-by-nc-3.0 cc-by-nc-4.0 "
+    "cc-by-nc-nd-3.0 cc-by-nc-nd-4.0 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nd-3.0 cc-by-nd-4.0 "
+    "cc-by-sa-1.0 cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0 cc-by-sa-4.0 cc-pddc cc0-1.0 cddl-1.0 cddl-1.1 "
+    "cecill-1.0 cecill-2.0 cecill-2.1 cecill-b cecill-c cern-ohl-p-2.0 cern-ohl-s-2.0 cern-ohl-w-2.0 "
+    "cpal-1.0 cpl-1.0 curl ecl-2.0 efl-2.0 elastic-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 fsfap ftl "
+    "gfdl-1.1 gfdl-1.2 gfdl-1.3 gpl-1.0 gpl-1.0-only gpl-1.0-or-later gpl-2.0 gpl-2.0-only "
+    "gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later hpnd icu ijg imagemagick ipl-1.0 isc json "
+    "lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 "
+    "lgpl-3.0-only lgpl-3.0-or-later libpng libpng-2.0 libtiff lppl-1.3c mit mit-0 mit-modern-variant mpl-1.0 "
+    "mpl-1.1 mpl-2.0 ms-pl ms-rl mulanpsl-2.0 naist-2003 nasa-1.3 ncsa nist-pd ntp odbl-1.0 odc-by-1.0 "
+    "ofl-1.0 ofl-1.1 oldap-2.8 openssl osl-1.0 osl-2.0 osl-2.1 osl-3.0 parity-7.0.0 pddl-1.0 php-3.0 php-3.01 "
+    "polyform-noncommercial-1.0.0 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sgi-b-2.0 sissl sspl-1.0 "
+    "tcl unicode-3.0 unlicense upl-1.0 vim w3c wtfpl x11 xnet zend-2.0 zlib zpl-2.0 zpl-2.1".split()
+)
+#: Notices that name an identifier in words, such as "bsd 3 clause license".
+MORE_PHRASES |= {f"{' '.join(re.split('[^a-z0-9]+', x))} license": x for x in sorted(IDENTIFIERS)}
 TAG_PHRASE = "spdx license identifier"
 TAG = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
 #: Licences a corpus may use when the caller names none.
@@ -35,6 +57,7 @@ ALLOWED = frozenset(
 TAG_DOUBT, NOTICE_DOUBT = 0.1, 0.3
 
 _LEVEL = {"or": 1, "and": 2, "with": 3}
+_NAME = re.compile(r"(documentref-[a-z0-9.-]*[a-z0-9]:)?[a-z0-9]([a-z0-9.+-]*[a-z0-9+])?")
 
 
 def evaluate(expression: str, allowed: frozenset[str]) -> tuple[list[str], bool]:
@@ -43,8 +66,8 @@ def evaluate(expression: str, allowed: frozenset[str]) -> tuple[list[str], bool]
     Operators go through a shunting-yard stack (with before and, and before or, parentheses).
     ``x with y`` is allowed if x is. An expression that is not well formed raises ValueError.
     """
-    names: list[str] = []
-    values: list[tuple[str | None, bool]] = []
+    names: list[str | None] = []
+    values: list[tuple[int | None, bool]] = []  # the place of a bare name, and whether it can be met
     stack: list[str] = []
 
     def apply() -> None:
@@ -55,7 +78,7 @@ def evaluate(expression: str, allowed: frozenset[str]) -> tuple[list[str], bool]
         if op == "with":
             if right is None or left is None:
                 raise ValueError(expression)
-            names.remove(right)
+            names[right] = None  # an exception is no licence
             values.append((None, a))
         else:
             values.append((None, a and b if op == "and" else a or b))
@@ -75,9 +98,9 @@ def evaluate(expression: str, allowed: frozenset[str]) -> tuple[list[str], bool]
                 apply()
             stack.append(word)
             operand = True
-        elif operand and re.fullmatch(r"[a-z0-9][a-z0-9.+-]*", word) and word not in _LEVEL:
+        elif operand and _NAME.fullmatch(word) and word not in _LEVEL:
+            values.append((len(names), word.removesuffix("+") in allowed))
             names.append(word)
-            values.append((word, word.removesuffix("+") in allowed))
             operand = False
         else:
             raise ValueError(expression)
@@ -85,7 +108,50 @@ def evaluate(expression: str, allowed: frozenset[str]) -> tuple[list[str], bool]
         apply()
     if len(values) != 1:
         raise ValueError(expression)
-    return names, values[0][1]
+    return [x for x in names if x is not None], values[0][1]
+
+
+def tag_expression(line: str, allowed: frozenset[str]) -> tuple[list[str], bool]:
+    """``evaluate`` of the longest well-formed expression that a tag's line begins with.
+
+    What follows it (closing marks, markup, prose) does not count. A name after an operator is
+    one if it is a known identifier or looks like one by a digit or a prefix, so that the words
+    of a sentence are none.
+    """
+    words: list[str] = []
+    ends: list[int] = []
+    depth, operand, at = 0, True, 0
+    line = line.lower().lstrip(" \t\"'`")
+    while True:
+        at += len(line[at:]) - len(line[at:].lstrip(" \t"))
+        found = _NAME.match(line, at)
+        word = found[0] if found else line[at : at + 1]
+        if word == "(" and operand:
+            depth += 1
+        elif word == ")" and not operand and depth:
+            depth -= 1
+        elif word in _LEVEL and not operand:
+            operand = True
+        elif found and operand and word not in _LEVEL and (not words or _is_name(word)):
+            operand = False
+        else:
+            break
+        words.append(word)
+        at += len(word)
+        if not depth and not operand:
+            ends.append(len(words))
+    for end in reversed(ends):
+        try:
+            return evaluate(" ".join(words[:end]), allowed)
+        except ValueError:
+            continue
+    raise ValueError(line)
+
+
+def _is_name(word: str) -> bool:
+    plain = word.removesuffix("+")
+    prefixed = word.startswith(("licenseref-", "documentref-"))
+    return plain in IDENTIFIERS or prefixed or "exception" in word or any(c.isdigit() for c in word)
 
 
 def _automaton(phrases):
@@ -110,8 +176,8 @@ def licenses(
     labels, score, bad_tags, usable.
 
     One Aho-Corasick pass over the words of a text finds every phrase and identifier tag. A tag's
-    expression runs to the end of its line, where comment marks are dropped; its licence names
-    are labels. One that is not well formed counts in ``bad_tags`` and adds no label. ``usable``
+    expression is the longest well-formed one at the start of its line; its licence names
+    are labels. A tag without any counts in ``bad_tags`` and adds no label. ``usable``
     is null without any label, else whether all notices and tags can be met by ``allowed``.
 
     A null text is empty: no words, empty label texts, score 0, null first and last word.
@@ -146,9 +212,8 @@ def licenses(
                 usable = labels <= allowed
                 bad = good = 0
                 for m in TAG.finditer(data) if tagged else ():
-                    expression = re.sub(r"[\s*/#;>-]+$|-->.*$", "", m[1].decode(errors="replace"))
                     try:
-                        names, met = evaluate(expression, allowed)
+                        names, met = tag_expression(m[1].decode(errors="replace"), allowed)
                     except ValueError:
                         bad += 1
                         continue
