@@ -1,21 +1,29 @@
 """Each operator against its plain version, on the driver's tables and on hard rows."""
 
 import math
+import pickle
+import random
+import re
+import time
+import tracemalloc
 from collections import Counter
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from conftest import HARD, ITEMS
 from pyspark.sql import functions as F
 
 from tablebind.llm import queries
-from tablebind.llm.decontaminate import find_passages, pairs_sum, without_spans
-from tablebind.llm.licenses import ALLOWED, evaluate, licenses
+from tablebind.llm.decontaminate import Windows, find_passages, pairs_sum, without_spans
+from tablebind.llm.licenses import ALLOWED, BASE_PHRASES, MORE_PHRASES, evaluate, licenses, tag_expression
 from tablebind.llm.lm import lm_scores
 from tablebind.llm.packing import cutting_stock, pack, size_class
 from tablebind.llm.quality import quality
 from tablebind.llm.secrets import MORE_RULES, RULES, masked, secrets
+from tablebind.llm import simhash as simhash_module
+from tablebind.llm import toxicity as toxicity_module
 from tablebind.llm.simhash import near_duplicates
 from tablebind.llm.tokens import token_counts
 from tablebind.llm.toxicity import toxicity
@@ -61,6 +69,30 @@ def test_passages_query(spark, sf_dir, documents):
     same(found, wanted)
 
 
+def test_passages_in_blocks(spark, sf_dir, documents):
+    """Many blocks give what one gives, spans included, and columns pass through."""
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    docs = documents[0].union(documents[0].limit(20))
+    columns = ["doc_id", "n_words", "items", "hits", "spans", "kept.text"]
+    whole = find_passages(docs, bench, keep=("doc_id", "text"))
+    parts = find_passages(docs, bench, keep=("doc_id", "text"), block_bytes=4000)
+    assert whole.columns == parts.columns
+    same(rows(parts, *columns), rows(whole, *columns))
+
+
+def test_benchmark_of_a_block(spark):
+    """The windows of a whole block stay small, and are those of the plain version."""
+    rng = random.Random(6)
+    words = [f"w{k}".encode() for k in range(40_000)]
+    items = [(str(k), b" ".join(rng.choices(words, k=400))) for k in range(3000)]  # 7 MB
+    tracemalloc.start()
+    windows = Windows(items, 10)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert len(windows.patterns) == 3000 * 391
+    assert len(pickle.dumps(windows)) < 100 << 20
+
+
 def test_passages_removed(hard, items):
     found = find_passages(hard, items, keep=("doc_id", "text"))
     text = without_spans(F.col("text"), F.col("spans"))
@@ -97,6 +129,43 @@ def test_simhash(spark, hard, group):
     same(rows(found, "doc_id", "fingerprint", "component_id"), brute.simhash(data))
 
 
+@pytest.mark.parametrize("group", [4096, 40])
+def test_simhash_of_a_large_group(spark, group):
+    """50,000 distinct fingerprints that agree in three bytes are split by a fourth one."""
+    rng = random.Random(7)
+    near = 0x1122330000000000
+    prints = {near | rng.getrandbits(40) for _ in range(50_000)}
+    prints |= {f ^ 1 << rng.randrange(40) ^ 1 << rng.randrange(64) for f in rng.sample(sorted(prints), 300)}
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in prints]
+    found = spark.createDataFrame(signed, "f long").repartition(4)
+    listed = simhash_module._spread(simhash_module.postings(found, 4), 4, group)
+    if group > 1000:
+        assert listed.count() < (35 + 10) * len(prints)
+    pairs = {frozenset(r) for r in simhash_module.links(found, 4, group).collect()}
+    wanted = set()  # by the plain rule: one of five ranges of bits agrees
+    for k in range(5):
+        seen = {}
+        for (f,) in signed:
+            mask = ((1 << 13) - 1) << 13 * k if k < 4 else ((1 << 12) - 1) << 52
+            seen.setdefault(f & mask, []).append(f)
+        for held in seen.values():
+            for n, a in enumerate(held if len(held) < 2000 else []):
+                wanted |= {frozenset((a, b)) for b in held[:n] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+    joined = {}
+
+    def root(f):
+        while joined.get(f, f) != f:
+            f = joined[f]
+        return f
+
+    for pair in pairs:
+        a, b = map(root, pair)
+        joined[a] = b
+    assert len(wanted) > 200
+    assert all(root(a) == root(b) for a, b in map(tuple, wanted))
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 4 for a, b in map(tuple, pairs))
+
+
 def test_simhash_query(spark, sf_dir, documents):
     wanted = brute.simhash(documents[1])
     assert any(key != c for key, _, c in wanted)
@@ -114,6 +183,19 @@ def test_secrets_hard(hard):
     assert "github:" in spans[12]
 
 
+def test_secrets_of_a_long_list(spark):
+    """100,000 hashes in one text (6.5 MB): places and masks cost a few steps for each."""
+    lines = [brute.sha(str(k)) + "é字" * (k % 7 == 0) for k in range(100_000)]
+    text = "\n".join(lines) + "\ntoken=abcdef0123456789abcdef0123456789 \ufefftoken: 'x'"
+    docs = spark.createDataFrame([(1, text), (2, "no"), (3, None)], "doc_id long, text string")
+    begun = time.time()
+    same(rows(secrets(docs).drop("spans"), "*"), brute.secrets([(1, text), (2, "no"), (3, None)]))
+    clean = {r.doc_id: r.text for r in masked(docs).collect()}
+    assert time.time() - begun < 120
+    wanted = re.sub("[0-9a-f]{24,}", "[SECRET]", text[: -len("token=abcdef0123456789abcdef0123456789 \ufefftoken: 'x'")])
+    assert clean == {1: wanted + "[SECRET] \ufefftoken: 'x'", 2: "no", 3: None}
+
+
 def test_secrets_query(spark, sf_dir, documents):
     found = queries.secret_scan(spark, sf_dir)
     same(rows(found.drop("spans"), "*"), brute.secrets(documents[1]))
@@ -183,6 +265,40 @@ def test_toxicity_held_out(spark):
     assert found.where("score < 0 OR score > 1 OR score IS NULL").isEmpty()
 
 
+def test_toxicity_forward(spark, documents):
+    """Scores against a plain pass through the trained model, word by word."""
+    rng = random.Random(8)
+    bad, good = [f"bad{k}" for k in range(20)], [f"good{k} the and of" for k in range(60)]
+    data = [(" ".join(rng.choices(good, k=20) + rng.choices(bad, k=4 * y)).encode(), y) for y in (0, 1) * 60]
+    model = toxicity_module.train(data)
+    samples = [t for _, t in HARD] + [d.decode() for d, _ in data[:20]]
+    split = [brute.ALNUM.findall(brute.low(t)) for t in samples]
+
+    def embedded(word):
+        rows = [model.table[f] for f in toxicity_module.features(word.encode())]
+        return sum(np.asarray(r, np.float64) for r in rows) / len(rows)
+
+    wanted = []
+    for words in split:
+        x = [embedded(w) for w in words] or [np.zeros(toxicity_module.WIDTH)]
+        x = [*x, *[np.zeros(toxicity_module.WIDTH)] * 2]
+        logit, place, out = model.shift, 0, 0
+        for width in toxicity_module.WIDTHS:
+            for f in range(toxicity_module.FILTERS):
+                values = [
+                    sum(float(x[p + j] @ model.filters[:, place + j, f]) for j in range(width))
+                    for p in range(max(len(words), 1))
+                ]
+                logit += max(max(values) + model.bias[out], 0) * model.out[out]
+                out += 1
+            place += width
+        cut = model.thresholds[toxicity_module.language([w.encode() for w in words])]
+        wanted.append(1 / (1 + math.exp(-(logit - cut))))
+    found = toxicity_module._Scorer(model).scores([[w.encode() for w in ws] for ws in split])
+    assert max(abs(a - b) for a, b in zip(found, wanted, strict=True)) < 1e-4
+    assert min(wanted) < 0.5 < max(wanted)
+
+
 def test_toxicity_hard(spark, hard):
     toxic = [(k, 1 if k % 2 else 0) for k, _ in HARD if k] + [(None, 1), (6, 7)]
     labels = spark.createDataFrame(toxic, "doc_id long, toxic int")
@@ -379,6 +495,55 @@ def test_expression_refused(text):
         evaluate(text, ALLOWED)
 
 
+@pytest.mark.parametrize(
+    ("line", "names"),
+    [
+        ("MIT.", ["mit"]),
+        ('MIT"', ["mit"]),
+        ("'Apache-2.0', so", ["apache-2.0"]),
+        ("Apache-2.0</p>", ["apache-2.0"]),
+        ("MIT <br>", ["mit"]),
+        ("MIT, or any other", ["mit"]),
+        ("MIT is used here", ["mit"]),
+        ("MIT and is free", ["mit"]),
+        ("MIT OR Apache-2.0 -->", ["mit", "apache-2.0"]),
+        ("(MIT AND ISC) OR GPL-2.0-only */", ["mit", "isc", "gpl-2.0-only"]),
+        ("(MIT AND (ISC OR", None),
+        ("GPL-2.0+ WITH Classpath-exception-2.0 # x", ["gpl-2.0+"]),
+        ("X11 WITH X11", ["x11"]),
+        ("DocumentRef-x:LicenseRef-y AND LicenseRef-z", ["documentref-x:licenseref-y", "licenseref-z"]),
+        (")(", None),
+        ("", None),
+        ("or", None),
+        ("<none>", None),
+    ],
+)
+def test_tags(line, names):
+    if names is None:
+        with pytest.raises(ValueError):
+            tag_expression(line, ALLOWED)
+    else:
+        assert tag_expression(line, ALLOWED)[0] == names
+
+
+def test_labels_query(spark, documents):
+    """Labels and tags by a plain search of each text."""
+    docs, texts = documents
+    wanted = []
+    for key, text in texts:
+        words = " ".join(["", *brute.ALNUM.findall(brute.low(text)), ""])
+        labels = {label for phrase, label in (BASE_PHRASES | MORE_PHRASES).items() if f" {phrase} " in words}
+        bad = 0
+        for line in re.findall(r"(?i)spdx-license-identifier:[ \t]*([^\r\n]*)", text or ""):
+            try:
+                labels.update(tag_expression(line, ALLOWED)[0])
+            except ValueError:
+                bad += 1
+        wanted.append((key, ",".join(sorted(labels)), bad))
+    assert any(w[1] for w in wanted)
+    same(rows(licenses(docs), "doc_id", "labels", "bad_tags"), wanted)
+
+
 # ---- language model
 
 
