@@ -9,7 +9,7 @@ queue opens the box with the highest bound, as long as one of the anchor's searc
 
 import heapq
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,13 +21,15 @@ from tablebind.plans.checkpoints import stored
 from tablebind.plans.ordered import POSITION, place_by_runs
 
 #: Rows of a leaf and boxes of a box above.
-LEAF, FANOUT = 64, 8
+LEAF, FANOUT = 128, 8
 #: Rows of a tile: 64 tiles of a table, within these bounds.
 TILES, TILE_ROWS, MOST_TILE_ROWS = 64, 1024, 65_536
 #: Anchors that meet one copy of a tile, and those whose bounds are worked out at once.
 ANCHORS, AT_ONCE = 65_536, 1024
 #: The score of a search without limits.
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
+#: Whole numbers below this are exact as floating point.
+EXACT = 2.0**53
 
 FOUND = "anchor_id long, search int, id long, score long"
 
@@ -99,6 +101,15 @@ class Tree:
     leaves: int
     root: int
 
+    def __post_init__(self):
+        #: What a search looks at box by box.
+        arrays = (self.label_low, self.label_high, self.least_id, self.ranges)
+        self.lists = tuple(x.tolist() for x in arrays)
+        self.most = float(np.abs(self.vectors).max(initial=0))
+
+    def as_floats(self) -> "Tree":
+        return replace(self, vectors=self.vectors.astype(np.float64))
+
 
 def _tiled(order: np.ndarray, keys: list[np.ndarray], ids: np.ndarray, leaf: int) -> list[np.ndarray]:
     """``order`` cut into leaves: sorted by a key and sliced, each slice by the next key."""
@@ -153,7 +164,7 @@ def packed(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray, by: list[in
 def products(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Exact inner products of whole numbers, by floating point where that is exact."""
     most = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * vectors.shape[1]
-    if most < 2.0**53:
+    if most < EXACT:
         return (vectors.astype(np.float64) @ queries.astype(np.float64).T).astype(np.int64)
     return vectors @ queries.T
 
@@ -166,6 +177,10 @@ class Search:
     def __init__(self, low: int, high: int, k: int):
         self.low, self.high, self.k, self.best = low, high, k, []
 
+    def floor(self) -> int:
+        """No lower score belongs to the result."""
+        return self.low if len(self.best) < self.k else max(self.low, self.best[0][0])
+
     def gains(self, low: int, high: int, least_id: int) -> bool:
         """Whether a box with these bounds can hold a row that belongs to the result."""
         if high < self.low or low > self.high:
@@ -186,33 +201,45 @@ class Search:
 
 def search(tree: Tree, anchor: int, label: int, vector: np.ndarray, same: bool, searches: list[Search], bounds) -> None:
     """All searches of an anchor in one pass over a tile: rows of its label (other than itself) or
-    of the other labels. ``bounds`` has the lowest and highest score of each box."""
+    of the other labels. ``bounds`` has the lowest and highest score of each box. Tile and anchor
+    are both whole numbers or both floating point that is exact."""
     lows, highs = bounds
+    first, last, least, ranges = tree.lists
+    least_low, most_high = min(s.low for s in searches), max(s.high for s in searches)
 
     def useful(box: int) -> bool:
-        first, last = tree.label_low[box], tree.label_high[box]
-        if (first <= label <= last) if same else not (first == last == label):
-            low, high, least = int(lows[box]), int(highs[box]), int(tree.least_id[box])
-            return any(s.gains(low, high, least) for s in searches)
+        if same:
+            if not first[box] <= label <= last[box]:
+                return False
+        elif first[box] == label == last[box]:
+            return False
+        low, high = lows[box], highs[box]
+        if high < least_low or low > most_high:
+            return False
+        for s in searches:
+            if s.gains(low, high, least[box]):
+                return True
         return False
 
-    queue = [(-int(highs[tree.root]), int(tree.least_id[tree.root]), tree.root)]
+    queue = [(-highs[tree.root], least[tree.root], tree.root)]
     while queue:
-        *_, box = heapq.heappop(queue)
+        box = heapq.heappop(queue)[2]
         if not useful(box):
             continue
-        a, b = tree.ranges[box]
+        a, b = ranges[box]
         if box >= tree.leaves:
             for x in range(a, b):
                 if useful(x):
-                    heapq.heappush(queue, (-int(highs[x]), int(tree.least_id[x]), x))
+                    heapq.heappush(queue, (-highs[x], least[x], x))
             continue
-        scores = products(tree.vectors[a:b], vector[None, :])[:, 0]
-        kept = (tree.labels[a:b] == label) & (tree.ids[a:b] != anchor) if same else tree.labels[a:b] != label
-        kept &= (scores >= min(s.low for s in searches)) & (scores <= max(s.high for s in searches))
-        for k in np.flatnonzero(kept).tolist():
-            for s in searches:
-                s.offer(int(scores[k]), int(tree.ids[a + k]))
+        scores = tree.vectors[a:b] @ vector
+        kept = (scores >= min(s.floor() for s in searches)) & (scores <= most_high)
+        found = np.flatnonzero(kept)
+        found = found[(tree.labels[a:b][found] == label) == same]
+        for score, row_id in zip(scores[found].tolist(), tree.ids[a:b][found].tolist(), strict=True):
+            if row_id != anchor:
+                for s in searches:
+                    s.offer(int(score), row_id)
 
 
 def _matrix(column: pa.Array, length: int) -> np.ndarray:
@@ -225,22 +252,26 @@ def _matrix(column: pa.Array, length: int) -> np.ndarray:
 
 def _search_tiles(batches, length: int, by: list[int], same: bool, k: int):
     """Rows come by tile and block, the tile's own rows (kind 0) first, then anchors (kind 1)."""
-    here, gathered, tree = None, [], None
+    here, gathered, tree, floats = None, [], None, None
 
     def found(queries):
-        nonlocal tree, gathered
+        nonlocal tree, gathered, floats
         if tree is None:
             if not gathered:
                 return
             tree, gathered = packed(*(np.concatenate(x) for x in zip(*gathered, strict=True)), by), []
+            floats = tree.as_floats()
         ids, labels, vectors, lows, highs = queries
         up, down = np.maximum(vectors, 0), np.minimum(vectors, 0)
         high = products(tree.high, up) + products(tree.low, down)
         low = products(tree.low, up) + products(tree.high, down)
         out = []
+        exact = tree.most * float(np.abs(vectors).max(initial=0)) * length < EXACT
+        index, vectors = (floats, vectors.astype(np.float64)) if exact else (tree, vectors)
         for q, anchor in enumerate(ids.tolist()):
             searches = [Search(a, b, k) for a, b in zip(lows[q], highs[q], strict=True)]
-            search(tree, anchor, int(labels[q]), vectors[q], same, searches, (low[:, q], high[:, q]))
+            bounds = low[:, q].tolist(), high[:, q].tolist()
+            search(index, anchor, int(labels[q]), vectors[q], same, searches, bounds)
             out += [(anchor, n, -i, s) for n, x in enumerate(searches) for s, i in x.best]
         columns = list(zip(*out, strict=True)) or [[]] * 4
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
