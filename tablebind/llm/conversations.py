@@ -20,7 +20,6 @@ from tablebind.plans.checkpoints import checkpointed, stored
 from tablebind.plans.joins import lookup
 from tablebind.plans.ordered import PART, POSITION, place_rows
 
-BLANK = r"[^\x20\x09-\x0D]"
 #: The letter of a row that has to go; others are s, u, a or o (another role), upper case if truncated.
 GONE = "d"
 ROLES = {"u": "user", "a": "assistant"}
