@@ -16,6 +16,8 @@ from tablebind.plans.checkpoints import checkpointed, stored
 CLASSES, COARSEST, RANKED = 64, 16, 5_000
 #: A pattern enters the linear program if it is better by more than this.
 GAIN = 1e-4
+#: A column leaves the basis only if the new pattern has more of it than this.
+PIVOT = 1e-6
 
 
 def size_class(length: Column, capacity: int) -> Column:
@@ -62,7 +64,8 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.nd
 
     Revised simplex; a column that prices above 1 + GAIN enters until there is none, or until the
     sequences are as few as the tokens allow by that share. It begins with the fullest patterns
-    of what is left, each used until a size runs out, which are a triangular basis.
+    of what is left, each used until a size runs out, which are a triangular basis. A basis that
+    rounding errors made singular is given up for the last sound one; its patterns pack all the same.
     """
     m = len(sizes)
     basis, left = np.zeros((m, m)), demand.copy()
@@ -79,9 +82,13 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.nd
         basis[k, k] = capacity // sizes[k]
     inverse = np.linalg.inv(basis)
     least = float(demand @ sizes) / capacity
+    sound = basis.copy(), inverse.copy()  # as last inverted afresh
     for turn in range(1, 4 * m + 1):
         if turn % 60 == 0:
-            inverse = np.linalg.inv(basis)
+            fresh = _inverted(basis)
+            if fresh is None:
+                break
+            inverse, sound = fresh, (basis.copy(), fresh.copy())
         used = inverse @ demand
         if used.sum() <= least * (1 + GAIN):
             break
@@ -89,18 +96,32 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.nd
         if worth <= 1 + GAIN:
             break
         way = inverse @ pattern
-        ratio = np.where(way > 1e-9, used / np.where(way > 1e-9, way, 1), np.inf)
-        out = int(ratio.argmin())
+        way += inverse @ (pattern - basis @ way)
+        ratio = np.where(way > PIVOT, np.maximum(used, 0) / np.where(way > PIVOT, way, 1), np.inf)
+        # Of the columns that run out first, the one that leaves the basis furthest from singular.
+        first = ratio <= ratio.min() + 1e-9
+        out = int(np.where(first, way, -np.inf).argmax())
         if not np.isfinite(ratio[out]):
             break
         basis[:, out] = pattern
         inverse[out] /= way[out]
         others = np.arange(m) != out
         inverse[others] -= np.outer(way[others], inverse[out])
-    inverse = np.linalg.inv(basis)
+    inverse = _inverted(basis)
+    if inverse is None:
+        basis, inverse = sound
     return np.rint(basis).astype(np.int64), np.maximum(inverse @ demand, 0)
 
 
+def _inverted(basis: np.ndarray) -> np.ndarray | None:
+    """The inverse of a basis, or None if rounding errors of earlier turns made it singular."""
+    try:
+        inverse = np.linalg.inv(basis)
+    except np.linalg.LinAlgError:
+        return None
+    return inverse if np.abs(basis @ inverse - np.eye(len(basis))).max() < 1e-3 else None
+
+
 def fullest(sizes: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
     """The fullest sequence out of what is left, with large pieces where there is a choice."""
     parts = []  # (size index, copies, tokens): powers of two, so that every count can be made up

@@ -414,6 +414,23 @@ def test_cutting_stock():
     assert sum(t for t, _ in plan) <= math.ceil(sum(s * n for s, n in demand.items()) / 10) + 2
 
 
+@pytest.mark.parametrize("seed, mean, wide", [(127, 5.5, 0.9), (116, 6.5, 1.2)])
+def test_cutting_stock_keeps_a_sound_basis(seed, mean, wide):
+    """Lengths whose basis became singular by rounding errors."""
+    n = np.clip(np.random.default_rng(seed).lognormal(mean, wide, 2000).astype(int), 1, 4096)
+    step = np.select([n <= 128, n <= 256, n <= 512, n <= 1024], [1, 2, 4, 8], 16)
+    sizes, counts = np.unique(-(-n // step) * step, return_counts=True)
+    demand = dict(zip(sizes.tolist(), counts.tolist(), strict=True))
+    made, sequences = dict.fromkeys(demand, 0), 0
+    for times, pattern in cutting_stock(demand, 4096):
+        assert sum(s * c for s, c in pattern.items()) <= 4096
+        sequences += times
+        for s, c in pattern.items():
+            made[s] += c * times
+    assert made == demand
+    assert sequences * 4096 <= 1.01 * sum(s * c for s, c in demand.items()) + 4096
+
+
 # ---- quality
 
 
