@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablebind.functions.missing import is_missing, is_numeric
+from tablebind.plans.checkpoints import checkpointed
+from tablebind.plans.joins import lookup
 from tablebind.plans.ordered import PART
 from tablebind.sources.tables import FILE, SHEET
 
@@ -18,6 +20,10 @@ NAME_CHARS = 64
 # Cells one list may hold: the widest sheet a spreadsheet file can have.
 LIST_CELLS = 16_384
 
+# Top cells of one sheet that a single task may count, and those dealt to one task.
+SHEET_CELLS = 1_000_000
+DEALT_CELLS = 500_000
+
 
 def header_profile(cells: DataFrame, rows: int = TOP_ROWS, na_rm: bool = False) -> DataFrame:
     """How much each of the top rows looks like a header.
@@ -26,13 +32,40 @@ def header_profile(cells: DataFrame, rows: int = TOP_ROWS, na_rm: bool = False)
     ``Unique`` that of distinct ones, ``Complete`` that of filled cells, each of the sheet
     width; with ``na_rm`` the first two are shares of the filled cells.
 
-    One scan: cells below the top rows count for the width only, as one more row of the sheet.
+    Two passes. The first counts the cells of each sheet, which gives its width. The second reads
+    the top rows only and deals them by sheet, uncombined: a table of all distinct cells before the
+    shuffle saves next to nothing and spills. Sheets of more than ``SHEET_CELLS`` top cells are
+    dealt by cell instead.
     """
-    value = F.col("value")
     top = F.col("row") <= rows
-    filled = top & ~is_missing(value)
+    sheets = checkpointed(
+        cells.groupBy(FILE, SHEET).agg(F.max("col").alias("width"), F.count_if(top).alias("size"))
+    )
+    total, widest = sheets.agg(F.sum("size"), F.max("size")).first()
+    tasks = -(-(total or 0) // DEALT_CELLS) or 1
+    shown = cells.where(top).select(FILE, SHEET, F.col("row").alias("RowNum"), "col", "value")
+    if (widest or 0) <= SHEET_CELLS:
+        return _profiled(shown, sheets, na_rm, tasks)
+    wide = sheets.where(F.col("size") > SHEET_CELLS)
+    names = wide.select(FILE, SHEET)
+    usual = lookup(shown, names, [FILE, SHEET], "left_anti")
+    usual = _profiled(usual, sheets.where(F.col("size") <= SHEET_CELLS), na_rm, tasks)
+    oversized = lookup(shown, names, [FILE, SHEET], "left_semi")
+    return usual.unionByName(_profiled(oversized, wide, na_rm, None))
+
+
+def _profiled(shown: DataFrame, sheets: DataFrame, na_rm: bool, tasks: int | None) -> DataFrame:
+    """The profile of the top cells of ``sheets``, dealt by sheet to ``tasks`` or as Spark does."""
+    nulls = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in shown.schema.fields}
+    # One row more for each sheet carries its width.
+    ends = sheets.select(FILE, SHEET, nulls["RowNum"], F.col("width").alias("col"), nulls["value"])
+    dealt = shown.union(ends)
+    if tasks is not None:
+        dealt = dealt.repartition(tasks, FILE, SHEET)
+    value = F.col("value")
+    filled = F.col("RowNum").isNotNull() & ~is_missing(value)
     is_name = filled & ~is_numeric(value) & (F.length(value) < NAME_CHARS)
-    counts = cells.groupBy(FILE, SHEET, F.when(top, F.col("row")).alias("RowNum")).agg(
+    counts = dealt.groupBy(FILE, SHEET, "RowNum").agg(
         F.count_if(is_name).alias("names"),
         F.count_distinct(F.when(is_name, value)).alias("distinct_names"),
         F.count_if(filled).alias("filled"),

@@ -9,6 +9,7 @@ from tablebind import (
     blank_repeats,
     bind_rows,
     find_header_row,
+    header_profile,
     html_tables,
     select_sheet,
     simplify_summary,
@@ -16,6 +17,7 @@ from tablebind import (
     union_tables,
     unmatched_heads,
 )
+from tablebind.operators import headers
 from tablebind.operators.bind_columns import bind_columns
 from tablebind.operators.reports import TOP_K_CONF
 from tablebind.sources import tables
@@ -119,6 +121,24 @@ def test_header_scans_once(spark, tmp_path):
     assert [tuple(r) for r in found.collect()] == [("f", "s", 1, 0.5, 0.5, 0.5)]
 
 
+def test_header_cells_are_dealt_once_and_uncombined(spark, tmp_path, monkeypatch):
+    cells = [(f, f"s{s}", r, c, f"v{c % (r + 1)}") for f in ("f", None) for s in range(3) for r in range(1, 13) for c in range(1, 9 + s)]
+    cells += [("f", None, None, 30, "x"), ("f", "only", 50, 2, "z"), ("f", "s0", 1, 1, "v1"), ("f", "s0", 2, 2, None)]
+    schema = "FILE string, SHEET string, row int, col int, value string"
+    spark.createDataFrame(cells, schema).write.parquet(str(tmp_path / "c"))
+    df = spark.read.parquet(str(tmp_path / "c"))
+    plan = header_profile(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "HashAggregate" not in plan[plan.index("Exchange") :]
+    found = sorted(header_profile(df).collect(), key=str)
+    assert len(found) == 60 and {r["RowNum"] for r in found} == set(range(1, 11))
+    first = next(r for r in found if (r["FILE"], r["SHEET"], r["RowNum"]) == ("f", "s2", 2))
+    assert tuple(first)[3:] == (1.0, 3 / 10, 1.0)
+    for limit in (0, 90):  # all sheets, or the wider ones, are too large for one task
+        monkeypatch.setattr(headers, "SHEET_CELLS", limit)
+        assert sorted(header_profile(df).collect(), key=str) == found
+
+
 def test_mapping_check_is_the_one_that_binds(spark):
     df = spark.createDataFrame([("1", "2")], "A string, B string")
     schema = "InFile string, InDb string, BindAll boolean"
