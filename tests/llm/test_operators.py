@@ -6,6 +6,7 @@ import random
 import re
 import time
 import tracemalloc
+import zlib
 from collections import Counter
 
 import brute
@@ -299,6 +300,39 @@ def test_toxicity_forward(spark, documents):
     assert min(wanted) < 0.5 < max(wanted)
 
 
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    """A word that only one text of thousands has counts, and so does every text kept apart."""
+    monkeypatch.setattr(toxicity_module, "PART_ROWS", 1500)
+    data = [(k, f"w{k} " + ("vile" if k % 2 else "kind") + f" filler{k % 7}", k % 2) for k in range(9000)]
+    docs = spark.createDataFrame([r[:2] for r in data], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in data], "doc_id long, toxic int")
+    usable = toxicity_module._usable(labels, "doc_id", "toxic")
+    rows = toxicity_module.training_rows(docs, usable, "doc_id", "text")
+    learned = {k for k, _, _ in data if zlib.crc32(str(k).encode()) % 5}
+    fitted = {int(r.text.split()[0][1:]): r for r in rows.collect()}
+    kept = {r[0] for r in docs.where(toxicity_module._is_kept(F.col("doc_id"))).collect()}
+    assert set(fitted) == learned - kept and len(learned & kept) > 1000
+    assert all(r.y == k % 2 for k, r in fitted.items()) and len({r.part for r in fitted.values()}) > 1
+    model = toxicity_module.fitted(rows, np.bincount([r.y for r in fitted.values()]))
+    start = toxicity_module._start(np.zeros((2, toxicity_module.BUCKETS)), np.ones(2), np.random.default_rng(0))
+    own = [f"w{k}".encode() for k in fitted]
+    assert all((model.table[f] != start.table[f]).any() for w in own for f in toxicity_module.features(w)[:1])
+    found = toxicity(docs, labels)
+    assert found.where("predicted <> doc_id % 2").isEmpty()
+    again = toxicity(docs.repartition(3), labels)
+    assert rows_of(found) == rows_of(again)
+
+
+def rows_of(found):
+    return sorted((r.doc_id, r.held_out, round(r.score, 4), r.predicted) for r in found.collect())
+
+
+def test_toxicity_thresholds():
+    cuts = toxicity_module.thresholds({(0, -64, 0): 50, (0, 64, 1): 30, (0, 640, 1): 1, (1, 100, 0): 3})
+    assert cuts[0] == 0.0 and cuts[1] == cuts[4] and abs(cuts[1]) <= 2
+    assert toxicity_module.thresholds({(0, 10, 0): 19, (0, 5, 1): 500}) == [0.0] * 5
+
+
 def test_toxicity_hard(spark, hard):
     toxic = [(k, 1 if k % 2 else 0) for k, _ in HARD if k] + [(None, 1), (6, 7)]
     labels = spark.createDataFrame(toxic, "doc_id long, toxic int")
