@@ -16,7 +16,7 @@ from tablebind.plans.checkpoints import checkpointed, stored
 CLASSES, COARSEST, RANKED = 64, 16, 5_000
 #: A pattern enters the linear program if it is better by more than this.
 GAIN = 1e-4
-#: A column leaves the basis only if the new pattern has more of it than this.
+#: With care, a column leaves the basis only if the new pattern has more of it than this.
 PIVOT = 1e-6
 
 
@@ -64,8 +64,8 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.nd
 
     Revised simplex; a column that prices above 1 + GAIN enters until there is none, or until the
     sequences are as few as the tokens allow by that share. It begins with the fullest patterns
-    of what is left, each used until a size runs out, which are a triangular basis. A basis that
-    rounding errors made singular is given up for the last sound one; its patterns pack all the same.
+    of what is left, each used until a size runs out, which are a triangular basis. If
+    rounding errors make a later basis singular, the turns are taken again with care.
     """
     m = len(sizes)
     basis, left = np.zeros((m, m)), demand.copy()
@@ -80,12 +80,24 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.nd
             break
     for k in np.flatnonzero(~basis.any(axis=0)):  # sizes that ran out with another one
         basis[k, k] = capacity // sizes[k]
+    try:
+        return _simplex(basis.copy(), sizes, demand, capacity, careful=False)
+    except np.linalg.LinAlgError:
+        return _simplex(basis, sizes, demand, capacity, careful=True)
+
+
+def _simplex(
+    basis: np.ndarray, sizes: np.ndarray, demand: np.ndarray, capacity: int, careful: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """The turns of the linear program. If ``careful``, no pattern enters by an element of rounding
+    size, and a basis that is singular all the same ends the turns at the last sound one."""
+    m = len(sizes)
     inverse = np.linalg.inv(basis)
     least = float(demand @ sizes) / capacity
     sound = basis.copy(), inverse.copy()  # as last inverted afresh
     for turn in range(1, 4 * m + 1):
         if turn % 60 == 0:
-            fresh = _inverted(basis)
+            fresh = _inverted(basis) if careful else np.linalg.inv(basis)
             if fresh is None:
                 break
             inverse, sound = fresh, (basis.copy(), fresh.copy())
@@ -96,18 +108,21 @@ def relaxed(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.nd
         if worth <= 1 + GAIN:
             break
         way = inverse @ pattern
-        way += inverse @ (pattern - basis @ way)
-        ratio = np.where(way > PIVOT, np.maximum(used, 0) / np.where(way > PIVOT, way, 1), np.inf)
-        # Of the columns that run out first, the one that leaves the basis furthest from singular.
-        first = ratio <= ratio.min() + 1e-9
-        out = int(np.where(first, way, -np.inf).argmax())
+        if careful:
+            way += inverse @ (pattern - basis @ way)
+            used = np.maximum(used, 0)
+        pivot = PIVOT if careful else 1e-9
+        ratio = np.where(way > pivot, used / np.where(way > pivot, way, 1), np.inf)
+        out = int(ratio.argmin())
+        if careful:  # of those that run out first, the one that leaves the basis furthest from singular
+            out = int(np.where(ratio <= ratio.min() + 1e-9, way, -np.inf).argmax())
         if not np.isfinite(ratio[out]):
             break
         basis[:, out] = pattern
         inverse[out] /= way[out]
         others = np.arange(m) != out
         inverse[others] -= np.outer(way[others], inverse[out])
-    inverse = _inverted(basis)
+    inverse = _inverted(basis) if careful else np.linalg.inv(basis)
     if inverse is None:
         basis, inverse = sound
     return np.rint(basis).astype(np.int64), np.maximum(inverse @ demand, 0)
