@@ -34,8 +34,8 @@ PARTS, MORE = 2, 2
 CLASS = 2
 #: Buckets of signatures that are counted, and the least multiple of the mean that is crowded.
 BUCKETS, CROWDED = 65_536, 4
-#: Rounds in which every set meets one other set for each of a few marks, before all others.
-ROUNDS, TRIED = 2, 4
+#: Rounds in which every set meets one other set for each of its marks, before all others.
+ROUNDS = 1
 #: Words of 64 bits in a sketch of a set: for each bit, whether it has an odd number of shingles there.
 SKETCH = 8
 
@@ -284,64 +284,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _classes(sets: DataFrame, links: DataFrame) -> DataFrame:
-    """(key, c, n): sets with the class that the links join them to, at first their own."""
+    """(key, c): sets with the class that the links join them to, at first their own."""
     roots = checkpointed(components(links)).withColumnsRenamed({"node": "key", "root": "r"})
     found = sets.join(roots, "key", "left")
-    return stored(found.select("key", F.coalesce("r", "key").alias("c"), "n"))
+    return stored(found.select("key", F.coalesce("r", "key").alias("c")))
+
+
+def _near(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (key, key2) that are similar enough as far as sizes and sketches tell."""
+    new_names = {x: x + "2" for x in bits.columns}
+    found = pairs.join(bits, "key").join(bits.withColumnsRenamed(new_names), "key2")
+    return found.where(_alike(percent)).where(_few_bits(percent)).select("key", "key2")
+
+
+def _alike(percent: int) -> str:
+    return f"100 * least(n, n2) >= {percent} * greatest(n, n2)"
+
+
+def _few_bits(percent: int) -> str:
+    differ = " + ".join(f"bit_count(s{k} ^ s{k}2)" for k in range(SKETCH))
+    return f"({differ}) * {100 + percent} <= (n + n2) * {100 - percent}"
 
 
 def links(docs: DataFrame, sets: DataFrame, text_col: str, size: int, percent: int, levels: np.ndarray) -> DataFrame:
     """Links (a, b) between keys that connect all sets (key, row_hash, n) that are similar.
 
-    A few rounds let each set meet one other of its largest group, so that copies become a class
-    by as many pairs as there are copies. Then all pairs that share a mark and are not yet in one
-    class are verified; sets that are in one class by then need no more links among them.
+    First each set meets one other of each of its groups, the one that shares most marks with most
+    sets: of a text and its near copies that is a text near the middle, which most others are
+    similar to. So copies become a class by about as many pairs as there are copies. Then all
+    pairs that share a mark and are not yet in one class are verified; sets that are in one class
+    by then need no more links among them. Most pairs that are too different are told by their
+    sketches.
     """
     postings = _postings(docs, text_col, size, percent, levels)
-    involved = postings.select("key").distinct()
-    whole = stored(sets.join(involved, "key"))
+    sizes = stored(postings.groupBy("mark").agg(F.count("*").alias("size")).where("size > 1"))
+    met = postings.join(sizes, "mark").groupBy("key").agg(F.sum("size").alias("met"))
+    whole = stored(sets.join(met, "key"))
     shingles = stored(_shingle_sets(docs, whole.select("row_hash").distinct(), text_col, size))
-    state = whole.select("key", F.col("key").alias("c"), "n")
+    bits = whole.select("key", "n", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH)])
+    # Ties go the same way in all groups.
+    rank = F.col("met") * 65536 + F.pmod(F.xxhash64("key"), F.lit(65536))
+    state = whole.select("key", F.col("key").alias("c"), rank.alias("rank"))
     found = None
-    alike = f"100 * least(n, n2) >= {percent} * greatest(n, n2)"
     for turn in range(ROUNDS + 1):
         here = stored(postings.join(state, "key"))
         groups = here.groupBy("mark").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("size")
+            F.min("c").alias("low"),
+            F.max("c").alias("high"),
+            F.max_by("key", "rank").alias("key2"),
+            F.max_by("c", "rank").alias("c2"),
         )
-        open_marks = stored(groups.where("low <> high"))
+        open_marks = stored(groups.where("low <> high").select("mark", "key2", "c2"))
         if open_marks.isEmpty():
             break
         if turn < ROUNDS:
-            # A set and a few open marks of its own; there it meets one set, other ones each round.
-            apart = here.join(open_marks.select("mark"), "mark", "left_semi")
-            some = F.array_sort(F.collect_set(F.struct(F.xxhash64("mark", F.lit(turn)).alias("h"), "mark")))
-            mine = apart.groupBy("key", "c", "n").agg(F.slice(some, 1, TRIED).alias("tried"))
-            mine = mine.select("key", "c", "n", F.explode("tried.mark").alias("mark"))
-            first = apart.groupBy("mark").agg(
-                F.min(F.struct(F.xxhash64("key", F.lit(turn)), "c", "key", "n")).alias("f")
-            )
-            first = first.select("mark", F.col("f.c").alias("c2"), F.col("f.key").alias("key2"), F.col("f.n").alias("n2"))
-            pairs = mine.join(first, "mark").where("c <> c2")
+            pairs = here.join(open_marks, "mark").where("c <> c2").select("key", "key2").distinct()
+            pairs = _near(pairs, bits, percent)
         else:
-            # The largest class of a mark meets all others, and those meet each other. Most pairs
-            # that are too different are told by their sketches, so they are never rows.
-            bits = whole.select("key", *[F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH)])
-            here = here.join(open_marks.select("mark"), "mark", "left_semi").join(bits, "key")
+            # The largest class of a mark meets all others, and those meet each other. The sketches
+            # are compared inside the join, so most pairs are never rows.
+            here = here.join(open_marks.select("mark"), "mark", "left_semi").drop("rank").join(bits, "key")
             counted = here.groupBy("mark", "c").count()
             main = counted.groupBy("mark").agg(F.max(F.struct("count", "c")).alias("m"))
             here = here.join(main.select("mark", F.col("m.c").alias("main")), "mark")
-            new_names = {x: x + "2" for x in ("key", "c", "n", *[f"s{k}" for k in range(SKETCH)])}
-            all_others = here.withColumnsRenamed(new_names)
-            differ = " + ".join(f"bit_count(s{k} ^ s{k}2)" for k in range(SKETCH))
-            near = f"({differ}) * {100 + percent} <= (n + n2) * {100 - percent}"
+            all_others = here.withColumnsRenamed({x: x + "2" for x in ("c", *bits.columns)})
             pairs = here.where("c <> main").drop("main").join(all_others, "mark")
-            pairs = pairs.where("c <> c2 AND (c2 = main OR key < key2)").where(alike).where(near)
-        pairs = pairs.where(alike).select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b"))
+            pairs = pairs.where("c <> c2 AND (c2 = main OR key < key2)")
+            pairs = pairs.where(_alike(percent)).where(_few_bits(percent))
+        pairs = pairs.select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b"))
         new = _verified(stored(pairs.distinct()), shingles, percent)
         found = stored(new if found is None else found.union(new))
         if turn < ROUNDS:
-            state = _classes(whole, found)
+            # Another set of each group next time.
+            state = _classes(whole, found).withColumn("rank", F.xxhash64("key", F.lit(turn)))
     empty = sets.select(F.col("key").alias("a"), F.col("key").alias("b")).where("false")
     return empty if found is None else found
 

@@ -2,6 +2,7 @@
 
 import gzip
 import random
+from collections import Counter
 
 import brute
 import numpy as np
@@ -103,6 +104,32 @@ def test_jaccard_empty_and_long(spark):
     assert rows(found, "doc_id", "component_id") == [(1, 1), (2, 1), (3, 3), (4, 4)]
 
 
+def near_copies(n, seed=9):
+    """Near copies of a text, up to nine of its words changed."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(150)]
+    return [(k, " ".join(changed(base, rng.randrange(10), rng))) for k in range(n)]
+
+
+@pytest.mark.parametrize("n", [150, 600])
+def test_jaccard_near_copies(spark, monkeypatch, n):
+    """The pairs that are looked at as whole sets grow with a group of near copies, not its square."""
+    looked_at = []
+    verified = jaccard._verified
+
+    def counted(pairs, *rest):
+        looked_at.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    data = near_copies(n)
+    found = similar_documents(spark.createDataFrame(data, "doc_id long, text string"))
+    wanted = brute.jaccard(data)
+    assert Counter(c for *_, c in wanted).most_common(1)[0][1] > n / 4
+    same(rows(found, "doc_id", "n_shingles", "component_id"), wanted)
+    assert sum(looked_at) < 5 * n
+
+
 def test_jaccard_query(spark, sf_dir, documents):
     wanted = brute.jaccard(documents[1])
     assert any(d != c for d, _, c in wanted)
