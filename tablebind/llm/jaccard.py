@@ -36,6 +36,8 @@ CLASS = 2
 BUCKETS, CROWDED = 65_536, 4
 #: Rounds in which every set meets one other set for each of its marks, before all others.
 ROUNDS = 1
+#: Sets of a mark that the others meet at first if there are more; then they meet GROW times as many.
+SOME, GROW = 2048, 4
 #: Words of 64 bits in a sketch of a set: for each bit, whether it has an odd number of shingles there.
 SKETCH = 8
 
@@ -313,8 +315,9 @@ def links(docs: DataFrame, sets: DataFrame, text_col: str, size: int, percent: i
     sets: of a text and its near copies that is a text near the middle, which most others are
     similar to. So copies become a class by about as many pairs as there are copies. Then all
     pairs that share a mark and are not yet in one class are verified; sets that are in one class
-    by then need no more links among them. Most pairs that are too different are told by their
-    sketches.
+    by then need no more links among them. In large groups that is done with a part of the partners
+    first, so a set that is similar to many finds its class by a few of them. Most pairs that are
+    too different are told by their sketches.
     """
     postings = _postings(docs, text_col, size, percent, levels)
     sizes = stored(postings.groupBy("mark").agg(F.count("*").alias("size")).where("size > 1"))
@@ -326,21 +329,30 @@ def links(docs: DataFrame, sets: DataFrame, text_col: str, size: int, percent: i
     rank = F.col("met") * 65536 + F.pmod(F.xxhash64("key"), F.lit(65536))
     state = whole.select("key", F.col("key").alias("c"), rank.alias("rank"))
     found = None
-    for turn in range(ROUNDS + 1):
+    turn, parts = 0, 0
+    while parts != 1:
         here = stored(postings.join(state, "key"))
         groups = here.groupBy("mark").agg(
             F.min("c").alias("low"),
             F.max("c").alias("high"),
             F.max_by("key", "rank").alias("key2"),
             F.max_by("c", "rank").alias("c2"),
+            F.count("*").alias("size"),
         )
-        open_marks = stored(groups.where("low <> high").select("mark", "key2", "c2"))
-        if open_marks.isEmpty():
+        open_marks = stored(groups.where("low <> high").select("mark", "key2", "c2", "size"))
+        largest = open_marks.agg(F.max("size")).first()[0]
+        if largest is None:
             break
         if turn < ROUNDS:
-            pairs = here.join(open_marks, "mark").where("c <> c2").select("key", "key2").distinct()
+            pairs = here.join(open_marks.drop("size"), "mark").where("c <> c2").select("key", "key2").distinct()
             pairs = _near(pairs, bits, percent)
         else:
+            if not parts:
+                parts = 1
+                while largest > SOME * parts:
+                    parts *= GROW
+            else:
+                parts //= GROW
             # The largest class of a mark meets all others, and those meet each other. The sketches
             # are compared inside the join, so most pairs are never rows.
             here = here.join(open_marks.select("mark"), "mark", "left_semi").drop("rank").join(bits, "key")
@@ -348,13 +360,16 @@ def links(docs: DataFrame, sets: DataFrame, text_col: str, size: int, percent: i
             main = counted.groupBy("mark").agg(F.max(F.struct("count", "c")).alias("m"))
             here = here.join(main.select("mark", F.col("m.c").alias("main")), "mark")
             all_others = here.withColumnsRenamed({x: x + "2" for x in ("c", *bits.columns)})
+            if parts > 1:
+                all_others = all_others.where(F.pmod(F.xxhash64("key2"), F.lit(parts)) == 0)
             pairs = here.where("c <> main").drop("main").join(all_others, "mark")
             pairs = pairs.where("c <> c2 AND (c2 = main OR key < key2)")
             pairs = pairs.where(_alike(percent)).where(_few_bits(percent))
         pairs = pairs.select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b"))
         new = _verified(stored(pairs.distinct()), shingles, percent)
         found = stored(new if found is None else found.union(new))
-        if turn < ROUNDS:
+        turn += 1
+        if parts != 1:
             # Another set of each group next time.
             state = _classes(whole, found).withColumn("rank", F.xxhash64("key", F.lit(turn)))
     empty = sets.select(F.col("key").alias("a"), F.col("key").alias("b")).where("false")

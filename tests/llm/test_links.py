@@ -111,8 +111,8 @@ def near_copies(n, seed=9):
     return [(k, " ".join(changed(base, rng.randrange(10), rng))) for k in range(n)]
 
 
-@pytest.mark.parametrize("n", [150, 600])
-def test_jaccard_near_copies(spark, monkeypatch, n):
+@pytest.mark.parametrize("n, some", [(150, 2048), (600, 2048), (600, 30)])
+def test_jaccard_near_copies(spark, monkeypatch, n, some):
     """The pairs that are looked at as whole sets grow with a group of near copies, not its square."""
     looked_at = []
     verified = jaccard._verified
@@ -122,6 +122,7 @@ def test_jaccard_near_copies(spark, monkeypatch, n):
         return verified(pairs, *rest)
 
     monkeypatch.setattr(jaccard, "_verified", counted)
+    monkeypatch.setattr(jaccard, "SOME", some)
     data = near_copies(n)
     found = similar_documents(spark.createDataFrame(data, "doc_id long, text string"))
     wanted = brute.jaccard(data)
